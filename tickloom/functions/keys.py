@@ -211,7 +211,7 @@ def split_joined(symbol: Column) -> Column:
 def to_ccxt_symbol(symbol: Column, exchange: Column) -> Column:
     name = F.lower(exchange)
     slashed = F.replace(symbol, F.lit("-"), F.lit("/"))
-    joined = F.when((symbol == F.upper(symbol)) & (F.length(symbol) >= 6) & symbol.rlike("[A-Z]"), split_joined(symbol))
+    joined = F.when((symbol == F.upper(symbol)) & symbol.rlike("^[^/]{6,}$"), split_joined(symbol))
     return (
         F.when(name == "binance", F.when(symbol.contains("-"), slashed).otherwise(F.coalesce(joined, symbol)))
         .when(name == "deribit", symbol)

@@ -6,7 +6,7 @@ one projection.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Quote assets searched for in a raw symbol, in this order.
@@ -21,51 +21,61 @@ AGGREGATES = ("SPOT", "PERPETUALS", "FUTURES", "COMBOS")
 
 def quote_in(text: Column) -> Column:
     """The first known quote found anywhere in ``text``; NULL when there is none."""
-    upper = F.upper(text)
-    return F.coalesce(*[F.when(upper.contains(q), F.lit(q)) for q in QUOTES])
+    known = F.array(*[F.lit(q) for q in QUOTES])
+    return F.get(F.filter(known, lambda q: F.contains(F.upper(text), q)), F.lit(0))
 
 
-def without_quote(text: Column) -> Column:
-    quote = quote_in(text)
+def without(text: Column, quote: Column) -> Column:
     return F.when(quote.isNull(), text).otherwise(F.regexp_replace(text, F.concat(F.lit("(?i)"), quote), F.lit("")))
 
 
-def assets(exchange: Column, symbol: Column, symbol_type: Column) -> dict[str, Column]:
-    """Base, quote and settlement asset; an unreadable symbol has empty base."""
+def staged(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns that are computed once, however often they are used later.
+
+    The optimizer copies expressions into every later filter and column, which
+    for text parsing grows with each step. It does not do so across a generator,
+    here one that gives one row per row.
+    """
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*kept, F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
+def with_assets(listing: DataFrame) -> DataFrame:
+    """Add base, quote and settlement asset; an unreadable symbol has an empty base.
+
+    Expects ``exchange``, ``symbol_id`` and ``symbol_type``.
+    """
+    exchange, symbol, kind = F.col("exchange"), F.col("symbol_id"), F.col("symbol_type")
     pieces = F.split(symbol, "-")
-    first, second = F.get(pieces, F.lit(0)), F.get(pieces, F.lit(1))
+    first = F.get(pieces, F.lit(0))
     two = F.size(pieces) == 2
-    empty = F.lit("")
-
-    is_upbit = exchange == "upbit"
-    is_contract = (exchange == "deribit") & symbol_type.isin("future", "option")
-    found = quote_in(first)
-    own_quote = found.isin("USD", "USDC")
-    contract_base = F.regexp_replace(without_quote(first), "_+$", "")
-    contract_quote = F.when(own_quote, found).otherwise("USD")
-    readable_contract = symbol.contains("-")
-
-    word_pair = two & ~symbol.rlike("[0-9]")
-    plain_quote = F.coalesce(quote_in(symbol), F.lit("USD"))
-    plain_base = F.regexp_extract(without_quote(symbol), "^[0-9]*([A-Za-z]+|[A-Za-z0-9]+(?=-))", 1)
-
-    base = (
-        F.when(is_upbit, F.when(two, first).otherwise(empty))
-        .when(is_contract, F.when(readable_contract, contract_base).when(symbol == "OPTIONS", "BTC").otherwise(empty))
-        .when(word_pair, first).otherwise(plain_base)
-    )
-    quote = (
-        F.when(is_upbit, F.when(two, second).otherwise(empty))
-        .when(is_contract, F.when(readable_contract, contract_quote).when(symbol == "OPTIONS", "USD").otherwise(empty))
-        .when(word_pair, second).otherwise(plain_quote)
-    )
-    settle = (
-        F.when(base == "", empty)
-        .when(is_contract, F.when(own_quote & readable_contract, quote).otherwise(base))
-        .when(is_upbit | word_pair, quote)
-        .when(quote == "USD", base).otherwise(quote)
-    )
-    return {"base_asset": base, "quote_asset": quote, "settle_asset": settle}
+    spelled = staged(listing, {
+        "_first": first, "_second": F.get(pieces, F.lit(1)), "_quote": quote_in(symbol), "_first_quote": quote_in(first),
+        "_shape": F.when(exchange == "upbit", F.when(two, "pair").otherwise("unreadable"))
+        .when((exchange == "deribit") & kind.isin("future", "option"),
+              F.when(symbol == "OPTIONS", "chain").when(symbol.contains("-"), "contract").otherwise("unreadable"))
+        .when(two & ~symbol.rlike("[0-9]"), "pair").otherwise("joined"),
+    })
+    shape = F.col("_shape")
+    own_quote = F.col("_first_quote").isin("USD", "USDC")
+    named = staged(spelled, {
+        "base_asset": F.when(shape == "pair", F.col("_first"))
+        .when(shape == "contract", F.regexp_replace(without(F.col("_first"), F.col("_first_quote")), "_+$", ""))
+        .when(shape == "chain", "BTC")
+        .when(shape == "joined", F.regexp_extract(
+            without(symbol, F.col("_quote")), "^[0-9]*([A-Za-z]+|[A-Za-z0-9]+(?=-))", 1))
+        .otherwise(""),
+        "quote_asset": F.when(shape == "pair", F.col("_second"))
+        .when(shape == "contract", F.when(own_quote, F.col("_first_quote")).otherwise("USD"))
+        .when(shape == "chain", "USD")
+        .when(shape == "joined", F.coalesce("_quote", F.lit("USD")))
+        .otherwise(""),
+        "_coin_settled": F.when(shape == "contract", ~F.coalesce(own_quote, F.lit(False))).otherwise(shape != "pair"),
+    })
+    coin = F.col("_coin_settled") & (F.col("quote_asset") == "USD")
+    settle = F.when(F.col("base_asset") == "", "").when(coin, F.col("base_asset")).otherwise(F.col("quote_asset"))
+    return named.withColumn("settle_asset", settle).drop(
+        "_first", "_second", "_quote", "_first_quote", "_shape", "_coin_settled")
 
 
 def _found(symbol: Column, pattern: str, group: int = 1) -> Column:
@@ -73,27 +83,32 @@ def _found(symbol: Column, pattern: str, group: int = 1) -> Column:
     return F.when(text != "", text)
 
 
-def expiry(exchange: Column, symbol: Column, symbol_type: Column) -> Column:
-    """Expiry date written in a futures or options symbol; NULL when absent.
+def with_expiry(listing: DataFrame) -> DataFrame:
+    """Add ``symbol_expiry``, the date written in a futures or options symbol.
 
     Read are day-month-year (``7NOV25``, ``29MAR24``), six digits (``240329``)
     and a futures month code (``M25``, the last day of that month).
     """
+    exchange, symbol, kind = F.col("exchange"), F.col("symbol_id"), F.col("symbol_type")
     day_month = F.coalesce(
-        _found(symbol, r"-(\d[A-Z]{3}\d{2})-"), _found(symbol, r"-(\d{2}[A-Z]{3}\d{2})-"),
-        _found(symbol, r"-(\d{2}[A-Z]{3}\d{2})$"))
-    parsed_day_month = F.to_date(F.try_to_timestamp(F.initcap(F.lpad(day_month, 7, "0")), F.lit("ddMMMyy")))
+        _found(symbol, r"-(\d{1,2}[A-Z]{3}\d{2})-"), _found(symbol, r"-(\d{2}[A-Z]{3}\d{2})$"))
     dashed = F.coalesce(_found(symbol, r"-(\d{6})$"), _found(symbol, r"-(\d{6})-"))
-    six = F.when(exchange == "binance-futures", _found(symbol, r"_(\d{6})$")).when(
-        exchange.isin("deribit", "okex-futures", "okex"), dashed)
-    parsed_six = F.to_date(F.try_to_timestamp(six, F.lit("yyMMdd")))
-    code, year = _found(symbol, r"([A-Z])(\d{2})$", 1), _found(symbol, r"([A-Z])(\d{2})$", 2)
-    month = F.instr(F.lit(MONTH_CODES), code)
-    parsed_code = F.when(
-        exchange.isin("bybit", "deribit") & (month > 0),
-        F.last_day(F.make_date(F.lit(2000) + year.cast("int"), month, F.lit(1))))
-    named = F.when(exchange.isin("deribit", "bybit"), parsed_day_month)
-    return F.when(symbol_type.isin("future", "option"), F.coalesce(named, parsed_six, parsed_code))
+    named = exchange.isin("deribit", "bybit")
+    found = staged(listing, {
+        "_day_month": F.when(named, F.initcap(F.lpad(day_month, 7, "0"))),
+        "_digits": F.when(exchange == "binance-futures", _found(symbol, r"_(\d{6})$"))
+        .when(exchange.isin("deribit", "okex-futures", "okex"), dashed),
+        "_code": F.when(named, F.instr(F.lit(MONTH_CODES), _found(symbol, r"([A-Z])\d{2}$"))),
+        "_year": F.lit(2000) + _found(symbol, r"[A-Z](\d{2})$").cast("int"),
+    })
+    dated = staged(found, {
+        "symbol_expiry": F.when(kind.isin("future", "option"), F.coalesce(
+            F.to_date(F.try_to_timestamp("_day_month", F.lit("ddMMMyy"))),
+            F.to_date(F.try_to_timestamp("_digits", F.lit("yyMMdd"))),
+            F.when(F.col("_code") > 0, F.last_day(F.make_date("_year", "_code", F.lit(1)))),
+        )),
+    })
+    return dated.drop("_day_month", "_digits", "_code", "_year")
 
 
 def strike(exchange: Column, symbol: Column, symbol_type: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions import keys as k
@@ -23,21 +23,18 @@ def eligibility(listing: DataFrame, start: str, end: str) -> DataFrame:
     """
     exchange, symbol, kind = F.col("exchange"), F.col("symbol_id"), F.col("symbol_type")
     contract = kind.isin("future", "option")
-    parsed = listing.withColumns({
-        **sy.assets(exchange, symbol, kind),
-        "_symbol_expiry": sy.expiry(exchange, symbol, kind),
+    parsed = sy.with_expiry(sy.with_assets(listing)).withColumns({
         "strike": sy.strike(exchange, symbol, kind),
         "option_type": sy.option_type(exchange, symbol, kind),
-        "_from": F.try_to_timestamp("available_since"),
-        "_to": F.try_to_timestamp("available_to"),
     })
+    first, last = F.try_to_timestamp("available_since"), F.try_to_timestamp("available_to")
     open_end = F.when(kind.isin("spot", "perpetual"), F.lit(FAR_FUTURE).cast("timestamp")).otherwise(
-        F.col("_symbol_expiry").cast("timestamp"))
-    parsed = parsed.withColumn("_to", F.when(F.col("available_to").isNull(), open_end).otherwise(F.col("_to")))
+        F.col("symbol_expiry").cast("timestamp"))
+    parsed = sy.staged(parsed, {"_from": first, "_to": F.when(F.col("available_to").isNull(), open_end).otherwise(last)})
 
     # Contracts on these venues trade from 08:00 to 08:00.
     at_eight = exchange.isin(*sy.SETTLE_AT_EIGHT) & contract
-    parsed = parsed.withColumns({
+    parsed = sy.staged(parsed, {
         "_from": F.when(at_eight & (F.hour("_from") == 0), F.col("_from") + F.expr("INTERVAL 8 HOURS")).otherwise(F.col("_from")),
         "_to": F.when(at_eight & (F.hour("_to") == 0), F.col("_to") - F.expr("INTERVAL 16 HOURS")).otherwise(F.col("_to")),
     })
@@ -57,8 +54,10 @@ def eligibility(listing: DataFrame, start: str, end: str) -> DataFrame:
         .when(leveraged, "leveraged")
         .when(~wanted_quote, "quote_asset")
     )
-    return parsed.withColumn("skip_reason", reason).withColumn(
-        "expiry_date", F.when(at_eight, F.to_date("_to")).otherwise(F.col("_symbol_expiry")))
+    return sy.staged(parsed, {
+        "skip_reason": reason,
+        "expiry_date": F.when(at_eight, F.to_date("_to")).otherwise(F.col("symbol_expiry")),
+    })
 
 
 def definitions(listing: DataFrame, start: str, end: str) -> DataFrame:
@@ -71,7 +70,7 @@ def definitions(listing: DataFrame, start: str, end: str) -> DataFrame:
     iso = "yyyy-MM-dd'T'HH:mm:ss'+00:00'"
     expiry = F.when(contract & F.col("expiry_date").isNotNull(),
                     F.concat(F.date_format("expiry_date", "yyyy-MM-dd"), F.lit("T08:00:00+00:00")))
-    rows = e.withColumn("instrument_key", key).where(F.col("instrument_key").isNotNull()).select(
+    rows = sy.staged(e, {"instrument_key": key}).where(F.col("instrument_key").isNotNull()).select(
         "instrument_key",
         k.part("instrument_key", 1).alias("venue"), k.part("instrument_key", 2).alias("instrument_type"),
         F.date_format("_from", iso).alias("available_from_datetime"), F.date_format("_to", iso).alias("available_to_datetime"),
@@ -380,8 +379,3 @@ def by_underlying(instruments: DataFrame) -> DataFrame:
     counts = pairs.groupBy("underlying").agg(F.count(F.lit(1)).alias("instruments"))
     return pairs.join(counts, "underlying")
 
-
-def age_rank(frame: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Keep the newest row per key (window form, for frames that need the rank)."""
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
-    return frame.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") == 1).drop("_rank")
