@@ -13,7 +13,7 @@ from tickloom.sources import adapters as ad
 
 CHECKS = Checks()
 check = CHECKS.add
-START, END = "1995-06-01", "1996-12-31"
+START, END = "1995-01-01", "2001-12-31"
 
 _LIFE = f"""
 life AS (
@@ -99,7 +99,7 @@ def _targets(spark, sf):
 
 @check("e16_availability_by_day", fx.with_(fx.AVAILABLE) + """
 SELECT CAST(d AS DATE) AS day, CAST(coalesce(n, 0) AS BIGINT) AS files, n IS NOT NULL AS available
-FROM (SELECT unnest(generate_series(TIMESTAMP '1994-12-01', TIMESTAMP '1996-12-31', INTERVAL 1 DAY)) AS d)
+FROM (SELECT unnest(generate_series(TIMESTAMP '1994-12-01', TIMESTAMP '2001-12-31', INTERVAL 1 DAY)) AS d)
 LEFT JOIN (SELECT day, count(*) AS n FROM available GROUP BY 1) a ON a.day = CAST(d AS DATE)""")
 def _by_day(spark, sf):
     return coverage.availability_by_day(tg.calendar(spark, "1994-12-01", END), ad.available_ticks(spark, sf))
@@ -107,7 +107,7 @@ def _by_day(spark, sf):
 
 @check("e16_coverage_pct", fx.with_(fx.AVAILABLE) + """
 SELECT count(*) AS days, count(a.day) AS available_days, round(count(a.day) * 100.0 / count(*), 6) AS coverage_pct
-FROM (SELECT CAST(unnest(generate_series(TIMESTAMP '1994-12-01', TIMESTAMP '1996-12-31', INTERVAL 1 DAY)) AS DATE) AS d)
+FROM (SELECT CAST(unnest(generate_series(TIMESTAMP '1994-12-01', TIMESTAMP '2001-12-31', INTERVAL 1 DAY)) AS DATE) AS d)
 LEFT JOIN (SELECT DISTINCT day FROM available) a ON a.day = d""")
 def _pct(spark, sf):
     return rounded(coverage.coverage_pct(_by_day(spark, sf)))

@@ -91,8 +91,8 @@ ins0 AS (
          ['SPOT_PAIR', 'PERPETUAL', 'FUTURE', 'OPTION'][p_size % 4 + 1] AS instrument_type,
          upper(split_part(p_name, ' ', 1)) || (p_partkey % 50) AS base_asset,
          CASE WHEN p_partkey % 5 = 0 THEN 'USD' ELSE 'USDT' END AS quote_asset,
-         DATE '1995-01-01' + CAST(p_partkey % 1500 AS INTEGER) AS d0,
-         DATE '1995-01-01' + CAST(p_partkey % 1500 AS INTEGER) + CAST(p_size * 20 + 30 AS INTEGER) AS d1
+         DATE '1995-01-01' + CAST(p_partkey % 200 AS INTEGER) AS d0,
+         DATE '1995-01-01' + CAST(p_partkey % 200 AS INTEGER) + CAST(p_size * 2 + 10 AS INTEGER) AS d1
   FROM part
 ),
 instruments AS (

@@ -351,16 +351,16 @@ def _membership(spark, sf):
 
 
 @check("c4_expiry_substring", fx.with_(fx.INSTRUMENTS) +
-       "SELECT instrument_key, expiry FROM instruments WHERE contains(expiry, '1996-0') OR contains(expiry, '1997-1')")
+       "SELECT instrument_key, expiry FROM instruments WHERE contains(expiry, '1995-0') OR contains(expiry, '1995-1')")
 def _expiry(spark, sf):
-    return ins.select_instruments(ad.instruments(spark, sf), expiry=["1996-0", "1997-1"]).select("instrument_key", "expiry")
+    return ins.select_instruments(ad.instruments(spark, sf), expiry=["1995-0", "1995-1"]).select("instrument_key", "expiry")
 
 
 @check("c5_valid_on_date", fx.with_(fx.INSTRUMENTS) + """
 SELECT instrument_key, available_from_datetime, available_to_datetime FROM instruments
-WHERE CAST(d0 AS TIMESTAMP) <= TIMESTAMP '1996-07-01' AND CAST(d1 AS TIMESTAMP) + INTERVAL 8 HOURS >= TIMESTAMP '1996-07-01'""")
+WHERE CAST(d0 AS TIMESTAMP) <= TIMESTAMP '1995-07-01' AND CAST(d1 AS TIMESTAMP) + INTERVAL 8 HOURS >= TIMESTAMP '1995-07-01'""")
 def _valid_on(spark, sf):
-    return ins.available_on(ad.instruments(spark, sf), "1996-07-01").select(
+    return ins.available_on(ad.instruments(spark, sf), "1995-07-01").select(
         "instrument_key", "available_from_datetime", "available_to_datetime")
 
 
@@ -475,15 +475,23 @@ def _similar(spark, sf):
     return ins.similar(ad.instruments(spark, sf), "OKX:PERPETUAL:NONE-USDT")
 
 
-@check("d16_listing_changes", fx.with_(fx.INSTRUMENTS) + """
-SELECT coalesce(a.venue, b.venue) AS venue, coalesce(a.exchange_raw_symbol, b.exchange_raw_symbol) AS exchange_raw_symbol,
-  CASE WHEN a.venue IS NULL THEN 'added' ELSE 'removed' END AS change
-FROM (SELECT DISTINCT venue, exchange_raw_symbol FROM instruments WHERE p_partkey % 10 <> 1) a
-FULL JOIN (SELECT DISTINCT venue, exchange_raw_symbol FROM instruments WHERE p_partkey % 10 <> 2) b
-  ON a.venue = b.venue AND a.exchange_raw_symbol = b.exchange_raw_symbol WHERE a.venue IS NULL OR b.venue IS NULL""")
+SNAPSHOTS = ("1995-04-01", "1995-05-01")
+CHANGES = fx.with_(fx.INSTRUMENTS, *[f"""
+s{i} AS (SELECT DISTINCT venue, exchange_raw_symbol FROM instruments WHERE d0 <= DATE '{day}' AND d1 >= DATE '{day}')"""
+                                     for i, day in enumerate(SNAPSHOTS)], """
+changed AS (
+  SELECT coalesce(a.venue, b.venue) AS venue, coalesce(a.exchange_raw_symbol, b.exchange_raw_symbol) AS exchange_raw_symbol,
+    CASE WHEN a.venue IS NULL THEN 'added' ELSE 'removed' END AS change
+  FROM s0 a FULL JOIN s1 b ON a.venue = b.venue AND a.exchange_raw_symbol = b.exchange_raw_symbol
+  WHERE a.venue IS NULL OR b.venue IS NULL
+)""")
+
+
+@check("d16_listing_changes", CHANGES + "SELECT * FROM changed")
 def _changes(spark, sf):
     i = ad.instruments(spark, sf)
-    return ins.changes(i.where(F.col("p_partkey") % 10 != 1), i.where(F.col("p_partkey") % 10 != 2), ["venue", "exchange_raw_symbol"])
+    before, after = (ins.available_on(i, day) for day in SNAPSHOTS)
+    return ins.changes(before, after, ["venue", "exchange_raw_symbol"])
 
 
 @check("d12_unknown_requests", fx.with_(fx.INSTRUMENTS) + """

@@ -76,7 +76,8 @@ def missing_report(expected: DataFrame, missing: DataFrame) -> DataFrame:
 
 
 def known_types(instruments: DataFrame) -> DataFrame:
-    return instruments.select(F.trim(F.explode(F.split("data_types", ","))).alias("data_type")).distinct().orderBy("data_type")
+    return instruments.select(F.explode(F.split("data_types", ",")).alias("data_type")).select(
+        F.trim("data_type").alias("data_type")).distinct().orderBy("data_type")
 
 
 def missing_to_targets(

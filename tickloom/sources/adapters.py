@@ -152,8 +152,8 @@ def instruments(spark: SparkSession, sf_dir: str) -> DataFrame:
     instrument_type = _pick(kind, ["SPOT_PAIR", "PERPETUAL", "FUTURE", "OPTION"])
     base = F.concat(F.upper(F.split_part("p_name", F.lit(" "), F.lit(1))), F.pmod("p_partkey", F.lit(50)))
     quote = F.when(F.col("p_partkey") % 5 == 0, "USD").otherwise("USDT")
-    start = F.date_add(F.lit("1995-01-01").cast("date"), (F.col("p_partkey") % 1500).cast("int"))
-    end = F.date_add(start, (F.col("p_size") * 20 + 30).cast("int"))
+    start = F.date_add(F.lit("1995-01-01").cast("date"), (F.col("p_partkey") % 200).cast("int"))
+    end = F.date_add(start, (F.col("p_size") * 2 + 10).cast("int"))
     expiry = F.date_format(end, "yyMMdd")
     strike = (F.col("p_size") * 10).cast("string")
     side = F.when(F.col("p_partkey") % 2 == 0, "CALL").otherwise("PUT")

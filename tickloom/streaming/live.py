@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tickloom.functions import timegrid as tg
 from tickloom.operators import candles as cd
 from tickloom.operators import indicators as ind
-from tickloom.operators import quality
+from tickloom.operators import instruments, quality
 
 SIDE = "array<struct<price: double, amount: double>>"
 MESSAGE_SCHEMA = (
@@ -269,6 +269,27 @@ def subscribe(messages: DataFrame, symbol: str, timeframe: str | None = None) ->
     return messages.where(F.col("channel") == channel)
 
 
+class ListingWatch:
+    """Batch handler: compare each listing with the one before and report changes.
+
+    Listings are kept one folder per batch. Callbacks get the added and removed
+    rows; the first listing has nothing to be compared with.
+    """
+
+    def __init__(self, path: str, on: Sequence[str], callbacks: Sequence[Callable[[DataFrame, int], None]] = ()):
+        self.path, self.on, self.callbacks = path, list(on), callbacks
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.select(*self.on).distinct().write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        if batch_id == 0:
+            return
+        before, after = (spark.read.parquet(f"{self.path}/batch_id={i}") for i in (batch_id - 1, batch_id))
+        changed = instruments.changes(before, after, self.on)
+        for call in self.callbacks:
+            call(changed, batch_id)
+
+
 # -- validation of live candles -------------------------------------------------------------------
 
 class LiveValidation:
