@@ -58,7 +58,7 @@ def main() -> None:
         "e8_options_features": lambda: features.options_features(ad.options_chain(spark, SF_DIR), "24h"),
         "d2_missing_by_type": lambda: coverage.missing_types(expected, available),
         "d13_underlying_groups": lambda: coverage.underlying_groups(instruments, available, ["trades", "book_snapshot_5"]),
-        "j9_stability": lambda: quality.stability(trades, 900, bucket_seconds=3600),
+        "j9_stability": lambda: quality.stability(trades, 900, block_seconds=3600),
         "j17_three_rules": lambda: reconcile.three_rules(hourly, other),
     }
     seconds = {}

@@ -264,7 +264,7 @@ SELECT instrument_key, b AS "timestamp",
   round(open_interest - lag(open_interest) OVER (PARTITION BY instrument_key ORDER BY b), 6) AS oi_change FROM dv""")
 def _oi_change(spark, sf):
     frame = features.derivative_features(ad.derivative_ticker(spark, sf), "1h")
-    stepped = with_previous(frame, ["instrument_key"], "timestamp", ["open_interest"], bucket_seconds=86400)
+    stepped = with_previous(frame, ["instrument_key"], "timestamp", ["open_interest"], block_seconds=86400)
     return rounded(stepped.select("instrument_key", "timestamp", (
         F.col("open_interest") - F.col("prev_open_interest")).alias("oi_change")))
 

@@ -127,7 +127,7 @@ sx AS (SELECT *, CAST(epoch_us("timestamp") - epoch_us(previous_timestamp) AS DO
 SELECT instrument_key, count(x) AS intervals, round(avg(x), 6) AS avg_interval, round(stddev_pop(x), 6) AS std_interval, min(x) AS min_interval,
   max(x) AS max_interval, CAST(count(*) FILTER (WHERE abs(x - 2000) > 1) AS BIGINT) AS interval_errors FROM sx GROUP BY 1""")
 def _interval_stats(spark, sf):
-    stepped = quality.intervals(ad.trades(spark, sf).select("instrument_key", "timestamp"), KEY, bucket_seconds=3600)
+    stepped = quality.intervals(ad.trades(spark, sf).select("instrument_key", "timestamp"), KEY, block_seconds=3600)
     return rounded(quality.interval_stats(stepped, KEY, 2000))
 
 
@@ -135,7 +135,7 @@ def _interval_stats(spark, sf):
 SELECT instrument_key, previous_timestamp AS gap_start, "timestamp" AS gap_end, x AS gap_seconds, round(x / 900, 6) AS gap_ratio FROM sx WHERE x > 1350""")
 def _gaps(spark, sf):
     series = candles.ohlcv(ad.trades(spark, sf), "15m").select("instrument_key", "timestamp")
-    found = quality.gaps(quality.intervals(series, KEY, bucket_seconds=86400), KEY, 900)
+    found = quality.gaps(quality.intervals(series, KEY, block_seconds=86400), KEY, 900)
     return rounded(found)
 
 
@@ -146,14 +146,22 @@ SELECT instrument_key, id, "timestamp", p AS previous_timestamp FROM (
 def _order(spark, sf):
     late = ad.trades(spark, sf).withColumn(
         "local_timestamp", F.timestamp_micros(F.unix_micros("local_timestamp") + F.round(F.col("amount") * 100).cast("long") * 1_000_000))
-    return quality.out_of_order(late, bucket_seconds=3600)
+    return quality.out_of_order(late, block_seconds=3600)
+
+
+@check("f18_previous_price_split", fx.with_(fx.TRADES) +
+       'SELECT instrument_key, id, lag(price) OVER (PARTITION BY instrument_key ORDER BY "timestamp", id) AS prev_price FROM trades')
+def _previous_split(spark, sf):
+    """Busy blocks are cut up: here any day with more than 20 trades of an instrument."""
+    frame = ad.trades(spark, sf).select("instrument_key", "timestamp", "id", "price")
+    return with_previous(frame, KEY, "timestamp", ["price"], ["id"], 86400, split_rows=20).select("instrument_key", "id", "prev_price")
 
 
 @check("f18_previous_price", fx.with_(fx.TRADES) +
        'SELECT instrument_key, id, lag(price) OVER (PARTITION BY instrument_key ORDER BY "timestamp", id) AS prev_price FROM trades')
 def _previous(spark, sf):
     frame = ad.trades(spark, sf).select("instrument_key", "timestamp", "id", "price")
-    return with_previous(frame, KEY, "timestamp", ["price"], ["id"], bucket_seconds=600).select("instrument_key", "id", "prev_price")
+    return with_previous(frame, KEY, "timestamp", ["price"], ["id"], block_seconds=600).select("instrument_key", "id", "prev_price")
 
 
 @check("j9_stability_15m", fx.with_(fx.TRADES, _BAD, """
@@ -166,7 +174,7 @@ u AS (SELECT q.instrument_key, unnest(['duplicate_timestamps', 'timestamp_orderi
         unnest([c.dup, coalesce(o.late, 0), q.drift, q.gap]) AS problems FROM q JOIN c USING (instrument_key) LEFT JOIN o USING (instrument_key))""") + """
 SELECT instrument_key, test_name, CASE WHEN problems > 0 THEN 'FAIL' ELSE 'PASS' END AS status, CAST(problems AS BIGINT) AS problems FROM u""")
 def _stability(spark, sf):
-    return quality.stability(_bad(spark, sf), 900, bucket_seconds=3600)
+    return quality.stability(_bad(spark, sf), 900, block_seconds=3600)
 
 
 @check("j9_duplicate_times", _BAD_CTE +

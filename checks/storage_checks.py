@@ -50,6 +50,25 @@ def _pushed(spark, sf):
     ).select("instrument_key", "timestamp", "price")
 
 
+@check("a3_chunked_scan", fx.with_(fx.TRADES) + """
+SELECT side, CAST(count(*) AS BIGINT) AS "rows", round(sum(price * amount), 4) AS notional FROM trades GROUP BY 1""")
+def _chunked(spark, sf):
+    """Each Arrow chunk is folded to one row per side where it lies; the partial rows are summed."""
+    def fold(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table.append_column("n", pc.multiply(table["price"], table["amount"]))
+            sums = table.group_by("side").aggregate([("n", "count"), ("n", "sum")])
+            yield from sums.select(["side", "n_count", "n_sum"]).rename_columns(["side", "rows", "notional"]).to_batches()
+
+    ticks = ad.trades(spark, sf).select("side", "price", "amount")
+    partial = readers.map_chunks(ticks, fold, "side string, rows bigint, notional double")
+    return partial.groupBy("side").agg(F.sum("rows").alias("rows"), F.round(F.sum("notional"), 4).alias("notional"))
+
+
 @check("c1_closed_range", fx.with_(fx.TRADES) + f"SELECT id, \"timestamp\" FROM trades WHERE {_IN}")
 def _closed(spark, sf):
     return ad.trades(spark, sf).where(F.col("timestamp").between(LOW, HIGH)).select("id", "timestamp")

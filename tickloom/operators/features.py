@@ -66,7 +66,7 @@ def oi_features(frame: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Open-interest change since the previous candle and liquidations by its sign."""
     change = F.col("open_interest") - F.col("prev_open_interest")
     liquidated = F.col("liquidation_buy_volume") + F.col("liquidation_sell_volume")
-    stepped = with_previous(frame, keys, "timestamp", ["open_interest"], bucket_seconds=86400)
+    stepped = with_previous(frame, keys, "timestamp", ["open_interest"], block_seconds=86400)
     return stepped.withColumns({
         "oi_change": change,
         "liquidation_with_rising_oi": F.when(change > 0, liquidated),

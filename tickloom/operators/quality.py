@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.operators.series import with_previous
+from tickloom.operators.series import numbered, with_previous
 from tickloom.schemas import BOOK_LEVELS, SIDES
 
 # Columns each data type must have.
@@ -29,6 +29,9 @@ RANGES = {
 }
 FIRST_YEAR, LAST_YEAR = 2020, 2030
 
+# A block of ticks with more rows is cut up before it is put into one window.
+SPLIT_ROWS = 1_000_000
+
 
 # -- rows ------------------------------------------------------------------------
 
@@ -175,10 +178,12 @@ def vendor_labels(raw: DataFrame, exchange: str, symbol: str) -> DataFrame:
     return out.withColumn("valid", right)
 
 
-def intervals(series: DataFrame, keys: Sequence[str], time: str = "timestamp", ties: Sequence[str] = (),
-              bucket_seconds: int = 60) -> DataFrame:
+def intervals(
+    series: DataFrame, keys: Sequence[str], time: str = "timestamp", ties: Sequence[str] = (), block_seconds: int = 60,
+    split_rows: int | None = SPLIT_ROWS,
+) -> DataFrame:
     """Seconds since the preceding row of the same key; NULL on the first."""
-    stepped = with_previous(series, keys, time, [time], ties, bucket_seconds, prefix="previous_")
+    stepped = with_previous(series, keys, time, [time], ties, block_seconds, split_rows, prefix="previous_")
     return stepped.withColumn(
         "interval_seconds", (F.unix_micros(time) - F.unix_micros(f"previous_{time}")) / 1e6)
 
@@ -199,9 +204,10 @@ def gaps(stepped: DataFrame, keys: Sequence[str], expected_seconds: float, time:
         (x / expected_seconds).alias("gap_ratio"))
 
 
-def out_of_order(ticks: DataFrame, keys: Sequence[str] = ("instrument_key",), bucket_seconds: int = 60) -> DataFrame:
+def out_of_order(ticks: DataFrame, keys: Sequence[str] = ("instrument_key",), block_seconds: int = 60) -> DataFrame:
     """Rows whose exchange time is before that of the row received just before."""
-    stepped = with_previous(ticks, keys, "local_timestamp", ["timestamp"], ["id"], bucket_seconds, prefix="previous_")
+    stepped = with_previous(
+        ticks, keys, "local_timestamp", ["timestamp"], ["id"], block_seconds, SPLIT_ROWS, prefix="previous_")
     return stepped.where(F.col("timestamp") < F.col("previous_timestamp")).select(
         *keys, "id", "timestamp", "previous_timestamp")
 
@@ -218,18 +224,19 @@ def _finding(test: str, count: Column) -> Column:
 
 def stability(
     ticks: DataFrame, expected_seconds: float, max_drift: float = 1.0, keys: Sequence[str] = ("instrument_key",),
-    bucket_seconds: int = 60, arrival: str | None = "local_timestamp",
+    block_seconds: int = 60, arrival: str | None = "local_timestamp",
 ) -> DataFrame:
     """Four checks per key: duplicates, arrival order, interval drift and gaps."""
     dup = duplicate_times(ticks, keys).groupBy(*keys).agg(F.sum("extra_rows").alias("dup"))
     distinct_times = ticks.select(*keys, "timestamp").distinct()
-    stepped = intervals(distinct_times, keys, bucket_seconds=bucket_seconds)
+    # Candle times are few per block; tick times may not be.
+    stepped = intervals(distinct_times, keys, block_seconds=block_seconds, split_rows=SPLIT_ROWS if arrival else None)
     x = F.col("interval_seconds")
     stats = stepped.groupBy(*keys).agg(
         F.count_if(F.abs(x - expected_seconds) > max_drift).alias("drift"), F.count_if(x > 1.5 * expected_seconds).alias("gap"))
     out = stats.join(dup, list(keys), "left")
     if arrival:
-        late = out_of_order(ticks, keys, bucket_seconds).groupBy(*keys).agg(F.count(F.lit(1)).alias("late"))
+        late = out_of_order(ticks, keys, block_seconds).groupBy(*keys).agg(F.count(F.lit(1)).alias("late"))
         out = out.join(late, list(keys), "left")
     else:
         out = out.withColumn("late", F.lit(0))
@@ -268,13 +275,11 @@ def clock_skew(ticks: DataFrame, max_skew_seconds: float = 0.05, keys: Sequence[
 def paired_clock_skew(local: DataFrame, server: DataFrame, max_skew_seconds: float, keys: Sequence[str]) -> DataFrame:
     """As :func:`clock_skew` for two tables paired by position in time order.
 
-    Positions come from per-day numbering plus daily offsets, so a long series is
-    not numbered in one task. Unequal counts fail.
+    Positions come from numbering inside short blocks plus block offsets, so a
+    long series is not numbered in one task. Unequal counts fail.
     """
-    from tickloom.operators.series import numbered
-
-    a = numbered(local.select(*keys, "timestamp"), keys).withColumnRenamed("timestamp", "_local")
-    b = numbered(server.select(*keys, "timestamp"), keys).withColumnRenamed("timestamp", "_server")
+    a = numbered(local.select(*keys, "timestamp"), keys, block_seconds=60, split_rows=SPLIT_ROWS).withColumnRenamed("timestamp", "_local")
+    b = numbered(server.select(*keys, "timestamp"), keys, block_seconds=60, split_rows=SPLIT_ROWS).withColumnRenamed("timestamp", "_server")
     skew = (F.unix_micros("_local") - F.unix_micros("_server")) / 1e6
     return a.join(b, [*keys, "_rn"], "full_outer").groupBy(*keys).agg(
         F.count("_local").alias("local_count"), F.count("_server").alias("server_count"),

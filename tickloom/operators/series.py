@@ -19,30 +19,55 @@ from pyspark.sql import functions as F
 from tickloom.functions.timegrid import bucket_micros
 
 
+def time_blocks(
+    df: DataFrame, keys: Sequence[str], time: str, block_seconds: int, split_rows: int | None = None
+) -> DataFrame:
+    """Add ``_block``, the start (microseconds) of the time block of each row.
+
+    With ``split_rows``, a (key, block) holding more rows is cut into equal
+    shorter blocks of about that many rows, so a burst does not become one task.
+    Only the busy blocks are listed and joined back, and blocks still follow time
+    order. Rows of one instant stay together.
+    """
+    width = block_seconds * 1_000_000
+    marked = df.withColumn("_block", bucket_micros(time, width))
+    if split_rows is None:
+        return marked
+    busy = (
+        marked.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > split_rows)
+        .withColumn("_pieces", F.ceil(F.col("_n") / split_rows)).drop("_n")
+    )
+    pieces = F.coalesce("_pieces", F.lit(1))
+    piece = F.floor((F.unix_micros(time) - F.col("_block")) * pieces / width)
+    start = F.col("_block") + F.floor(piece * width / pieces)
+    return marked.join(busy, [*keys, "_block"], "left").withColumn("_block", start).drop("_pieces")
+
+
 def with_previous(
     df: DataFrame,
     keys: Sequence[str],
     time: str,
     values: Sequence[str],
     ties: Sequence[str] = (),
-    bucket_seconds: int = 60,
+    block_seconds: int = 60,
+    split_rows: int | None = None,
     prefix: str = "prev_",
 ) -> DataFrame:
     """Add ``prefix + value``: each value on the preceding row of the same key.
 
     Rows are ordered by ``time`` and then ``ties``. The window partition is one
-    (key, bucket); a bucket's first row takes the last row of the nearest
-    earlier bucket, found among one row per bucket.
+    (key, block); a block's first row takes the last row of the nearest earlier
+    block, found among one row per block.
     """
     order = [time, *ties]
-    marked = df.withColumn("_bucket", bucket_micros(time, bucket_seconds * 1_000_000))
+    marked = time_blocks(df, keys, time, block_seconds, split_rows)
     packed = F.struct(*[F.col(v) for v in values])
-    lasts = marked.groupBy(*keys, "_bucket").agg(F.max_by(packed, F.struct(*order)).alias("_last"))
-    over_buckets = Window.partitionBy(*keys).orderBy("_bucket")
-    lasts = lasts.select(*keys, "_bucket", F.lag("_last").over(over_buckets).alias("_before"))
+    lasts = marked.groupBy(*keys, "_block").agg(F.max_by(packed, F.struct(*order)).alias("_last"))
+    over_blocks = Window.partitionBy(*keys).orderBy("_block")
+    lasts = lasts.select(*keys, "_block", F.lag("_last").over(over_blocks).alias("_before"))
 
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(*order)
-    joined = marked.join(lasts, [*keys, "_bucket"])
+    inside = Window.partitionBy(*keys, "_block").orderBy(*order)
+    joined = marked.join(lasts, [*keys, "_block"])
     previous = F.when(F.row_number().over(inside) == 1, F.col("_before")).otherwise(F.lag(packed).over(inside))
     out = joined.withColumn("_previous", previous)
     return out.select(
@@ -50,18 +75,21 @@ def with_previous(
     )
 
 
-def numbered(df: DataFrame, keys: Sequence[str], time: str = "timestamp", days: int = 1) -> DataFrame:
+def numbered(
+    df: DataFrame, keys: Sequence[str], time: str = "timestamp", block_seconds: int = 86400, split_rows: int | None = None,
+    ties: Sequence[str] = (),
+) -> DataFrame:
     """Add ``_rn``, the 1-based position of each row in its key's series.
 
-    Positions come from per-block row numbers plus the number of rows in earlier
-    blocks of ``days`` days. Use on series with a bounded number of rows per
-    block, such as candles.
+    Positions come from row numbers inside a block plus the number of rows in
+    earlier blocks. A day's block suits candles, whose number per day is fixed;
+    ticks need short blocks and ``split_rows``.
     """
-    marked = df.withColumn("_block", bucket_micros(time, days * 86_400_000_000))
-    counts = marked.groupBy(*keys, "_block").count()
+    marked = time_blocks(df, keys, time, block_seconds, split_rows)
+    counts = marked.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, "_block", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy(*keys, "_block").orderBy(time)
+    offsets = counts.select(*keys, "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy(*keys, "_block").orderBy(time, *ties)
     return (
         marked.join(offsets, [*keys, "_block"])
         .withColumn("_rn", F.col("_offset") + F.row_number().over(inside))

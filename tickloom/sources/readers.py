@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -78,6 +78,14 @@ def in_chunks(ticks: DataFrame, rows: int = 10_000) -> Iterator[list[Row]]:
         yield chunk
 
 
+def map_chunks(ticks: DataFrame, fold: Callable, schema: str) -> DataFrame:
+    """Apply ``fold(iterator of Arrow batches)`` inside the tasks that hold the rows.
+
+    The batch size is ``spark.sql.execution.arrow.maxRecordsPerBatch``.
+    """
+    return ticks.mapInArrow(fold, schema)
+
+
 def around(ticks: DataFrame, times: DataFrame, buffer_minutes: float = 5, bounds: tuple[str, str] | None = None) -> DataFrame:
     """Ticks within ``buffer_minutes`` of each requested time, as ``requested_at``.
 

@@ -351,7 +351,7 @@ class LiveValidation:
 def live_findings(candles: DataFrame, timeframe: str) -> DataFrame:
     """Time stability and price sanity of a series of candles, per instrument."""
     keys = ["instrument_key"]
-    times = quality.stability(candles, tg.seconds(timeframe), keys=keys, bucket_seconds=86400, arrival=None)
+    times = quality.stability(candles, tg.seconds(timeframe), keys=keys, block_seconds=86400, arrival=None)
     broken = F.count_if((F.col("high") < F.col("low")) | (F.col("high") < F.col("open")) | (F.col("high") < F.col("close")))
     sane = candles.groupBy(*keys).agg(broken.alias("problems")).select(
         *keys, F.lit("candle_sanity").alias("test_name"), F.when(F.col("problems") > 0, "FAIL").otherwise("PASS").alias("status"), "problems")
