@@ -401,6 +401,18 @@ def _book_grid(spark, sf):
         "instrument_key", "timestamp", "timestamp_out", "bid_levels_filled")
 
 
+@check("i17_book_rollup_4h", _book_sql(14400))
+def _book_rollup(spark, sf):
+    base = book.book_features(ad.book_snapshots(spark, sf), "15m")
+    return rounded(book.rollup_book(base, ["4h"]).drop("timeframe"))
+
+
+@check("e1_ohlcv_one_pass", fx.with_(fx.TRADES, *[fx.candles(n, f"c{n}") for n in (15, 60, 86400)]) + " UNION ALL ".join(
+    f"SELECT '{tf}' AS timeframe, {CANDLE_SQL} FROM c{n}" for tf, n in (("15s", 15), ("1m", 60), ("24h", 86400))))
+def _one_pass(spark, sf):
+    return rounded(candles.ohlcv(candles.with_sequence(ad.trades(spark, sf)), ("15s", "1m", "24h")))
+
+
 # -- indicators ------------------------------------------------------------
 
 def _ema_cte(name: str, column: str, k: int) -> str:

@@ -476,6 +476,16 @@ def _candle_job(spark, sf):
                            ad.book_snapshots(spark, sf))
 
 
+@check("p7_book_job", fx.with_(fx.EVENTS, fx.BOOKS) + " UNION ALL ".join(
+    f"SELECT '{tf}' AS timeframe, count(*) AS \"rows\", min(b) AS first_row FROM (SELECT DISTINCT instrument_key, "
+    f"time_bucket(INTERVAL {n} SECONDS, \"timestamp\", {_TS0}) AS b FROM books)" for tf, n in _ALL))
+def _book_job(spark, sf):
+    root = work_folder(spark, "p7b")
+    jobs.candle_job(spark, root, ad.trades(spark, sf), books=ad.book_snapshots(spark, sf))
+    return spark.read.parquet(f"{root}/book").groupBy("timeframe").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("timestamp").alias("first_row"))
+
+
 @check("p8_candles_to_warehouse", _job_counts((("1m", 60), ("1h", 3600))))
 def _to_warehouse(spark, sf):
     root = work_folder(spark, "p8")

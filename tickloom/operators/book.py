@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions import timegrid as tg
-from tickloom.operators.candles import KEYS
+from tickloom.operators.candles import KEYS, Timeframes, interval_frame
 from tickloom.schemas import BOOK_LEVELS
 
 LEVELS = range(1, BOOK_LEVELS + 1)
@@ -20,16 +20,28 @@ def _total(columns: Sequence[Column]) -> Column:
     return reduce(add, columns)
 
 
-def first_snapshot(books: DataFrame, timeframe: str, keys: Sequence[str] = KEYS) -> DataFrame:
+RAW = tuple(f"{s}_{w}_{i}" for i in LEVELS for s in ("bid", "ask") for w in ("price", "volume"))
+
+
+def first_snapshot(books: DataFrame, timeframe: Timeframes, keys: Sequence[str] = KEYS) -> DataFrame:
     """The first snapshot of each interval, which is the one nearest its start."""
     order = F.struct(*[c for c in ("timestamp", "local_timestamp", "id") if c in books.columns])
-    levels = [f"{s}_{w}_{i}" for i in LEVELS for s in ("bid", "ask") for w in ("price", "volume")]
-    row = F.struct(F.col("timestamp").alias("snapshot_timestamp"), *levels)
-    return (
-        books.groupBy(*keys, tg.aligned("timestamp", timeframe).alias("_start"))
-        .agg(F.min_by(row, order).alias("s"))
-        .select(*keys, F.lit(timeframe).alias("timeframe"), F.col("_start").alias("timestamp"), "s.*")
-    )
+    row = F.struct(F.col("timestamp").alias("snapshot_timestamp"), *RAW)
+    frame = interval_frame(books, timeframe, keys, [F.min_by(row, order).alias("s")])
+    name = F.lit(timeframe).alias("timeframe") if isinstance(timeframe, str) else F.col("timeframe")
+    return frame.select(*keys, name, "timestamp", "s.*")
+
+
+def rollup_book(rows: DataFrame, timeframes: Sequence[str], keys: Sequence[str] = KEYS) -> DataFrame:
+    """Book rows of longer timeframes: the first child's snapshot is the parent's."""
+    row = F.struct("snapshot_timestamp", *RAW)
+    present = rows.where(F.col("snapshot_timestamp").isNotNull())
+    frame = interval_frame(present, tuple(timeframes), keys, [F.min_by(row, F.col("snapshot_timestamp")).alias("s")])
+    return emitted(derived(frame.select(*keys, "timeframe", "timestamp", "s.*")))
+
+
+def emitted(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("timestamp_out", tg.emission_time(F.col("snapshot_timestamp"), F.col("timestamp")))
 
 
 def derived(books: DataFrame) -> DataFrame:
@@ -75,5 +87,4 @@ def book_features(
             grid.join(frame.drop("timeframe"), [*keys, "timestamp"], "left")
             .withColumn("timeframe", F.lit(timeframe))
         )
-    return derived(frame).withColumn(
-        "timestamp_out", tg.emission_time(F.col("snapshot_timestamp"), F.col("timestamp")))
+    return emitted(derived(frame))

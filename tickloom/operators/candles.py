@@ -14,7 +14,20 @@ KEYS = ("instrument_key",)
 TIE_BITS = 26
 
 
-def tick_order(ticks: DataFrame, timeframe: str) -> Column:
+# One timeframe, or several that are computed in the same pass.
+Timeframes = str | Sequence[str]
+
+
+def longest(timeframe: Timeframes) -> str:
+    return timeframe if isinstance(timeframe, str) else max(timeframe, key=tg.seconds)
+
+
+def series_keys(timeframe: Timeframes, keys: Sequence[str]) -> list[str]:
+    """Keys of one candle series: with several timeframes, their name too."""
+    return list(keys) if isinstance(timeframe, str) else [*keys, "timeframe"]
+
+
+def tick_order(ticks: DataFrame, timeframe: Timeframes) -> Column:
     """A total order of the ticks inside one interval.
 
     With a ``seq`` column (rank among ticks of equal time, written at ingest) the
@@ -22,7 +35,8 @@ def tick_order(ticks: DataFrame, timeframe: str) -> Column:
     a struct, and Spark sorts.
     """
     if "seq" in ticks.columns:
-        offset = F.pmod(F.unix_micros("timestamp"), F.lit(tg.seconds(timeframe) * 1_000_000))
+        # Shorter intervals lie inside the longest, so its offset orders them too.
+        offset = F.pmod(F.unix_micros("timestamp"), F.lit(tg.seconds(longest(timeframe)) * 1_000_000))
         return F.shiftleft(offset, TIE_BITS) + F.col("seq")
     return F.struct(*[c for c in ("timestamp", "local_timestamp", "id", "price") if c in ticks.columns])
 
@@ -35,7 +49,7 @@ def with_sequence(ticks: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     return ticks.withColumn("seq", F.row_number().over(ties).cast("long"))
 
 
-def candle_aggregates(ticks: DataFrame, timeframe: str) -> list[Column]:
+def candle_aggregates(ticks: DataFrame, timeframe: Timeframes) -> list[Column]:
     order = tick_order(ticks, timeframe)
     return [
         F.min_by("price", order).alias("open"),
@@ -49,16 +63,29 @@ def candle_aggregates(ticks: DataFrame, timeframe: str) -> list[Column]:
     ]
 
 
-def interval_frame(ticks: DataFrame, timeframe: str, keys: Sequence[str], aggregates: list[Column]) -> DataFrame:
-    """Aggregate ticks by key and interval; the interval start becomes ``timestamp``."""
+def interval_frame(ticks: DataFrame, timeframe: Timeframes, keys: Sequence[str], aggregates: Sequence[Column]) -> DataFrame:
+    """Aggregate rows by key and interval; the interval start becomes ``timestamp``.
+
+    Several timeframes are served by one scan: each row is repeated per timeframe
+    inside its task and combined there before the shuffle. The result then has a
+    ``timeframe`` column.
+    """
+    at = F.unix_micros("timestamp")
+    if isinstance(timeframe, str):
+        source, width = ticks, F.lit(tg.seconds(timeframe) * 1_000_000)
+    else:
+        steps = F.array(*[
+            F.struct(F.lit(tf).alias("timeframe"), F.lit(tg.seconds(tf) * 1_000_000).alias("_width")) for tf in timeframe])
+        source, width = ticks.drop("timeframe").select("*", F.inline(steps)), F.col("_width")
+    start = F.timestamp_micros(at - F.pmod(at, width))
     return (
-        ticks.groupBy(*keys, tg.aligned("timestamp", timeframe).alias("_start"))
+        source.groupBy(*series_keys(timeframe, keys), start.alias("_start"))
         .agg(*aggregates)
         .withColumnRenamed("_start", "timestamp")
     )
 
 
-def ohlcv(ticks: DataFrame, timeframe: str, keys: Sequence[str] = KEYS) -> DataFrame:
+def ohlcv(ticks: DataFrame, timeframe: Timeframes, keys: Sequence[str] = KEYS) -> DataFrame:
     """Candles of the intervals that hold at least one trade.
 
     One shuffle of partially aggregated rows, on key and interval.
@@ -67,11 +94,12 @@ def ohlcv(ticks: DataFrame, timeframe: str, keys: Sequence[str] = KEYS) -> DataF
     return stamp(frame, timeframe, keys)
 
 
-def stamp(frame: DataFrame, timeframe: str, keys: Sequence[str] = KEYS) -> DataFrame:
-    rest = [c for c in frame.columns if c not in (*keys, "timestamp", "_last_seen")]
+def stamp(frame: DataFrame, timeframe: Timeframes, keys: Sequence[str] = KEYS) -> DataFrame:
+    """Put labels first and turn ``_last_seen`` into the emission time."""
+    rest = [c for c in frame.columns if c not in (*keys, "timeframe", "timestamp", "_last_seen")]
     return frame.select(
         *keys,
-        F.lit(timeframe).alias("timeframe"),
+        F.lit(timeframe).alias("timeframe") if isinstance(timeframe, str) else F.col("timeframe"),
         "timestamp",
         tg.emission_time(F.col("_last_seen"), F.col("timestamp")).alias("timestamp_out"),
         *rest,
@@ -134,34 +162,18 @@ def rollup_aggregates(skip_empty: bool = False) -> list[Column]:
     ]
 
 
-def rollup(candles: DataFrame, timeframe: str, keys: Sequence[str] = KEYS, skip_empty: bool = False) -> DataFrame:
-    """Candles of a longer timeframe from shorter ones."""
-    return stamp(interval_frame(candles, timeframe, keys, rollup_aggregates(skip_empty)), timeframe, keys)
+def rollup(
+    candles: DataFrame, timeframe: Timeframes, keys: Sequence[str] = KEYS, skip_empty: bool = False, extra: Sequence[Column] = ()
+) -> DataFrame:
+    """Candles of one or several longer timeframes from shorter ones, in one pass."""
+    frame = interval_frame(candles, timeframe, keys, [*rollup_aggregates(skip_empty), *extra])
+    return stamp(frame, timeframe, keys)
 
 
 def rollup_all(
-    candles: DataFrame,
-    timeframes: Sequence[str] = ROLLUP_TIMEFRAMES,
-    keys: Sequence[str] = KEYS,
-    skip_empty: bool = False,
-    extra: Sequence[Column] = (),
+    candles: DataFrame, timeframes: Sequence[str] = ROLLUP_TIMEFRAMES, keys: Sequence[str] = KEYS, skip_empty: bool = False
 ) -> DataFrame:
-    """All longer timeframes in one pass over the base candles.
-
-    Each base row is expanded to one row per timeframe inside its task and
-    combined there before the single shuffle.
-    """
-    expanded = candles.drop("timeframe").withColumn("timeframe", F.explode(F.array(*[F.lit(t) for t in timeframes])))
-    frame = (
-        expanded.groupBy(*keys, "timeframe", tg.aligned_by("timestamp", F.col("timeframe")).alias("_start"))
-        .agg(*rollup_aggregates(skip_empty), *extra)
-        .withColumnRenamed("_start", "timestamp")
-    )
-    rest = [c for c in frame.columns if c not in (*keys, "timeframe", "timestamp", "_last_seen")]
-    return frame.select(
-        *keys, "timeframe", "timestamp",
-        tg.emission_time(F.col("_last_seen"), F.col("timestamp")).alias("timestamp_out"), *rest,
-    )
+    return rollup(candles, tuple(timeframes), keys, skip_empty)
 
 
 def shifted(

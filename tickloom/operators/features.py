@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions import timegrid as tg
-from tickloom.operators.candles import KEYS, candle_aggregates, interval_frame, rollup_all, stamp
+from tickloom.operators.candles import KEYS, Timeframes, candle_aggregates, interval_frame, rollup, series_keys, stamp
 from tickloom.operators.series import with_previous
 from tickloom.schemas import DERIVATIVE_FEATURES, LIQUIDATION_FEATURES, ROLLUP_TIMEFRAMES
 
@@ -33,12 +33,12 @@ def trade_aggregates() -> list[Column]:
     ]
 
 
-def trade_features(trades: DataFrame, timeframe: str, keys: Sequence[str] = KEYS) -> DataFrame:
+def trade_features(trades: DataFrame, timeframe: Timeframes, keys: Sequence[str] = KEYS) -> DataFrame:
     aggregates = [F.count(F.lit(1)).alias("trade_count"), *trade_aggregates()]
     return interval_frame(trades, timeframe, keys, aggregates)
 
 
-def liquidation_features(liquidations: DataFrame, timeframe: str, keys: Sequence[str] = KEYS) -> DataFrame:
+def liquidation_features(liquidations: DataFrame, timeframe: Timeframes, keys: Sequence[str] = KEYS) -> DataFrame:
     return interval_frame(liquidations, timeframe, keys, [
         F.count(F.lit(1)).alias("liquidation_count"),
         _volume("buy").alias("liquidation_buy_volume"),
@@ -46,7 +46,7 @@ def liquidation_features(liquidations: DataFrame, timeframe: str, keys: Sequence
     ])
 
 
-def derivative_features(ticker: DataFrame, timeframe: str, keys: Sequence[str] = KEYS) -> DataFrame:
+def derivative_features(ticker: DataFrame, timeframe: Timeframes, keys: Sequence[str] = KEYS) -> DataFrame:
     """The last value present in each interval, per column."""
     order = F.struct(*[c for c in ("timestamp", "local_timestamp", "id") if c in ticker.columns])
     return interval_frame(ticker, timeframe, keys, [
@@ -114,28 +114,30 @@ def options_features(chain: DataFrame, timeframe: str) -> DataFrame:
 
 def candles_with_features(
     trades: DataFrame,
-    timeframe: str,
+    timeframe: Timeframes,
     liquidations: DataFrame | None = None,
     ticker: DataFrame | None = None,
     keys: Sequence[str] = KEYS,
 ) -> DataFrame:
     """Candles with all tick features of the interval.
 
-    Candle and trade features come from one aggregation. The joins are on the
-    key and interval every side is already partitioned by.
+    Candle and trade features come from one aggregation, several timeframes from
+    one scan. The joins are on the key and interval every side is already
+    partitioned by.
     """
     base = stamp(
         interval_frame(trades, timeframe, keys, candle_aggregates(trades, timeframe) + trade_aggregates()),
         timeframe, keys,
     )
-    on = [*keys, "timestamp"]
+    series = series_keys(timeframe, keys)
+    on = [*series, "timestamp"]
     if liquidations is not None:
         base = base.join(liquidation_features(liquidations, timeframe, keys), on, "left")
         base = base.withColumns({c: F.coalesce(c, F.lit(0)) for c in LIQUIDATION_FEATURES})
     if ticker is not None:
         base = base.join(derivative_features(ticker, timeframe, keys), on, "left")
     if liquidations is not None and ticker is not None:
-        base = oi_features(base, keys)
+        base = oi_features(base, series)
     return base
 
 
@@ -171,4 +173,4 @@ def rollup_features(
     spec_delays: bool = False,
 ) -> DataFrame:
     """Candles and features of all longer timeframes, in one pass."""
-    return rollup_all(candles, timeframes, keys, extra=feature_rollup_aggregates(spec_delays))
+    return rollup(candles, tuple(timeframes), keys, extra=feature_rollup_aggregates(spec_delays))

@@ -43,7 +43,7 @@ def indicators(
     if timeframe is not None:
         tg.seconds(timeframe)
         candles = candles.where(F.col("timeframe") == timeframe)
-    used = [*keys, "timestamp", "open", "high", "low", "close", "volume", "vwap", "trade_count"]
+    used = [*keys, "timestamp", "high", "low", "close", "volume", "vwap", "trade_count"]
     used += [c for c in keep if c not in used]
     history = candles.where(F.col("close").isNotNull()).select(*used)
     series = chunked(numbered(history, keys), chunk, halo).withColumn("_j", running_position(chunk, halo))

@@ -7,6 +7,10 @@ whole series into one window partition. Two exact methods are used:
   buckets plus the last row of the bucket before;
 * :func:`chunked` - fixed-size pieces of a numbered series, each with a copy of
   the rows just before it, for windows with a bounded reach.
+
+Both join a frame with one row per block of the same frame. That row keeps all
+columns, so both sides need the same shuffle and Spark runs it once: what lies
+below (a scan of ticks, say) is not read twice.
 """
 
 from __future__ import annotations
@@ -27,10 +31,14 @@ def time_blocks(
     With ``split_rows``, a (key, block) holding more rows is cut into equal
     shorter blocks of about that many rows, so a burst does not become one task.
     Only the busy blocks are listed and joined back, and blocks still follow time
-    order. Rows of one instant stay together.
+    order. Rows of one instant stay together. Rows without key or time are left out.
     """
     width = block_seconds * 1_000_000
-    marked = df.withColumn("_block", bucket_micros(time, width))
+    # Stated here, the filter is the same below every use of the blocks; left to the
+    # optimizer it would differ, and with it the shuffles that could be shared.
+    marked = df.withColumn("_block", bucket_micros(time, width)).where(F.col("_block").isNotNull())
+    for key in keys:
+        marked = marked.where(F.col(key).isNotNull())
     if split_rows is None:
         return marked
     busy = (
@@ -61,18 +69,17 @@ def with_previous(
     """
     order = [time, *ties]
     marked = time_blocks(df, keys, time, block_seconds, split_rows)
+    inside = Window.partitionBy(*keys, "_block").orderBy(*order)
     packed = F.struct(*[F.col(v) for v in values])
-    lasts = marked.groupBy(*keys, "_block").agg(F.max_by(packed, F.struct(*order)).alias("_last"))
+    ranked = marked.withColumns({"_place": F.row_number().over(inside), "_inside": F.lag(packed).over(inside)})
+
+    whole = F.struct(*ranked.columns)
+    lasts = ranked.groupBy(*keys, "_block").agg(F.max_by(whole, F.col("_place")).alias("_last"))
     over_blocks = Window.partitionBy(*keys).orderBy("_block")
     lasts = lasts.select(*keys, "_block", F.lag("_last").over(over_blocks).alias("_before"))
-
-    inside = Window.partitionBy(*keys, "_block").orderBy(*order)
-    joined = marked.join(lasts, [*keys, "_block"])
-    previous = F.when(F.row_number().over(inside) == 1, F.col("_before")).otherwise(F.lag(packed).over(inside))
-    out = joined.withColumn("_previous", previous)
-    return out.select(
-        *df.columns, *[F.col("_previous")[v].alias(prefix + v) for v in values]
-    )
+    joined = ranked.join(lasts, [*keys, "_block"])
+    return joined.select(*df.columns, *[
+        F.when(F.col("_place") == 1, F.col("_before")[v]).otherwise(F.col("_inside")[v]).alias(prefix + v) for v in values])
 
 
 def numbered(
@@ -86,14 +93,18 @@ def numbered(
     ticks need short blocks and ``split_rows``.
     """
     marked = time_blocks(df, keys, time, block_seconds, split_rows)
-    counts = marked.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     inside = Window.partitionBy(*keys, "_block").orderBy(time, *ties)
+    ranked = marked.withColumn("_place", F.row_number().over(inside))
+
+    whole = F.struct(*ranked.columns)
+    counts = ranked.groupBy(*keys, "_block").agg(F.max_by(whole, F.col("_place")).alias("_last"))
+    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        *keys, "_block", F.coalesce(F.sum(F.col("_last")["_place"]).over(before), F.lit(0)).alias("_offset"))
     return (
-        marked.join(offsets, [*keys, "_block"])
-        .withColumn("_rn", F.col("_offset") + F.row_number().over(inside))
-        .drop("_block", "_offset")
+        ranked.join(offsets, [*keys, "_block"])
+        .withColumn("_rn", F.col("_offset") + F.col("_place"))
+        .drop("_block", "_offset", "_place")
     )
 
 

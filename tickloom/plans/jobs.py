@@ -77,9 +77,11 @@ def candle_job(
 ) -> DataFrame:
     """Base candles with features, rollups of the finest one-minute level, book rows.
 
-    Base candles are written first and read back for the rollups: the stored
-    table cuts the lineage, so a lost executor costs a re-read and not the
-    ticks. Returns row counts per day and timeframe.
+    Ticks of each kind are scanned once for all base timeframes. Base candles are
+    written first and read back for the rollups: the stored table cuts the
+    lineage, so a lost executor costs a re-read and not the ticks. Book rows of
+    longer timeframes come from the finest ones. Returns row counts per day and
+    timeframe.
     """
     def only(df: DataFrame | None) -> DataFrame | None:
         if df is None or eligible is None:
@@ -87,16 +89,19 @@ def candle_job(
         return df.join(eligible.select("instrument_key").distinct(), "instrument_key", "left_semi")
 
     path = f"{root}/candles"
-    for tf in base_timeframes:
-        tables.write_candles(features.candles_with_features(only(trades), tf, only(liquidations), only(ticker)), path)
-    base = spark.read.option("mergeSchema", "true").parquet(path).where(F.col("timeframe") == base_timeframes[-1]).drop("day")
+    base_frame = features.candles_with_features(only(trades), tuple(base_timeframes), only(liquidations), only(ticker))
+    tables.write_candles(base_frame, path)
     if rollups:
+        base = spark.read.parquet(path).where(F.col("timeframe") == base_timeframes[-1]).drop("day")
         full = liquidations is not None and ticker is not None
         rolled = features.rollup_features(base, rollups) if full else candles.rollup_all(base, rollups)
         tables.write_candles(rolled, path)
     if books is not None:
-        for tf in (*base_timeframes, *rollups):
-            tables.write_candles(book.book_features(only(books), tf), f"{root}/book")
+        finest, *longer = (*base_timeframes, *rollups)
+        tables.write_candles(book.book_features(only(books), finest), f"{root}/book")
+        if longer:
+            first = spark.read.parquet(f"{root}/book").where(F.col("timeframe") == finest).drop("day")
+            tables.write_candles(book.rollup_book(first, longer), f"{root}/book")
     return tables.stored_days(spark, path)
 
 
