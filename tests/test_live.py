@@ -18,6 +18,8 @@ def drop(folder, name, rows):
     os.makedirs(folder, exist_ok=True)
     with open(f"{folder}/{name}.txt", "w") as f:
         f.write("\n".join(r if isinstance(r, str) else json.dumps(r) for r in rows))
+    at = 1_700_000_000 + len(os.listdir(folder))  # files are taken in order of age
+    os.utime(f"{folder}/{name}.txt", (at, at))
 
 
 def trade(seconds, price, **more):
@@ -60,11 +62,12 @@ def test_late_ticks_are_dropped_in_append_mode(spark, tmp_path):
     source, out = str(tmp_path / "in"), work_folder(spark, "t-late")
     drop(source, "a", [trade(1, 10.0)])
     drop(source, "b", [trade(600, 20.0)])
-    drop(source, "c", [trade(2, 99.0), trade(1200, 30.0)])
+    drop(source, "c", [trade(700, 25.0)])  # the watermark of one batch judges the rows of the next
+    drop(source, "d", [trade(2, 99.0), trade(1200, 30.0)])
     messages = live_ticks(live.parse_messages(stream(spark, source)))
     run(live.candle_stream(messages, "1m", "1 minute"), live.keep_updates(out), str(tmp_path / "cp"), "append")
     got = spark.read.parquet(out).orderBy("timestamp").collect()
-    assert [(r.close, r.trade_count) for r in got] == [(10.0, 1), (20.0, 1)]
+    assert [(r.close, r.trade_count) for r in got] == [(10.0, 1), (20.0, 1), (25.0, 1)]
 
 
 def test_restart_continues(spark, tmp_path):

@@ -123,7 +123,3 @@ def test_work_folder(folder, master, expected):
             work_folder(Session, "t")
     else:
         assert work_folder(Session, "t").startswith(expected)
-
-
-def test_named_folder_is_visible_in_the_session(spark):
-    assert spark.conf.get("spark.checkpoint.dir", "unset") == "unset"
