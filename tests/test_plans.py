@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from tickloom.operators import candles, coverage, features, indicators, reconcile
+from tickloom.operators import candles, coverage, features, indicators, quality, reconcile
 from tickloom.sources import adapters as ad
 from tickloom.sources import readers
 
@@ -30,10 +30,12 @@ def build(spark, sf):
         "groups": coverage.underlying_groups(i, ad.available_ticks(spark, sf), ["trades"]),
         "overlap": reconcile.timestamp_overlap(base, base),
         "rules": reconcile.three_rules(base, base),
+        "integrity": quality.integrity(trades, "trades", ["price", "amount"]),
+        "stability": quality.stability(trades, 900),
     }
 
 
-@pytest.mark.parametrize("name", ["candles", "features", "rollups", "grid", "indicators", "sparse", "missing", "groups", "overlap", "rules"])
+@pytest.mark.parametrize("name", ["candles", "features", "rollups", "grid", "indicators", "sparse", "missing", "groups", "overlap", "rules", "integrity", "stability"])
 def test_no_nested_loops_and_no_python(spark, sf, name):
     text = plan(build(spark, sf)[name])
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroups"):

@@ -15,6 +15,7 @@ QUOTES = ("USDT", "USDC", "BUSD", "USD", "DAI", "GBP", "TUSD", "EUR", "TRY", "BR
 MONTH_CODES = "FGHJKMNQUVXZ"
 # Exchanges whose contracts settle at 08:00 UTC.
 SETTLE_AT_EIGHT = ("deribit", "binance-futures", "okex-futures", "okex-swap", "bybit")
+# Leveraged tokens, and listing entries that stand for many symbols.
 LEVERAGED = ("BTCUP", "BTCDOWN", "ETHUP", "ETHDOWN", "BNBUP", "BNBDOWN", "ADAUP", "ADADOWN")
 AGGREGATES = ("SPOT", "PERPETUALS", "FUTURES", "COMBOS")
 

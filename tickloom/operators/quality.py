@@ -119,17 +119,17 @@ def integrity(ticks: DataFrame, data_type: str, columns: Sequence[str]) -> DataF
     """Infinities, negatives and values beyond five deviations, per column.
 
     Outliers are looked for when there are more than 100 rows and at least ten
-    values. The moments are one row, joined to the second pass as such.
+    values. The moments are one row, read by the second pass as a scalar subquery.
     """
     moments = ticks.agg(
         F.count(F.lit(1)).alias("_rows"),
         *[x for c in columns for x in (F.count(c).alias(f"_n_{c}"), F.avg(c).alias(f"_m_{c}"), F.stddev_samp(c).alias(f"_s_{c}"))])
-    # One row by construction: a broadcast of fixed size.
-    both = ticks.join(F.broadcast(moments))
+    both = ticks.withColumn("_moments", moments.select(F.struct("*")).scalar())
+    at = lambda name: F.col("_moments")[name]
     measures = []
     for c in columns:
-        far = F.abs(F.col(c) - F.col(f"_m_{c}")) > 5 * F.col(f"_s_{c}")
-        enough = (F.col("_rows") > 100) & (F.col(f"_n_{c}") >= 10)
+        far = F.abs(F.col(c) - at(f"_m_{c}")) > 5 * at(f"_s_{c}")
+        enough = (at("_rows") > 100) & (at(f"_n_{c}") >= 10)
         measures += [
             F.count_if(F.abs(F.col(c)) == float("inf")).alias(f"{c}_infinite"), F.count_if(F.col(c) < 0).alias(f"{c}_negative"),
             F.count_if(far & enough).alias(f"{c}_outliers")]

@@ -35,6 +35,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **extra:
     return builder.getOrCreate()
 
 
+def apply_settings(spark: SparkSession) -> None:
+    """Set the library's settings on a session made elsewhere."""
+    for name, value in SETTINGS.items():
+        spark.conf.set(name, value)
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder for intermediate tables.
 

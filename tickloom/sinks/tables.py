@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -129,10 +130,10 @@ def expire(spark: SparkSession, path: str, keep_days: int = 30, column: str = "d
 
     Whole partitions go, so nothing is rewritten. Returns the days deleted.
     """
-    days = spark.read.parquet(path).select(F.col(column).cast("date").alias("d"))
-    limit = days.agg(F.date_sub(F.max("d"), keep_days).alias("limit"))
     # The distinct partition days of one table: bounded by the calendar.
-    old = [r.d.isoformat() for r in days.distinct().join(F.broadcast(limit)).where(F.col("d") < F.col("limit")).orderBy("d").collect()]
+    days = [r.d for r in spark.read.parquet(path).select(F.col(column).cast("date").alias("d")).distinct().collect()]
+    limit = max(days) - timedelta(days=keep_days) if days else None
+    old = [d.isoformat() for d in sorted(days) if d < limit]
     jvm = spark.sparkContext._jvm
     for day in old:
         folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={day}")

@@ -22,7 +22,8 @@ MESSAGE_SCHEMA = (
     "funding_rate double, fundingRate double, open_interest double, openInterest double, next_funding_time string, "
     "strike_price double, expiry string, option_type string, bid double, ask double, volume double"
 )
-# How often each kind of data is written.
+# How often each kind of data is written, the amount from which a
+# trade is taken for a liquidation, and candles kept per series.
 TRIGGERS = {
     "trades": "60 seconds", "book_snapshots": "60 seconds", "liquidations": "15 minutes",
     "derivative_ticker": "15 minutes", "options_chain": "15 minutes", "funding_rates": "15 minutes",
