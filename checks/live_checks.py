@@ -131,6 +131,32 @@ def _options(spark, sf):
     return _routed(spark, sf, "options_chain").drop("ask")
 
 
+@check("a17_message_stream", _MESSAGES + "SELECT type AS data_type, symbol, count(*) AS messages, max(t) AS newest FROM good GROUP BY ALL")
+def _message_stream(spark, sf):
+    root = work_folder(spark, "a17")
+    _run(spark, live.parse_messages(_as_json(_event_stream(spark, sf))), live.TableSink(root), name="a17")
+    return spark.read.parquet(root).groupBy("data_type", "symbol").agg(
+        F.count(F.lit(1)).alias("messages"), F.max("timestamp").alias("newest"))
+
+
+@check("k13_all_routes", _MESSAGES + " UNION ALL ".join(
+    f"SELECT '{name}' AS data_type, count(*) AS \"rows\" FROM good WHERE {where}" for name, where in {
+        "trades": "type = 'trade'", "book_snapshots": "type = 'book_change'",
+        "liquidations": "type = 'liquidation' OR (type = 'trade' AND amount > 10)", "derivative_ticker": "type = 'derivative_ticker'",
+        "options_chain": "type = 'options_chain'", "funding_rates": "type = 'derivative_ticker' AND k % 5 <> 0"}.items()))
+def _all_routes(spark, sf):
+    """One query per data type, each with its own trigger when run for good."""
+    root = work_folder(spark, "k13")
+    messages = live.parse_messages(_as_json(_event_stream(spark, sf)))
+    for query in live.start_routes(messages, root, f"{root}-checkpoint", once=True).values():
+        query.awaitTermination()
+    out = None
+    for name in live.ROUTES:
+        one = spark.read.parquet(f"{root}/{name}").select("data_type")
+        out = one if out is None else out.unionByName(one)
+    return out.groupBy("data_type").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @check("i19_message_times", _MESSAGES + """SELECT event_id AS n, t AS "timestamp" FROM msg""")
 def _times(spark, sf):
     values = _as_json(ad.table(spark, sf, "events")).select(F.from_json("value", "id string, timestamp string").alias("m"))
@@ -209,6 +235,28 @@ def _closed(spark, sf):
     return rounded(spark.read.parquet(out).drop("batch_id", "timeframe"))
 
 
+_LATE = "k % 20 = 0 AND extract(day FROM ts) <= 10"
+
+
+@check("k5_late_ticks", fx.with_(fx.TRADES, f"""
+ontime AS (SELECT t.* FROM trades t JOIN (SELECT event_id, ts, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k FROM events) e
+           ON CAST(e.event_id AS VARCHAR) = t.id WHERE NOT ({_LATE}))""", fx.candles(3600, source="ontime")) +
+       f'SELECT {CANDLE_SQL} FROM candles WHERE "timestamp" + INTERVAL 1 HOUR <= (SELECT max("timestamp") - INTERVAL 1 MINUTE FROM trades)')
+def _late(spark, sf):
+    """Events arrive in four files; part of the first ten days comes with the last one, behind the watermark."""
+    source, out = work_folder(spark, "k5-in"), work_folder(spark, "k5")
+    events = ad.table(spark, sf, "events")
+    day = F.dayofmonth("ts")
+    late = (F.regexp_extract("props", r"(\d+)", 1).cast("long") % 20 == 0) & (day <= 10)
+    arrival = F.when(late, 3).when(day <= 15, 0).when(day <= 20, 1).when(day <= 25, 2).otherwise(3)
+    for step in range(4):  # one write after the other: files are taken by age
+        events.where(arrival == step).coalesce(1).write.parquet(f"{source}/step={step}")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{source}/*")
+    ticks = ad.trade_columns(ad.event_columns(stream))
+    _run(spark, live.candle_stream(ticks, "1h"), live.keep_updates(out), "append", "k5")
+    return rounded(spark.read.parquet(out).drop("batch_id", "timeframe"))
+
+
 @check("k7_open_candles", fx.with_(fx.TRADES, fx.candles(14400)) +
        f'SELECT {CANDLE_SQL} FROM candles WHERE "timestamp" + INTERVAL 4 HOURS > (SELECT max("timestamp") FROM trades)')
 def _open(spark, sf):

@@ -289,6 +289,17 @@ def _write_ticks(spark, sf):
     return spark.read.parquet(root).select("day", "data_type", "id", "instrument_key", "timestamp", "price")
 
 
+@check("c7_labels_dropped", fx.with_(fx.TRADES) + "SELECT id, price, FALSE AS has_exchange, FALSE AS has_symbol FROM trades")
+def _labels(spark, sf):
+    """Vendor labels are checked at ingest and not stored."""
+    root = work_folder(spark, "c7")
+    labelled = ad.trades(spark, sf).withColumns({"exchange": F.lit("binance"), "symbol": F.col("instrument_key")})
+    tables.write_ticks(labelled, root, "trades")
+    stored = spark.read.parquet(root)
+    return stored.select("id", "price", F.lit("exchange" in stored.columns).alias("has_exchange"),
+                         F.lit("symbol" in stored.columns).alias("has_symbol"))
+
+
 @check("b2_write_sorted", fx.with_(fx.DENSE_TRADES) + "SELECT day, count(*) AS \"rows\", round(sum(amount), 4) AS amount FROM dense GROUP BY 1")
 def _write_sorted(spark, sf):
     root = work_folder(spark, "b2")

@@ -236,6 +236,16 @@ class TableSink:
         )
 
 
+def start_routes(
+    messages: DataFrame, root: str, checkpoint: str, routes: dict[str, Route] = ROUTES, once: bool = False
+) -> dict[str, StreamingQuery]:
+    """One query per data type into its table, each at its own pace; ``once`` runs on what is there now."""
+    return {
+        name: start(frame, TableSink(f"{root}/{name}"), f"{checkpoint}/{name}", every=None if once else TRIGGERS.get(name, "60 seconds"))
+        for name, frame in route(messages, routes).items()
+    }
+
+
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.parquet(root).where(F.col("table") == table).drop("table", "batch_id")
 
