@@ -276,13 +276,13 @@ def _emitted(spark, sf):
 
 @check("k9_live_indicators", _indicator_sql(3600))
 def _indicators(spark, sf):
-    """Candles arriving in ten steps; each step sees only bounded history."""
+    """Candles arriving in five steps; each step sees only bounded history."""
     source, out = work_folder(spark, "k9-in"), work_folder(spark, "k9-out")
-    frame = cd.ohlcv(ad.trades(spark, sf), "1h").withColumn("step", F.floor((F.dayofmonth("timestamp") - 1) / 3))
+    frame = cd.ohlcv(ad.trades(spark, sf), "1h").withColumn("step", F.floor((F.dayofmonth("timestamp") - 1) / 6))
     frame.repartition(1, "step").sortWithinPartitions("step").write.partitionBy("step").parquet(source)
     sink = live.IndicatorSink(f"{out}/rows", f"{out}/history", rows=600)
     stored = spark.read.parquet(source)
-    for step in range(10):
+    for step in range(5):
         sink(stored.where(F.col("step") == step).drop("step"), step)
     return rounded(spark.read.parquet(f"{out}/rows").select("instrument_key", "timestamp", *INDICATORS))
 
