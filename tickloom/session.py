@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -32,13 +33,22 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **extra:
     }
     for name, value in settings.items():
         builder = builder.config(name, value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    _share_code(session)
+    return session
 
 
 def apply_settings(spark: SparkSession) -> None:
     """Set the library's settings on a session made elsewhere."""
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
+    _share_code(spark)
+
+
+def _share_code(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver does, in case it is not installed."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
