@@ -89,3 +89,36 @@ def mixed(values: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         values = (values ^ (values >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
         return values ^ (values >> np.uint64(32))
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage through the shared checkpoint folder; Spark removes the files when the frame is gone."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(work_folder(df.sparkSession, "checkpoint"))
+    return df.checkpoint()
+
+
+def components(links: DataFrame) -> DataFrame:
+    """Smallest reachable node of every linked node: columns ``node`` and ``root``.
+
+    ``links`` has columns a and b. Large-star and small-star steps alternate until
+    nothing changes; a step is a combining minimum and a join, so a node with a
+    great many links is split by the join and never gathered.
+    """
+    def edges(a, b) -> DataFrame:
+        return a.select(F.greatest(*b).alias("a"), F.least(*b).alias("b")).filter("a <> b").distinct()
+
+    now = checkpointed(edges(links, ("a", "b")))
+    before = None
+    while (mark := now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()) != before:
+        before = mark
+        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        large = both.join(least, "a").filter("b > a").select("b", "m")
+        large = edges(large, ("b", "m"))
+        down = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(down, "a").select(F.explode(F.array("a", "b")).alias("x"), "m")
+        now = checkpointed(edges(small, ("x", "m")))
+    nodes = now.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
+    return nodes.unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import packing, quality
+from tickloom.llm import packing, quality, simhash, substrings
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -66,7 +66,45 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@register("op4_simhash_near_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its fingerprint and the group it links to."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @register("op5_best_fit_packing")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces with their sequence and place."""
     return packing.pack_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+REPEATS_SQL = rf"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), p AS (
+  SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM w
+), k AS (
+  SELECT doc_id, i, words[i] AS word,
+    CASE WHEN i + {substrings.WINDOW - 1} <= len(words) THEN array_to_string(words[i:i + {substrings.WINDOW - 1}], ' ') END AS k
+  FROM p
+), m AS (
+  SELECT *, CASE WHEN k IS NOT NULL AND min(doc_id) OVER (PARTITION BY k) < doc_id THEN 1 ELSE 0 END AS bad FROM k
+), c AS (
+  SELECT doc_id, i, word,
+    max(bad) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN {substrings.WINDOW - 1} PRECEDING AND CURRENT ROW) AS gone
+  FROM m
+), g AS (
+  SELECT doc_id, sum(gone)::BIGINT AS n_removed, coalesce(string_agg(word, ' ' ORDER BY i) FILTER (gone = 0), '') AS kept
+  FROM c GROUP BY doc_id
+)
+SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN g ON w.doc_id = g.doc_id
+"""
+
+
+@register("op8_substring_dedup", REPEATS_SQL)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's counts and the digest of what is left of it."""
+    return substrings.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
