@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import packing, quality, simhash, substrings
+from tickloom.llm import html, packing, quality, simhash, substrings, warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -108,3 +108,37 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's counts and the digest of what is left of it."""
     return substrings.without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
+def _base32_sql(hexed: str) -> str:
+    """Base32 of 40 hex digits: five of them are four of base 32."""
+    part = "('0x' || substr({h}, {i}, 5))::INTEGER"
+    digits = [f"substr('{warc.BASE32}', (({part.format(h=hexed, i=1 + 5 * i)} >> {shift}) & 31) + 1, 1)"
+              for i in range(8) for shift in (15, 10, 5, 0)]
+    return " || ".join(digits)
+
+
+WARC_SQL = f"""
+WITH d AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages
+), m AS (
+  SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM d
+)
+SELECT page_id, payload_bytes, {_base32_sql('h')} AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM m
+"""
+
+
+@register("op7_warc_archive", WARC_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record as read back from the archive."""
+    return warc.round_trip(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register("op6_html_extraction")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
