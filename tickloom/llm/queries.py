@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import html, packing, quality, simhash, substrings, warc
+from tickloom.llm import decontaminate, html, packing, pii, quality, simhash, substrings, warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -142,3 +142,18 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+@register("op3_pii_pseudonyms")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text with pseudonyms, and the number of values replaced."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", pii.pseudonyms(F.col("text")).alias("p"))
+    counts = [F.coalesce(F.col(f"p.n_{k}"), F.lit(0)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return docs.select("doc_id", F.col("p.text").alias("text"), *counts)
+
+
+@register("op9_benchmark_decontamination")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of a document and a benchmark item it holds."""
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "item_id", "item_words", "matched_words", F.size("tiles").alias("n_tiles"), "coverage")
