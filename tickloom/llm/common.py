@@ -122,3 +122,27 @@ def components(links: DataFrame) -> DataFrame:
         now = checkpointed(edges(small, ("x", "m")))
     nodes = now.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
     return nodes.unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+
+
+def ngrams(words: list[str], sizes: tuple[int, ...], bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash buckets of the character n-grams of words, their ends marked: buckets and the word each belongs to.
+
+    All words are taken at once, as one string of code points. A word must hold no
+    space; single letters are n-grams without the marks.
+    """
+    if not words:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    code = np.frombuffer(f" {' '.join(words)} ".encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    spaces = np.concatenate(([0], np.cumsum(code == 32)))
+    code, found, owners = mixed(code + np.uint64(1)), [], []
+    for n in sizes:
+        if n > len(code):
+            continue
+        # Spaces before and behind a window's inner part; none may lie inside.
+        first, last = (0, n) if n == 1 else (1, n - 1)
+        inside = spaces[last: len(code) - n + last + 1] - spaces[first: len(code) - n + first + 1]
+        at = np.flatnonzero(inside == 0)
+        hashes = mixed(window_hashes(code, n)[at] + np.uint64(n))
+        found.append((hashes >> np.uint64(64 - bits)).astype(np.int64))
+        owners.append(spaces[at + 1] - 1)
+    return np.concatenate([np.empty(0, np.int64), *found]), np.concatenate([np.empty(0, np.int64), *owners])

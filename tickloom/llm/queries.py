@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import decontaminate, html, packing, pii, quality, simhash, substrings, warc
+from tickloom.llm import decontaminate, html, language, packing, pii, quality, simhash, substrings, toxicity, warc
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -157,3 +157,26 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every pair of a document and a benchmark item it holds."""
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
         "doc_id", "item_id", "item_words", "matched_words", F.size("tiles").alias("n_tiles"), "coverage")
+
+
+def _fold(folds: int):
+    """Remainder of the CRC-32 of the doc_id written as text."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(folds))
+
+
+@register("op2_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity; labels of the held-out fifth are not learned."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(_fold(5) != 0)
+    model = toxicity.train(docs, labels)
+    return toxicity.scored(docs, model).select("doc_id", F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@register("op10_language_id")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language; the held-out third is not learned from."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.train(docs.filter(_fold(3) != 1))
+    return language.identified(docs.select("doc_id", "text"), model).select(
+        "doc_id", F.coalesce(_fold(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
