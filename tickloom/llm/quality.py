@@ -140,6 +140,17 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text",
     return out.withColumn(prefix + "kept", ~F.col(prefix + "base_failed") & (F.size(prefix + "rejected_by") == 0))
 
 
+def kept_rows(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that pass base and rules, with the columns of ``docs`` only.
+
+    A filter on the verdict alone would be pushed below the projections, which
+    would write the arrays' expressions out inside the lambdas. It also reads a row
+    number, which no predicate is pushed below.
+    """
+    judged = judge(docs, rules, text, prefix="__").withColumn("__row", F.monotonically_increasing_id())
+    return judged.filter(F.col("__kept") & (F.col("__row") >= 0)).select(*docs.columns)
+
+
 def rule_sql(rules: tuple[Rule, ...] = RULES) -> str:
     """The verdict as SQL text over columns named as the measures: the same table, for other engines."""
     bad = []
