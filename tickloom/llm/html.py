@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -50,8 +51,10 @@ NEGATIONS = set("with has no without is not hide show hidden toggle open".split(
 #: On the element that holds an article only these count.
 ARTICLE_WORDS = set("comment comments reply replies related recommended ad ads advert advertisement promo sponsored teaser".split())
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<[!?/][^>]*>", re.S)
+#: A tag whose quotes are closed. Possessive: a position fails at once or not at all.
+TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>")
+#: The start of one, whatever follows.
+OPEN = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
 ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 STOPS = frozenset(STOP_WORDS)
 EDGES = ".,;:!?\"'()[]«»“”…"
@@ -94,8 +97,13 @@ def blocks(page: str) -> list[Block]:
     pieces: list[str] = []
     linked, heading = 0, False
     stack: list[tuple[str, bool, bool]] = []  # open elements: name, ruled out, inside an article
+    opened: Counter = Counter()  # their names
     links = 0
 
+    def leave(depth: int) -> None:
+        opened.subtract(x[0] for x in stack[depth:])
+        del stack[depth:]
+
     def close_block() -> None:
         nonlocal pieces, linked, heading
         text = " ".join("".join(pieces).split()) if pieces else ""
@@ -103,56 +111,71 @@ def blocks(page: str) -> list[Block]:
             out.append(Block(text, min(linked, len(text)), heading, bool(stack) and stack[-1][2]))
         pieces, linked, heading = [], 0, False
 
-    at, end = 0, len(page)
-    while at < end:
-        found = TOKEN.search(page, at)
-        start = found.start() if found else end
-        if start > at and not (stack and stack[-1][1]):
-            text = entities.unescape(page[at:start])
+    def add(text: str) -> None:
+        nonlocal linked
+        if text and not (stack and stack[-1][1]):
+            text = entities.unescape(text)
             pieces.append(text)
             if links:
                 linked += len(" ".join(text.split()))
-        if not found:
+
+    at, end = 0, len(page)
+    while at < end:
+        # Text up to the next tag, comment or declaration; a lone "<" is text.
+        start = page.find("<", at)
+        while start >= 0 and not (page[start + 1: start + 2].isascii() and page[start + 1: start + 2].isalpha() or page[start + 1: start + 2] in ("/", "!", "?")):
+            start = page.find("<", start + 1)
+        close = page.find(">", start) if start >= 0 else -1
+        if close < 0 and not page.startswith("<!--", max(start, 0)):
+            add(page[at:])
             break
-        at = found.end()
-        name = (found[2] or "").lower()
-        if not name:
+        add(page[at:start])
+        if page.startswith("<!--", start):
+            close = page.find("-->", start + 4)
+            at = close + 3 if close >= 0 else end
             continue
+        found = TAG.match(page, start) or OPEN.match(page, start)
+        at = found.end() if found and found.re is TAG else close + 1
+        if not found:
+            continue
+        closing_tag, name = bool(found[1]), found[2].lower()
+        attributes = found[3] if found.re is TAG else page[found.end(): close]
         if name == "br":
             pieces.append(" ")
             continue
-        if name in RAW and not found[1]:
-            if name in BLOCK or not found[3].endswith("/"):
+        if name in RAW and not closing_tag:
+            if name in BLOCK or not attributes.endswith("/"):
                 closing = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
                 at = closing.end() if closing else end
             continue
         if name in BLOCK:
             close_block()
-        if found[1]:
+        if closing_tag:
             if name == "a":
                 links = max(0, links - 1)
-            for depth in range(len(stack) - 1, -1, -1):
+            for depth in range(len(stack) - 1, -1, -1) if opened[name] else ():
                 if stack[depth][0] == name:
-                    del stack[depth:]
+                    leave(depth)
                     break
             if name in BLOCK:
                 links = 0
             continue
-        if name in VOID or found[3].endswith("/") and name not in BLOCK:
+        if name in VOID or attributes.endswith("/") and name not in BLOCK:
             continue
         if name in BLOCK:
             # A paragraph ends where the next block begins; an item where the next item does.
             for depth in range(len(stack) - 1, -1, -1):
                 if stack[depth][0] == "p" or name == stack[depth][0] and name in ("li", "dt", "dd", "tr", "td", "th", "option"):
-                    del stack[depth:]
+                    leave(depth)
                     break
                 if stack[depth][0] in BLOCK:
                     break
             heading = name in ("h1", "h2", "h3", "h4", "h5", "h6")
         out_before, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-        ruled_out = out_before or _marks(name, found[3], inside)
-        inside = inside or name in ("article", "main") or 'role="main"' in found[3] or 'itemprop="articleBody"' in found[3]
+        ruled_out = out_before or _marks(name, attributes, inside)
+        inside = inside or name in ("article", "main") or 'role="main"' in attributes or 'itemprop="articleBody"' in attributes
         stack.append((name, ruled_out, inside))
+        opened[name] += 1
         if name == "a":
             links = 1
     close_block()
