@@ -221,7 +221,8 @@ def _distinct(spark, sf):
 
 
 @check("e26_signature", fx.with_(fx.TRADES, """
-h AS (SELECT CAST('0x' || substr(sha256(concat_ws('|', instrument_key, id, side, CAST(epoch_us("timestamp") AS VARCHAR))), 1, 12) AS BIGINT) AS n FROM trades)""") + """
+h AS (SELECT CAST('0x' || substr(sha256(concat(strlen(instrument_key), ':', instrument_key, strlen(id), ':', id, coalesce(concat(strlen(side), ':', side), '~'),
+  strlen(CAST(epoch_us("timestamp") AS VARCHAR)), ':', CAST(epoch_us("timestamp") AS VARCHAR))), 1, 15) AS BIGINT) AS n FROM trades)""") + """
 SELECT count(*) AS "rows", bit_xor(n) AS hash_xor, CAST(sum(n) AS VARCHAR) AS hash_sum FROM h""")
 def _signature(spark, sf):
     frame = ad.trades(spark, sf).withColumn("micros", F.unix_micros("timestamp"))

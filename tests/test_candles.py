@@ -162,3 +162,27 @@ def test_previous_row_over_blocks(spark, split):
     assert [r.prev_price for r in got] == [None] + [float(i) for i in range(9)]
     numbers = numbered(t, ["instrument_key"], block_seconds=60, split_rows=split, ties=["id"]).orderBy("id").collect()
     assert [r._rn for r in numbers] == list(range(1, 11))
+
+
+def test_stored_ticks_get_their_order(spark, tmp_path):
+    from tickloom.sinks import tables
+    from tickloom.sources import readers
+
+    t = ticks(spark, [(1, 10.0, 1.0), (1, 12.0, 1.0), (30, 11.0, 1.0), (30, 13.0, 1.0)])
+    tables.write_ticks(t, str(tmp_path / "t"), "trades")
+    stored = readers.read_ticks(spark, str(tmp_path / "t"), "2024-01-15", "2024-01-16")
+    row = candles.ohlcv(stored, "1m").first()
+    assert (row.open, row.close) == (10.0, 13.0)
+    unranked = candles.ohlcv(stored.withColumn("seq", F.lit(None).cast("long")), "1m").first()
+    assert unranked.open in (10.0, 12.0) and unranked.close in (11.0, 13.0)
+    with pytest.raises(Exception, match="too many ticks"):
+        candles.ohlcv(stored.withColumn("seq", F.lit(1 << 26)), "1m").collect()
+
+
+def test_intervals_without_a_trade_keep_their_liquidations(spark):
+    trades = ticks(spark, [(1, 10.0, 1.0)])
+    liquidations = ticks(spark, [(61, 9.0, 2.0, "sell"), (62, 9.0, 3.0)])
+    first, second = features.candles_with_features(trades, "1m", liquidations).orderBy("timestamp").collect()
+    assert (first.trade_count, first.liquidation_count) == (1, 0)
+    assert (second.trade_count, second.volume, second.open, second.liquidation_count) == (0, 0.0, None, 2)
+    assert (second.liquidation_buy_volume, second.liquidation_sell_volume) == (3.0, 2.0)

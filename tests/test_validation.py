@@ -135,3 +135,21 @@ def test_report_ladder(spark):
 def test_nan_becomes_null(spark):
     frame = spark.createDataFrame([(float("nan"),), (1.0,)], "x double")
     assert quality.no_nan(frame).agg(F.sum("x")).first()[0] == 1.0
+
+
+def test_missing_and_zero_values_are_errors(spark):
+    candles = minute_candles(spark, FIVE)
+    lacking = candles.withColumn("open", F.lit(None).cast("double"))
+    assert {r.field for r in reconcile.errors(reconcile.compare(candles, lacking, KEY)).collect()} == {"open"}
+    assert reconcile.errors(reconcile.compare(lacking, lacking, KEY)).count() == 0
+    still = candles.withColumn("volume", F.lit(0.0))
+    found = reconcile.errors(reconcile.compare(still, candles, KEY)).collect()
+    assert len(found) == 5 and {r.field for r in found} == {"volume"}
+    assert reconcile.errors(reconcile.compare(still, still, KEY)).count() == 0
+
+
+def test_sources_without_common_times_fail_per_key(spark):
+    candles = minute_candles(spark, FIVE)
+    later = candles.withColumn("timestamp", F.col("timestamp") + F.make_interval(days=F.lit(1)))
+    row = reconcile.three_rules(candles, later, KEY, by_key=True).first()
+    assert (row.status, row.aligned_candles) == ("FAIL", 0)

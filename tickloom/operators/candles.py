@@ -31,13 +31,17 @@ def tick_order(ticks: DataFrame, timeframe: Timeframes) -> Column:
     """A total order of the ticks inside one interval.
 
     With a ``seq`` column (rank among ticks of equal time, written at ingest) the
-    order is one LONG, and first/last run as a hash aggregation. Otherwise it is
-    a struct, and Spark sorts.
+    order is one LONG, and first/last run as a hash aggregation. A NULL ``seq``
+    counts as 0: the tick keeps its time, only ties are then open. A rank that
+    does not fit its bits is an error. Without the column the order is a struct,
+    and Spark sorts.
     """
     if "seq" in ticks.columns:
         # Shorter intervals lie inside the longest, so its offset orders them too.
         offset = F.pmod(F.unix_micros("timestamp"), F.lit(tg.seconds(longest(timeframe)) * 1_000_000))
-        return F.shiftleft(offset, TIE_BITS) + F.col("seq")
+        rank = F.coalesce("seq", F.lit(0))
+        fits = F.when(rank < (1 << TIE_BITS), rank).otherwise(F.raise_error(F.lit("too many ticks at one instant")).cast("long"))
+        return F.shiftleft(offset, TIE_BITS) + fits
     return F.struct(*[c for c in ("timestamp", "local_timestamp", "id", "price") if c in ticks.columns])
 
 

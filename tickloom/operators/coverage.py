@@ -210,8 +210,13 @@ def recent(frame: DataFrame, where: Column, n: int, time: str = "timestamp") ->
 
 def signature(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     """A content signature that ignores row order: count, sum and xor of row hashes."""
-    digest = F.sha2(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in columns]), 256)
-    number = F.conv(F.substring(digest, 1, 12), 16, 10).cast("long")
+    # Each value goes in with its length, so no two rows write alike; 60 bits of the digest fit a LONG.
+    def written(c: str) -> Column:
+        value = F.col(c).cast("string")
+        return F.coalesce(F.concat(F.octet_length(value), F.lit(":"), value), F.lit("~"))
+
+    digest = F.sha2(F.concat(*[written(c) for c in columns]), 256)
+    number = F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
     return frame.agg(
         F.count(F.lit(1)).alias("rows"), F.bit_xor(number).alias("hash_xor"),
         F.sum(number.cast("decimal(38,0)")).cast("string").alias("hash_sum"))

@@ -121,21 +121,21 @@ def candles_with_features(
 ) -> DataFrame:
     """Candles with all tick features of the interval.
 
-    Candle and trade features come from one aggregation, several timeframes from
-    one scan. The joins are on the key and interval every side is already
-    partitioned by.
+    An interval that holds any of the three kinds has a row; without a trade its
+    prices are NULL, its volume and count 0. Candle and trade features come from
+    one aggregation, several timeframes from one scan. The joins are on the key
+    and interval every side is already partitioned by.
     """
-    base = stamp(
-        interval_frame(trades, timeframe, keys, candle_aggregates(trades, timeframe) + trade_aggregates()),
-        timeframe, keys,
-    )
+    base = interval_frame(trades, timeframe, keys, candle_aggregates(trades, timeframe) + trade_aggregates())
     series = series_keys(timeframe, keys)
     on = [*series, "timestamp"]
+    none = {c: F.coalesce(c, F.lit(0)) for c in ("volume", "trade_count", "buy_volume_sum", "sell_volume_sum")}
     if liquidations is not None:
-        base = base.join(liquidation_features(liquidations, timeframe, keys), on, "left")
-        base = base.withColumns({c: F.coalesce(c, F.lit(0)) for c in LIQUIDATION_FEATURES})
+        base = base.join(liquidation_features(liquidations, timeframe, keys), on, "full_outer")
+        none |= {c: F.coalesce(c, F.lit(0)) for c in LIQUIDATION_FEATURES}
     if ticker is not None:
-        base = base.join(derivative_features(ticker, timeframe, keys), on, "left")
+        base = base.join(derivative_features(ticker, timeframe, keys), on, "full_outer")
+    base = stamp(base.withColumns(none), timeframe, keys)
     if liquidations is not None and ticker is not None:
         base = oi_features(base, series)
     return base

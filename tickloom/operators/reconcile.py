@@ -48,7 +48,8 @@ def compare(
 ) -> DataFrame:
     """One row per common time and field: both values, difference, within tolerance.
 
-    A zero expected value gives no difference and passes.
+    A value that one side lacks is an error, two missing ones agree. Against an
+    expected zero, which has no relative difference, the tolerance is absolute.
     """
     a = expected.select(*keys, "timestamp", *[F.col(f).alias(f"e_{f}") for f in fields])
     b = actual.select(*keys, "timestamp", *[F.col(f).alias(f"a_{f}") for f in fields])
@@ -57,8 +58,10 @@ def compare(
                  F.lit(volume_tolerance if f == "volume" else price_tolerance).alias("tolerance")) for f in fields])
     joined = a.join(b, [*keys, "timestamp"]).select(*keys, "timestamp", F.inline(cells))
     difference = _relative(F.col("expected"), F.col("actual"))
-    return joined.withColumn("difference_pct", difference * 100).withColumn(
-        "within", F.coalesce(difference <= F.col("tolerance"), F.lit(True)))
+    absolute = F.abs(F.col("actual")) <= F.col("tolerance")
+    within = F.when(F.col("expected").isNull() | F.col("actual").isNull(), F.col("expected").isNull() & F.col("actual").isNull())
+    within = within.when(F.col("expected") == 0, absolute).otherwise(difference <= F.col("tolerance"))
+    return joined.withColumn("difference_pct", difference * 100).withColumn("within", within)
 
 
 def errors(compared: DataFrame) -> DataFrame:
@@ -74,10 +77,9 @@ def preserved(
     Volume is compared only where the children traded.
     """
     expected = aggregate(base, timeframe, keys)
-    if "volume" in fields:
-        expected = expected.withColumn("volume", F.when(F.col("volume") > 0, F.col("volume")))
-    return compare(expected, nearest_parent(expected, parents, keys, tolerance_seconds), keys, price_tolerance,
-                   volume_tolerance, fields)
+    compared = compare(expected, nearest_parent(expected, parents, keys, tolerance_seconds), keys, price_tolerance,
+                       volume_tolerance, fields)
+    return compared.where((F.col("field") != "volume") | (F.col("expected") > 0))
 
 
 def nearest_parent(boundaries: DataFrame, parents: DataFrame, keys: Sequence[str], tolerance_seconds: int) -> DataFrame:
@@ -126,13 +128,18 @@ def aggregation_consistency(
 def three_rules(a: DataFrame, b: DataFrame, keys: Sequence[str] = SERIES, by_key: bool = True) -> DataFrame:
     """Alignment, prices within 0.01 % and volume within 1 % between two sources.
 
-    All three hold: PASS; only the volume rule fails: WARNING; else FAIL.
+    All three hold: PASS; only the volume rule fails: WARNING; else FAIL. A key of
+    one source without a common time has no aligned candle and fails.
     """
     compared = compare(one_per_time(a, keys), one_per_time(b, keys), keys)
     price = F.col("field") != "volume"
     out = compared.groupBy(*(keys if by_key else ())).agg(
         F.count_if(F.col("field") == "open").alias("aligned_candles"),
         F.count_if(price & ~F.col("within")).alias("price_errors"), F.count_if(~price & ~F.col("within")).alias("volume_errors"))
+    if by_key:
+        counts = ("aligned_candles", "price_errors", "volume_errors")
+        every = a.select(*keys).unionByName(b.select(*keys)).distinct()
+        out = every.join(out, list(keys), "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in counts})
     rules = [F.col("aligned_candles") > 0, F.col("price_errors") == 0, F.col("volume_errors") == 0]
     status = F.when(rules[0] & rules[1] & rules[2], "PASS").when(rules[0] & rules[1], "WARNING").otherwise("FAIL")
     return out.withColumn("status", status)

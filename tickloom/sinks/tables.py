@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions.keys import symbol_and_exchange
+from tickloom.operators import candles as candle_rows
 from tickloom.schemas import WAREHOUSE_TYPES
 
 # Delta-packed INT64 times, dictionary pages, snappy; see the Parquet options.
@@ -50,10 +51,16 @@ def write_sorted(df: DataFrame, path: str, partitions: Sequence[str], order: Seq
 
 
 def write_ticks(ticks: DataFrame, path: str, data_type: str | None = None, mode: str = "overwrite") -> None:
-    """Ticks by day and data type, sorted by instrument and time."""
+    """Ticks by day and data type, sorted by instrument and time.
+
+    Priced ticks without their rank among equal times get it here, so that candles
+    from the table have one order.
+    """
     if "timestamp" not in ticks.columns:
         raise ValueError("ticks need a timestamp column")
     out = ticks.drop("exchange", "symbol")
+    if "seq" not in out.columns and {"instrument_key", "local_timestamp", "id", "price"} <= set(out.columns):
+        out = candle_rows.with_sequence(out)
     if data_type:
         out = out.withColumn("data_type", F.lit(data_type))
     if "day" not in out.columns:

@@ -304,11 +304,12 @@ class ListingWatch:
 # -- validation of live candles -------------------------------------------------------------------
 
 class LiveValidation:
-    """Batch handler: checks on new candles with their last hour of history.
+    """Batch handler: checks on all new candles, with history before the oldest of them.
 
-    Findings go to ``out``. After ``max_failures`` failed batches in a row,
-    checks are skipped for ``cooldown`` seconds; a ``SKIP`` row says so.
-    ``callbacks`` receive the findings of each batch.
+    The findings of every batch go to ``out``. After ``max_failures`` failed batches
+    in a row ``callbacks`` are silent for ``cooldown`` seconds, which a ``SKIP`` row
+    of the test ``callbacks`` says; else they receive the findings of each batch.
+    ``window_seconds`` and ``rows`` bound the history only.
     """
 
     def __init__(
@@ -331,26 +332,28 @@ class LiveValidation:
             series = series.unionByName(stored)
         except AnalysisException:
             pass
-        newest = series.groupBy("instrument_key").agg(F.max("timestamp").alias("_newest"))
-        hour = series.join(newest, "instrument_key").where(
-            F.unix_micros("timestamp") > F.unix_micros("_newest") - self.window_seconds * 1_000_000).drop("_newest")
-        kept = ind.latest(hour, self.rows)
-        kept.write.mode("overwrite").parquet(f"{self.history}/batch_id={batch_id}")
-        return batch.sparkSession.read.parquet(f"{self.history}/batch_id={batch_id}")
+        oldest = batch.groupBy("instrument_key").agg(F.min("timestamp").alias("_oldest"))
+        context = series.join(oldest, "instrument_key", "left").where(
+            F.col("_oldest").isNull()
+            | (F.unix_micros("timestamp") > F.unix_micros("_oldest") - self.window_seconds * 1_000_000)).drop("_oldest")
+        ind.latest(series, self.rows).write.mode("overwrite").parquet(f"{self.history}/batch_id={batch_id}")
+        return context
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         recent = self._recent(batch, batch_id)
-        if self.failures >= self.max_failures and self.clock() - self.failed_at < self.cooldown:
-            findings = spark.range(1).select(
-                F.lit("all").alias("instrument_key"), F.lit("live_validation").alias("test_name"), F.lit("SKIP").alias("status"),
-                F.lit(0).cast("long").alias("problems"))
-        else:
-            findings = live_findings(recent, self.timeframe)
+        silent = self.failures >= self.max_failures and self.clock() - self.failed_at < self.cooldown
+        findings = live_findings(recent, self.timeframe)
+        if silent:
+            findings = findings.unionByName(spark.range(1).select(
+                F.lit("all").alias("instrument_key"), F.lit("callbacks").alias("test_name"), F.lit("SKIP").alias("status"),
+                F.lit(0).cast("long").alias("problems")))
         path = f"{self.out}/batch_id={batch_id}"
         findings.write.mode("overwrite").parquet(path)
         stored = spark.read.parquet(path)
         overall = quality.report(stored).first()["overall_status"]
+        if silent:
+            return
         if overall == "FAIL":
             self.failures, self.failed_at = self.failures + 1, self.clock()
         elif overall == "PASS":
