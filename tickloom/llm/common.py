@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +17,7 @@ from tickloom.session import work_folder
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Entries a per-worker word cache may hold before it is emptied; bounds the worker's memory, not the result.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -34,6 +37,12 @@ def text_bytes(column: str = "text"):
     return F.col(column).cast("binary")
 
 
+def each(column: pa.Array) -> Iterator:
+    """The values of an Arrow column, of which only some are Python objects at a time."""
+    for first in range(0, len(column), 200):
+        yield from column.slice(first, 200).to_pylist()
+
+
 class Cache(dict):
     """A dict that computes missing values and empties itself when full."""
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from tickloom.llm.common import Cache, text_bytes, window_hashes
+from tickloom.llm.common import Cache, each, text_bytes, window_hashes
 
 MIN_MATCH, THRESHOLD = 5, 0.5
 #: Words of the benchmark that one pass holds: bounds the broadcast to about 100 MB.
@@ -153,7 +153,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MA
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 rows: list[list] = [[], [], [], [], [], []]
-                for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                for doc_id, text in zip(batch.column("doc_id").to_pylist(), each(batch.column("text"))):
                     for item_id, n, tiles in index.value.matches(tokens(text), threshold):
                         matched = sum(t[2] for t in tiles)
                         spans = [{"doc_at": d, "item_at": i, "length": k} for d, i, k in sorted(tiles)]
@@ -178,7 +178,7 @@ def without_benchmark(docs: DataFrame, benchmark: DataFrame, min_match: int = MI
     """The rows of ``docs`` that hold no benchmark item; all columns stay as they are."""
     def clean(index):
         def run(texts: pa.Array) -> pa.Array:
-            return pa.array([next(index.value.matches(tokens(t), threshold), None) is None for t in texts.to_pylist()], pa.bool_())
+            return pa.array([next(index.value.matches(tokens(t), threshold), None) is None for t in each(texts)], pa.bool_())
         return F.arrow_udf(run, BooleanType())
 
     for index in _indexes(benchmark, min_match, block_words):

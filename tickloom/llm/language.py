@@ -231,8 +231,8 @@ def languages(text: Column, model: Model, spark) -> Column:
             for x in (open_rows, open_scores, kept):
                 x.clear()
 
-        for first in range(0, len(texts), 1000):  # words of so many texts are held at once
-            batch = [(t or b"").split() for t in texts.slice(first, 1000).to_pylist()]
+        for first in range(0, len(texts), 500):  # words of so many texts are held at once
+            batch = [(t or b"").split() for t in texts.slice(first, 500).to_pylist()]
             m.learn(set().union(*batch))
             for row, words in enumerate(batch, first):
                 scores, letters = m.read(words)

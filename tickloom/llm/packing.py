@@ -59,7 +59,7 @@ class WordIds(dict):
         self.parts: dict[str, bytes] = {"": b""}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.whole.encode_batch(texts, add_special_tokens=False)]
+        return [np.array(e.ids, "<u4").tobytes() for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, words: set[bytes]) -> None:
         """Look up all words that are not known yet."""
@@ -77,8 +77,8 @@ class WordIds(dict):
                 odd.append(word)
         stems = list({stem for stem, _ in cut.values()}.difference(self.parts))
         if stems:
-            written = " ".join("".join(map(self.letters.__getitem__, s.encode())) for s in stems)
-            ids = np.array(self.bpe.encode(written, add_special_tokens=False).ids, "<u4")
+            written = " ".join(s if s.isascii() else "".join(map(self.letters.__getitem__, s.encode())) for s in stems)
+            ids = np.array(self.bpe.encode_batch_fast([written], add_special_tokens=False)[0].ids, "<u4")
             stops = np.flatnonzero(self.ends[ids]) + 1
             raw, start = ids.tobytes(), 0
             for stem, stop in zip(stems, (stops * 4).tolist(), strict=True):
@@ -114,8 +114,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = _word_ids(path)
         for whole in batches:
-            for first in range(0, whole.num_rows, 1000):  # words of so many texts are held at once
-                batch = whole.slice(first, 1000)
+            for first in range(0, whole.num_rows, 500):  # words of so many texts are held at once
+                batch = whole.slice(first, 500)
                 texts = [(t or b"").split() for t in batch.column("text").to_pylist()]
                 ids.learn(set().union(*texts))
                 rows: list[list] = [[], [], [], [], []]

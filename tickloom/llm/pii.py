@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm.common import each
+
 ROUNDS = 10
 #: A key for tests. Whoever knows the key can undo the pseudonyms: give your own, 16 bytes or more.
 TEST_KEY = b"tickloom-test-key"
@@ -228,7 +230,7 @@ def pseudonyms(text: Column, key: bytes = TEST_KEY) -> Column:
     """A struct of the new text and the number of values replaced per kind; null for null."""
     def run(texts: pa.Array) -> pa.Array:
         permute = Permutation(key)
-        rows = [None if t is None else pseudonymise(t, permute) for t in texts.to_pylist()]
+        rows = [None if t is None else pseudonymise(t, permute) for t in each(texts)]
         fields = [("text", pa.string())] + [(f"n_{k}", pa.int32()) for k in KINDS]
         return pa.array([None if r is None else {"text": r[0], **{f"n_{k}": n for k, n in r[1].items()}} for r in rows], pa.struct(fields))
 

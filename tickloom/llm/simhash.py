@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import components, stored, tasks, text_bytes
+from tickloom.llm.common import components, each, stored, tasks, text_bytes
 
 SHINGLE, DISTANCE, SEED = 4, 4, 42
 #: Reference fingerprints: the hashes of 0, 1, 2, ...
@@ -55,7 +55,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """``doc_id`` and ``fp`` (the fingerprint's bits as a long) of every row; a null text counts as empty."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.fromiter((fingerprint(t, shingle) for t in batch.column("text").to_pylist()), np.uint64, batch.num_rows)
+            found = np.fromiter((fingerprint(t, shingle) for t in each(batch.column("text"))), np.uint64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "fp"])
 
     return docs.select(F.col("doc_id").cast("long"), text_bytes().alias("text")).mapInArrow(run, "doc_id long, fp long")
