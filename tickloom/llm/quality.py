@@ -6,6 +6,7 @@ function: arrays of words and lines, and higher-order functions over them.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -55,6 +56,33 @@ def _count(text: Column, characters: str) -> Column:
     return F.char_length(text) - F.char_length(F.translate(text, characters, ""))
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once: bound by a lambda, it stays so wherever the optimizer moves the expression."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _repeated_words(words: Column) -> Column:
+    """Words in three-word windows found twice or more."""
+    def place(windows: Column) -> Column:
+        def repeated(w: Column, i: Column) -> Column:
+            before, after = F.get(windows, i - 1)["h"], F.get(windows, i + 1)["h"]
+            return F.coalesce(before == w["h"], F.lit(False)) | F.coalesce(after == w["h"], F.lit(False))
+
+        # In order of place each window covers three words, fewer where the next one begins sooner.
+        starts = F.array_sort(F.transform(F.filter(windows, repeated), lambda w: w["i"]))
+        return F.aggregate(
+            starts, F.struct(F.lit(0).cast("long").alias("n"), F.lit(-3).alias("last")),
+            lambda acc, i: F.struct((acc["n"] + F.least(i - acc["last"], F.lit(3))).alias("n"), i.alias("last")),
+            lambda acc: acc["n"],
+        )
+
+    # Windows as (hash, place), sorted: equal windows become neighbours.
+    windows = F.array_sort(F.transform(
+        F.sequence(F.lit(0), F.size(words) - 3),
+        lambda i: F.struct(F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)).alias("h"), i.alias("i"))))
+    return F.when(F.size(words) >= 3, _let(windows, place)).otherwise(F.lit(0).cast("long"))
+
+
 def measures(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
     """Add the measures of the rules as columns, each in one pass over the row.
 
@@ -62,43 +90,23 @@ def measures(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFrame
     a column of the same name as a measure is replaced unless ``prefix`` differs.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    # Arrays are columns of their own, used more than once, so that they are computed once and not inside a lambda.
-    one = docs.withColumn("__words", words(F.col(text)))
-    one = one.withColumn("__lines", F.filter(F.split(body, "\n", -1), lambda line: line.rlike(WORD)))
-    one = one.withColumn("__n", F.size("__words").cast("long"))
-    # Three-word windows as (hash, place), sorted: equal windows become neighbours.
-    window = F.when(F.col("__n") >= 3, F.array_sort(F.transform(
-        F.sequence(F.lit(0), F.greatest(F.col("__n").cast("int") - 3, F.lit(0))),
-        lambda i: F.struct(F.xxhash64(F.get("__words", i), F.get("__words", i + 1), F.get("__words", i + 2)).alias("h"), i.alias("i")),
-    )))
-    two = one.withColumn("__windows", F.coalesce(window, F.array().cast("array<struct<h:bigint,i:int>>")))
-
-    def is_repeated(w: Column, i: Column) -> Column:
-        return (F.get("__windows", i - 1)["h"] == w["h"]) | (F.get("__windows", i + 1)["h"] == w["h"])
-
-    # Places of repeated windows, in order; each covers three words, fewer where the next one begins sooner.
-    starts = F.array_sort(F.transform(
-        F.filter("__windows", lambda w, i: F.coalesce(is_repeated(w, i), F.lit(False))), lambda w: w["i"]))
-    three = two.withColumn("__starts", starts)
-    covered = F.aggregate(
-        "__starts", F.struct(F.lit(0).cast("long").alias("n"), F.lit(-3).alias("last")),
-        lambda acc, i: F.struct((acc["n"] + F.least(i - acc["last"], F.lit(3))).alias("n"), i.alias("last")),
-        lambda acc: acc["n"],
-    )
-    n = F.col("__n")
-    lines = F.size("__lines").cast("long")
+    of_words = _let(words(F.col(text)), lambda w: F.struct(
+        F.size(w).cast("long").alias("n"), _repeated_words(w).alias("repeated"),
+        F.size(F.filter(w, lambda x: x.isin(*STOP_WORDS))).cast("long").alias("stops")))
+    of_lines = _let(F.filter(F.split(body, "\n", -1), lambda line: line.rlike(WORD)), lambda lines: F.struct(
+        F.size(lines).cast("long").alias("n"), (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("repeated")))
     values = {
-        "n_words": n,
+        "n_words": F.col("__of_words.n"),
         "word_chars": F.char_length(F.translate(body, " \t\n\x0b\f\r", "")).cast("long"),
         "n_symbols": _count(body, "#*$%&|<>").cast("long"),
-        "n_dup_lines": lines - F.size(F.array_distinct("__lines")).cast("long"),
-        "n_repeat_words": covered,
-        "n_lines": lines,
+        "n_dup_lines": F.col("__of_lines.repeated"),
+        "n_repeat_words": F.col("__of_words.repeated"),
+        "n_lines": F.col("__of_lines.n"),
         "n_marks": _count(body, "!?").cast("long"),
-        "n_stop_words": F.size(F.filter("__words", lambda w: w.isin(*STOP_WORDS))).cast("long"),
+        "n_stop_words": F.col("__of_words.stops"),
     }
-    out = three.select(*[c for c in docs.columns if c not in {prefix + k for k in values}],
-                       *[v.alias(prefix + k) for k, v in values.items()])
+    out = docs.withColumns({"__of_words": of_words, "__of_lines": of_lines}).select(
+        *[c for c in docs.columns if c not in {prefix + k for k in values}], *[v.alias(prefix + k) for k, v in values.items()])
 
     def ratio(part: str, whole: str) -> Column:
         return F.when(F.col(prefix + whole) > 0, F.col(prefix + part) / F.col(prefix + whole)).otherwise(F.lit(0.0))
@@ -143,9 +151,9 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text",
 def kept_rows(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that pass base and rules, with the columns of ``docs`` only.
 
-    A filter on the verdict alone would be pushed below the projections, which
-    would write the arrays' expressions out inside the lambdas. It also reads a row
-    number, which no predicate is pushed below.
+    A filter on the verdict alone would be pushed below the projections and compute
+    the measures again for each rule. It also reads a row number, which no predicate
+    is pushed below.
     """
     judged = judge(docs, rules, text, prefix="__").withColumn("__row", F.monotonically_increasing_id())
     return judged.filter(F.col("__kept") & (F.col("__row") >= 0)).select(*docs.columns)
