@@ -26,7 +26,7 @@ from tickloom.llm.common import CACHE_WORDS, ngrams, stored, text_bytes
 #: Lengths of n-grams, word ends included; hashed to so many buckets.
 SIZES, BUCKET_BITS = (2, 3, 4, 5), 20
 #: Labelled rows fitted per class, at most; features kept, at most; how telling (chi-squared) a feature must be.
-SAMPLE, FEATURES, MIN_CHI = 10_000, 20_000, 12.0
+SAMPLE, FEATURES, MIN_CHI = 8_000, 1_500, 12.0
 #: Strength of the penalty on weights, and steps of the fit.
 PENALTY, STEPS = 0.5, 100
 #: Feature values are counted as whole thousandths, so that sums do not depend on their order.
@@ -108,9 +108,9 @@ def sample(labels: DataFrame, per_class: int = SAMPLE) -> DataFrame:
 def fit_logistic(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, scale: np.ndarray, penalty: float = PENALTY,
                  steps: int = STEPS) -> tuple[np.ndarray, float]:
     """Logistic regression over feature values times ``scale``: weights per feature (scale included) and intercept."""
-    flat = np.concatenate([np.empty(0, np.int64), *[r[0] for r in rows]])
-    owner = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
-    n, values = len(scale), scale[flat] * np.concatenate([np.empty(0), *[r[1] for r in rows]])
+    flat = np.concatenate([np.empty(0, np.int32), *[r[0] for r in rows]])
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r[0]) for r in rows])
+    n, values = len(scale), scale.astype(np.float32)[flat] * np.concatenate([np.empty(0, np.float32), *[r[1] for r in rows]])
     w = np.zeros(n + 1)
 
     def loss(w: np.ndarray) -> tuple[float, np.ndarray]:
@@ -195,11 +195,11 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE, features:
                 found, value = features_of(text)
                 found = shared.value[found]
                 places.append(found[found >= 0].tobytes())
-                amounts.append(value[found >= 0].tobytes())
+                amounts.append(value[found >= 0].astype(np.float32).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(places, pa.binary()), pa.array(amounts, pa.binary())], ["y", "f", "v"])
 
     found = fitted.mapInArrow(select, "y int, f binary, v binary").toPandas().sort_values(["f", "v", "y"])  # the same sums in every run
-    rows = [(np.frombuffer(f, np.int32).astype(np.int64), np.frombuffer(v)) for f, v in zip(found["f"], found["v"])]
+    rows = [(np.frombuffer(f, np.int32), np.frombuffer(v, np.float32)) for f, v in zip(found["f"], found["v"])]
     weights, intercept = fit_logistic(rows, found["y"].to_numpy(float), ratio)
     # The sample balances the classes; the texts do not.
     intercept += np.log(share[1] / share[0]) - np.log(sizes[1] / sizes[0])
@@ -216,8 +216,8 @@ def scores(text: Column, model: Model, spark) -> Column:
             ready.append(Model(*shared.value))
             ready[0].prepare()
         out: list[float] = []
-        for first in range(0, len(texts), 1000):  # words of so many texts are held at once
-            words = [(t or b"").split() for t in texts.slice(first, 1000).to_pylist()]
+        for first in range(0, len(texts), 500):  # words of so many texts are held at once
+            words = [(t or b"").split() for t in texts.slice(first, 500).to_pylist()]
             ready[0].learn(set().union(*words))
             out += map(ready[0].score, words)
         return pa.array(out, pa.float64())
