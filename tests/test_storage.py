@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.test_candles import ticks
+from tickloom.operators import candles, coverage
+from tickloom.plans import jobs
 from tickloom.schemas import TICK_SCHEMAS, empty_ticks
 from tickloom.session import work_folder
 from tickloom.sinks import tables
@@ -123,3 +125,36 @@ def test_work_folder(folder, master, expected):
             work_folder(Session, "t")
     else:
         assert work_folder(Session, "t").startswith(expected)
+
+
+def test_a_report_that_runs_again_replaces_its_days(spark, tmp_path):
+    path = str(tmp_path / "missing")
+    definitions = spark.createDataFrame(
+        [("A:SPOT_PAIR:X-Y", "trades", "2024-01-01T00:00:00Z", "2024-01-10T00:00:00Z")],
+        "instrument_key string, data_types string, available_from_datetime string, available_to_datetime string")
+    expected = coverage.expected_types(definitions, "2024-01-02", "2024-01-05")
+    everything = expected.select("day", "instrument_key", "data_type")
+
+    def total(available, start="2024-01-02", end="2024-01-05"):
+        rows = jobs.missing_job(definitions, available, path, start, end).where("level = 'total'").collect()
+        return (rows[0].expected, rows[0].missing, rows[0].coverage_pct)
+
+    assert total(everything) == (4, 0, 100.0)  # nothing missing, no table yet
+    some = everything.where("day <> '2024-01-03' and day <> '2024-01-04'")
+    assert total(some) == (4, 2, 50.0)
+    assert total(some, "2024-01-04", "2024-01-05") == (2, 1, 50.0)  # another range
+    assert total(everything.where("day <> '2024-01-04'")) == (4, 1, 75.0)
+    assert [str(r.day) for r in spark.read.parquet(path).select("day").distinct().collect()] == ["2024-01-04"]
+    assert total(everything) == (4, 0, 100.0)
+    assert spark.read.parquet(path).count() == 0
+
+
+def test_candles_of_a_range_leave_no_stale_day(spark, tmp_path):
+    path = str(tmp_path / "candles")
+    rows = [(i, 10.0, 1.0) for i in range(0, 4 * 86400, 43200)]
+    frame = candles.ohlcv(ticks(spark, rows), "1h")
+    tables.write_candles(frame, path)
+    second = frame.where(F.to_date("timestamp") != F.lit("2024-01-16").cast("date"))
+    tables.write_candles(second, path, days=("2024-01-15", "2024-01-17"))
+    days = {str(r.day) for r in spark.read.parquet(path).select("day").distinct().collect()}
+    assert "2024-01-16" not in days and {"2024-01-15", "2024-01-17", "2024-01-18"} <= days

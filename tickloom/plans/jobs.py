@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.operators import book, candles, coverage, features, instruments, quality, reconcile
 from tickloom.schemas import BASE_TIMEFRAMES, ROLLUP_TIMEFRAMES
@@ -44,24 +45,32 @@ def targets_job(spark: SparkSession, missing: DataFrame, definitions: DataFrame,
     return targets.join(landed.select("day", "instrument_key", "data_type").distinct(), ["day", "instrument_key", "data_type"], "left_semi")
 
 
+def _stored_report(spark: SparkSession, path: str, schema: T.StructType, start: str, end: str) -> DataFrame:
+    """The rows of a range of days; the schema is given, as a report may have no row."""
+    return spark.read.schema(schema).parquet(path).where(F.col("day").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+
+
 def missing_job(
     definitions: DataFrame, available: DataFrame, path: str, start: str, end: str, data_types: Sequence[str] | None = None,
     generated_at: str | None = None,
 ) -> DataFrame:
-    """Write the missing report of every day in the range; returns the summary."""
+    """Write the missing report of every day in the range; returns the summary of the range.
+
+    A run replaces all days of its range, so a day that has become complete loses its rows.
+    """
     expected = coverage.expected_types(definitions, start, end, data_types)
     missing = coverage.missing_types(expected, available)
-    tables.write_report(missing, path, data_types=data_types or (), generated_at=generated_at)
-    stored = definitions.sparkSession.read.parquet(path)
-    return coverage.missing_report(expected, stored)
+    schema = tables.write_report(missing, path, data_types=data_types or (), generated_at=generated_at, days=(start, end))
+    return coverage.missing_report(expected, _stored_report(definitions.sparkSession, path, schema, start, end))
 
 
 def available_job(
     definitions: DataFrame, missing: DataFrame, path: str, start: str, end: str, data_types: Sequence[str], generated_at: str | None = None
 ) -> DataFrame:
+    """Write the available report of every day in the range; returns the stored rows of the range."""
     rows = coverage.available_types(definitions, missing, start, end, data_types)
-    tables.write_report(rows, path, data_types=data_types, generated_at=generated_at)
-    return definitions.sparkSession.read.parquet(path)
+    schema = tables.write_report(rows, path, data_types=data_types, generated_at=generated_at, days=(start, end))
+    return _stored_report(definitions.sparkSession, path, schema, start, end)
 
 
 def candle_job(
@@ -74,15 +83,20 @@ def candle_job(
     eligible: DataFrame | None = None,
     base_timeframes: Sequence[str] = BASE_TIMEFRAMES,
     rollups: Sequence[str] = ROLLUP_TIMEFRAMES,
+    days: tuple[str, str] | None = None,
 ) -> DataFrame:
     """Base candles with features, rollups of the finest one-minute level, book rows.
 
     Ticks of each kind are scanned once for all base timeframes. Base candles are
     written first and read back for the rollups: the stored table cuts the
     lineage, so a lost executor costs a re-read and not the ticks. Book rows of
-    longer timeframes come from the finest ones. Returns row counts per day and
-    timeframe.
+    longer timeframes come from the finest ones. With ``days``, the range that the
+    ticks cover, rollups read these days only and stored rows of the range that are
+    no longer made go away. Returns row counts per day and timeframe.
     """
+    def in_range(df: DataFrame) -> DataFrame:
+        return df.where(F.col("day").between(*[F.lit(d).cast("date") for d in days])) if days else df
+
     def only(df: DataFrame | None) -> DataFrame | None:
         if df is None or eligible is None:
             return df
@@ -90,17 +104,17 @@ def candle_job(
 
     path = f"{root}/candles"
     base_frame = features.candles_with_features(only(trades), tuple(base_timeframes), only(liquidations), only(ticker))
-    tables.write_candles(base_frame, path)
+    tables.write_candles(base_frame, path, days=days)
     if rollups:
-        base = spark.read.parquet(path).where(F.col("timeframe") == base_timeframes[-1]).drop("day")
+        base = in_range(spark.read.parquet(path)).where(F.col("timeframe") == base_timeframes[-1]).drop("day")
         full = liquidations is not None and ticker is not None
         rolled = features.rollup_features(base, rollups) if full else candles.rollup_all(base, rollups)
         tables.write_candles(rolled, path)
     if books is not None:
         finest, *longer = (*base_timeframes, *rollups)
-        tables.write_candles(book.book_features(only(books), finest), f"{root}/book")
+        tables.write_candles(book.book_features(only(books), finest), f"{root}/book", days=days)
         if longer:
-            first = spark.read.parquet(f"{root}/book").where(F.col("timeframe") == finest).drop("day")
+            first = in_range(spark.read.parquet(f"{root}/book")).where(F.col("timeframe") == finest).drop("day")
             tables.write_candles(book.rollup_book(first, longer), f"{root}/book")
     return tables.stored_days(spark, path)
 

@@ -6,8 +6,10 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from datetime import timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.functions.keys import symbol_and_exchange
 from tickloom.operators import candles as candle_rows
@@ -50,6 +52,35 @@ def write_sorted(df: DataFrame, path: str, partitions: Sequence[str], order: Seq
     _write(arranged, path, partitions, mode)
 
 
+def _files(spark: SparkSession, path: str, schema: T.StructType, partitions: Sequence[str], start: str, end: str) -> dict[str, tuple]:
+    """The files of the days in the range with their partition values; none where the table is not there yet."""
+    try:
+        stored = spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    low, high = F.lit(start).cast("date"), F.lit(end).cast("date")
+    rows = stored.where(F.col("day").between(low, high)).select(F.col("_metadata.file_path").alias("f"), *partitions).distinct().collect()
+    return {r["f"]: tuple(str(r[c]) for c in partitions) for r in rows}
+
+
+def replace_days(df: DataFrame, path: str, partitions: Sequence[str], order: Sequence[str], start: str, end: str) -> None:
+    """Write ``df`` in place of all stored days from ``start`` to ``end``, those it has no row of too.
+
+    The write replaces the folders that ``df`` has rows for. A folder of the range
+    that still holds a file from before has no row any more and is overwritten with
+    none. The files looked at are those of the range only.
+    """
+    spark, schema = df.sparkSession, df.schema
+    before = _files(spark, path, schema, partitions, start, end)
+    write_sorted(df, path, partitions, order)
+    after = _files(spark, path, schema, partitions, start, end)
+    none = spark.createDataFrame([], schema).drop(*partitions)
+    for values in sorted({after[f] for f in after if f in before}):
+        _write(none, "/".join([path, *(f"{c}={v}" for c, v in zip(partitions, values))]), (), "overwrite")
+
+
 def write_ticks(ticks: DataFrame, path: str, data_type: str | None = None, mode: str = "overwrite") -> None:
     """Ticks by day and data type, sorted by instrument and time.
 
@@ -68,9 +99,15 @@ def write_ticks(ticks: DataFrame, path: str, data_type: str | None = None, mode:
     write_sorted(out, path, ["day", "data_type"], ["instrument_key", "timestamp"], mode)
 
 
-def write_candles(candles: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Candles (or book rows) by day and timeframe."""
+def write_candles(candles: DataFrame, path: str, mode: str = "overwrite", days: tuple[str, str] | None = None) -> None:
+    """Candles (or book rows) by day and timeframe.
+
+    ``days`` names a range of which no earlier row of these timeframes may stay.
+    """
     out = candles.withColumn("day", F.to_date("timestamp"))
+    if days:
+        replace_days(out, path, ["day", "timeframe"], ["instrument_key", "timestamp"], *days)
+        return
     write_sorted(out, path, ["day", "timeframe"], ["instrument_key", "timestamp"], mode)
 
 
@@ -86,15 +123,22 @@ def write_instruments(daily: DataFrame, path: str, mode: str = "overwrite") -> N
 
 def write_report(
     report: DataFrame, path: str, venues: Sequence[str] = (), instrument_types: Sequence[str] = (), data_types: Sequence[str] = (),
-    generated_at: str | None = None,
-) -> None:
-    """A coverage report by day, with the filters it was made under."""
+    generated_at: str | None = None, days: tuple[str, str] | None = None,
+) -> T.StructType:
+    """A coverage report by day, with the filters it was made under; returns its schema.
+
+    With ``days``, a range, a day that has no row any more loses those of earlier runs.
+    """
     stamp = F.lit(generated_at).cast("timestamp") if generated_at else F.current_timestamp()
     text = lambda v: F.lit(",".join(v) if v else "all")
     out = report.withColumns({
         "report_date": F.col("day"), "venues_filter": text(venues), "instrument_types_filter": text(instrument_types),
         "data_types_filter": text(data_types), "generated_at": stamp})
-    write_sorted(out, path, ["day"], ["instrument_key"])
+    if days:
+        replace_days(out, path, ["day"], ["instrument_key"], *days)
+    else:
+        write_sorted(out, path, ["day"], ["instrument_key"])
+    return out.schema
 
 
 def warehouse_frame(candles: DataFrame) -> DataFrame:
