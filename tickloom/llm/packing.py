@@ -22,10 +22,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
-from tickloom.llm.common import CACHE_WORDS, stored, text_bytes
+from tickloom.llm.common import stored, text_bytes
 
 CAPACITY = 4096
 END_ID = 1
+#: Words whose ids a worker keeps; bounds its memory, not the result.
+KNOWN_WORDS = 500_000
 #: Pieces numbered together in one task.
 RANK_ROWS = 4000
 
@@ -42,7 +44,8 @@ class WordIds(dict):
     tokenizer.
     """
 
-    PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
+    #: A line with a word each: plain letters and punctuation, or anything else.
+    LINES = re.compile(r"^(?:([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)|(.+))$", re.M)
 
     def __init__(self, path: str):
         super().__init__()
@@ -63,31 +66,30 @@ class WordIds(dict):
 
     def learn(self, words: set[bytes]) -> None:
         """Look up all words that are not known yet."""
-        new = words.difference(self)
-        if len(self) + len(new) > CACHE_WORDS:
+        new = list(words.difference(self))
+        if len(self) + len(new) > KNOWN_WORDS:
             self.clear()
             self.parts = {"": b""}
-            new = words
-        cut, odd = {}, []
-        for word in new:
-            match = self.PLAIN.fullmatch(word.decode("utf-8", "replace"))
-            if match:
-                cut[word] = (match[1].lower(), match[2])
-            else:
-                odd.append(word)
-        stems = list({stem for stem, _ in cut.values()}.difference(self.parts))
-        if stems:
-            written = " ".join(s if s.isascii() else "".join(map(self.letters.__getitem__, s.encode())) for s in stems)
+            new = list(words)
+        if not new:
+            return
+        # All words are taken apart in one pass over lines.
+        found = self.LINES.findall(b"\n".join(new).decode("utf-8", "replace"))
+        stems = "\n".join([stem for stem, _, _ in found]).lower().split("\n")
+        unknown = list(set(stems).difference(self.parts))
+        if unknown:
+            written = " ".join([s if s.isascii() else "".join(map(self.letters.__getitem__, s.encode())) for s in unknown])
             ids = np.array(self.bpe.encode_batch_fast([written], add_special_tokens=False)[0].ids, "<u4")
             stops = np.flatnonzero(self.ends[ids]) + 1
             raw, start = ids.tobytes(), 0
-            for stem, stop in zip(stems, (stops * 4).tolist(), strict=True):
+            for stem, stop in zip(unknown, (stops * 4).tolist(), strict=True):
                 self.parts[stem] = raw[start:stop]
                 start = stop
-        marks = list({mark for _, mark in cut.values()}.difference(self.parts))
-        self.parts.update(zip(marks, self._encode(marks)))
-        self.update((word, self.parts[stem] + self.parts[mark]) for word, (stem, mark) in cut.items())
-        self.update(zip(odd, self._encode([word.decode("utf-8", "replace") for word in odd])))
+        others = list({text for _, mark, odd in found for text in (mark, odd)}.difference(self.parts))
+        self.parts.update(zip(others, self._encode(others)))
+        parts = self.parts
+        # A line is a stem with a mark, or another word: the parts that are not there are empty.
+        self.update(zip(new, [parts[stem] + parts[mark] + parts[odd] for stem, (_, mark, odd) in zip(stems, found, strict=True)], strict=True))
 
 
 _loaded: dict[str, WordIds] = {}
