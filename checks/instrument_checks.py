@@ -167,13 +167,18 @@ _QUOTES = "['USDT', 'USDC', 'BUSD', 'USD', 'DAI', 'GBP', 'TUSD', 'EUR', 'TRY', '
 
 
 def _quote(x: str) -> str:
-    return f"list_filter({_QUOTES}, lambda q: contains(upper({x}), q))[1]"
+    """The longest quote that x ends with, something being before it."""
+    return f"list_filter(list_sort(list_transform({_QUOTES}, lambda q: {{'n': -length(q), 'q': q}})), lambda s: ends_with(upper({x}), s.q) AND length({x}) > length(s.q))[1].q"
+
+
+_HEAD = "regexp_extract(CASE WHEN symbol_type = 'future' THEN regexp_replace(symbol_id, '[FGHJKMNQUVXZ][0-9]{2}$', '') ELSE symbol_id END, '^[^-_]*')"
 
 
 PARSED = fx.with_(fx.SYMBOLS, f"""
 q0 AS (
   SELECT *, split_part(symbol_id, '-', 1) AS f1, split_part(symbol_id, '-', 2) AS f2,
-    len(string_split(symbol_id, '-')) AS np, {_quote('symbol_id')} AS q_all, {_quote("split_part(symbol_id, '-', 1)")} AS q_first,
+    len(string_split(symbol_id, '-')) AS np, {_HEAD} AS head, {_quote(_HEAD)} AS q_end, {_quote("split_part(symbol_id, '-', 1)")} AS q_first,
+    list_filter({_QUOTES}, lambda q: q = upper(split_part(replace(symbol_id, '_', '-'), '-', 2)))[1] AS q_apart,
     symbol_type IN ('future', 'option') AS contract
   FROM symbols
 )""", r"""
@@ -185,13 +190,13 @@ q1 AS (
 q2 AS (
   SELECT *,
     CASE WHEN exchange = 'upbit' THEN CASE WHEN np = 2 THEN f1 ELSE '' END
-      WHEN dc THEN regexp_replace(CASE WHEN q_first IS NULL THEN f1 ELSE regexp_replace(f1, '(?i)' || q_first, '', 'g') END, '_+$', '')
+      WHEN dc THEN rtrim(left(f1, length(f1) - coalesce(length(q_first), 0)), '_-')
       WHEN word_pair THEN f1
-      ELSE regexp_extract(CASE WHEN q_all IS NULL THEN symbol_id ELSE regexp_replace(symbol_id, '(?i)' || q_all, '', 'g') END,
-                          '^[0-9]*([A-Za-z]+)', 1) END AS base_asset,
+      ELSE regexp_replace(CASE WHEN q_apart IS NOT NULL THEN head WHEN q_end IS NOT NULL THEN rtrim(left(head, length(head) - length(q_end)), '_-')
+        ELSE regexp_extract(head, '^[0-9]*[A-Za-z]+') END, '^(1000000|10000|1000)([A-Za-z])', '\2') END AS base_asset,
     CASE WHEN exchange = 'upbit' THEN CASE WHEN np = 2 THEN f2 ELSE '' END
       WHEN dc THEN CASE WHEN own_quote THEN q_first ELSE 'USD' END
-      WHEN word_pair THEN f2 ELSE coalesce(q_all, 'USD') END AS quote_asset,
+      WHEN word_pair THEN f2 ELSE coalesce(q_apart, q_end, 'USD') END AS quote_asset,
     coalesce(nullif(regexp_extract(symbol_id, '-([0-9][A-Z]{3}[0-9]{2})-', 1), ''),
              nullif(regexp_extract(symbol_id, '-([0-9]{2}[A-Z]{3}[0-9]{2})-', 1), ''),
              nullif(regexp_extract(symbol_id, '-([0-9]{2}[A-Z]{3}[0-9]{2})$', 1), '')) AS dm,
@@ -472,7 +477,7 @@ def _find(spark, sf):
 @check("d14_similar_instruments", fx.with_(fx.INSTRUMENTS) +
        "SELECT DISTINCT instrument_key FROM instruments WHERE contains(instrument_key, 'OKX') ORDER BY 1 LIMIT 10")
 def _similar(spark, sf):
-    return ins.similar(ad.instruments(spark, sf), "OKX:PERPETUAL:NONE-USDT")
+    return ins.similar(ad.instruments(spark, sf), "OKX:PERPETUAL:NONE-USDT", limit=10)
 
 
 SNAPSHOTS = ("1995-04-01", "1995-05-01")
@@ -500,7 +505,7 @@ def _unknown(spark, sf):
     i = ad.instruments(spark, sf)
     asked = i.select(F.when(F.col("p_partkey") % 4 == 0, F.concat(F.lit("X"), "instrument_key")).otherwise(
         F.col("instrument_key")).alias("instrument_key"))
-    return ins.requested_but_unknown(asked, i)
+    return ins.requested_but_unknown(asked, i, limit=10)
 
 
 # -- validation, counts, shapes ---------------------------------------------------------

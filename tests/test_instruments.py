@@ -45,12 +45,16 @@ SYMBOLS = [
     ("deribit", "future", "ETH-26DEC25", "ETH", "USD", "ETH", "2025-12-26", None, None),
     ("binance-futures", "future", "BTCUSDT_240329", "BTC", "USDT", "USDT", "2024-03-29", None, None),
     ("binance-futures", "perpetual", "1000SHIBUSDT", "SHIB", "USDT", "USDT", None, None, None),
-    ("bybit", "future", "BTCUSDM25", "BTCM", "USD", "BTCM", "2025-06-30", None, None),
-    ("bybit", "future", "BTCUSDZ25", "BTCZ", "USD", "BTCZ", "2025-12-31", None, None),
+    ("bybit", "future", "BTCUSDM25", "BTC", "USD", "BTC", "2025-06-30", None, None),
+    ("bybit", "future", "BTCUSDZ25", "BTC", "USD", "BTC", "2025-12-31", None, None),
     ("bybit", "future", "BTC-29DEC23", "BTC", "USD", "BTC", "2023-12-29", None, None),
     ("okex-futures", "future", "BTC-USDT-240329", "BTC", "USDT", "USDT", "2024-03-29", None, None),
     ("okex-swap", "perpetual", "BTC-USDT-SWAP", "BTC", "USDT", "USDT", None, None, None),
     ("binance", "spot", "btcusdt", "btc", "USDT", "USDT", None, None, None),
+    ("binance", "spot", "USDTBRL", "USDT", "BRL", "BRL", None, None, None),
+    ("binance", "spot", "1inchusdt", "1inch", "USDT", "USDT", None, None, None),
+    ("binance", "spot", "C98USDT", "C98", "USDT", "USDT", None, None, None),
+    ("binance", "spot", "BTCTUSD", "BTC", "TUSD", "TUSD", None, None, None),
     ("okex", "spot", "USDT-TRY", "USDT", "TRY", "TRY", None, None, None),
     ("upbit", "spot", "BTC-ETH", "BTC", "ETH", "ETH", None, None, None),
     ("upbit", "spot", "BTCETH", "", "", "", None, None, None),

@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Quote assets searched for in a raw symbol, in this order.
+# Quote assets of raw symbols.
 QUOTES = ("USDT", "USDC", "BUSD", "USD", "DAI", "GBP", "TUSD", "EUR", "TRY", "BRL", "JPY", "KRW", "CNY", "HKD")
+# Lot sizes written before a base asset.
+LOTS = ("1000000", "10000", "1000")
 # Futures month codes, January to December.
 MONTH_CODES = "FGHJKMNQUVXZ"
 # Exchanges whose contracts settle at 08:00 UTC.
@@ -20,14 +22,22 @@ LEVERAGED = ("BTCUP", "BTCDOWN", "ETHUP", "ETHDOWN", "BNBUP", "BNBDOWN", "ADAUP"
 AGGREGATES = ("SPOT", "PERPETUALS", "FUTURES", "COMBOS")
 
 
-def quote_in(text: Column) -> Column:
-    """The first known quote found anywhere in ``text``; NULL when there is none."""
-    known = F.array(*[F.lit(q) for q in QUOTES])
-    return F.get(F.filter(known, lambda q: F.contains(F.upper(text), q)), F.lit(0))
+def quote_at_end(text: Column) -> Column:
+    """The longest known quote that ``text`` ends with, something being before it; NULL when there is none."""
+    known = F.array(*[F.lit(q) for q in sorted(QUOTES, key=len, reverse=True)])
+    ends = F.filter(known, lambda q: F.endswith(F.upper(text), q) & (F.length(text) > F.length(q)))
+    return F.get(ends, F.lit(0))
 
 
-def without(text: Column, quote: Column) -> Column:
-    return F.when(quote.isNull(), text).otherwise(F.regexp_replace(text, F.concat(F.lit("(?i)"), quote), F.lit("")))
+def before_quote(text: Column, quote: Column) -> Column:
+    """What stands before the quote and the marks between; all of it when there is no quote."""
+    rest = text.substr(F.lit(1), F.length(text) - F.length(quote))
+    return F.regexp_replace(F.coalesce(rest, text), "[_-]+$", "")
+
+
+def without_lot(base: Column) -> Column:
+    """A base asset without the lot size some contracts put before it."""
+    return F.regexp_replace(base, f"^(?:{'|'.join(LOTS)})(?=[A-Za-z])", "")
 
 
 def staged(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
@@ -44,6 +54,9 @@ def staged(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
 def with_assets(listing: DataFrame) -> DataFrame:
     """Add base, quote and settlement asset; an unreadable symbol has an empty base.
 
+    The quote is the part after the first dash if that is one, else what the first
+    part ends with (a future's month code left out), USD if it ends with none; the
+    base is what stands before it.
     Expects ``exchange``, ``symbol_id`` and ``symbol_type``.
     """
     exchange, symbol, kind = F.col("exchange"), F.col("symbol_id"), F.col("symbol_type")
@@ -51,7 +64,10 @@ def with_assets(listing: DataFrame) -> DataFrame:
     first = F.get(pieces, F.lit(0))
     two = F.size(pieces) == 2
     spelled = staged(listing, {
-        "_first": first, "_second": F.get(pieces, F.lit(1)), "_quote": quote_in(symbol), "_first_quote": quote_in(first),
+        "_first": first, "_second": F.get(pieces, F.lit(1)), "_first_quote": quote_at_end(first),
+        "_head": F.regexp_extract(
+            F.when(kind == "future", F.regexp_replace(symbol, f"[{MONTH_CODES}]\\d{{2}}$", "")).otherwise(symbol), "^[^-_]*", 0),
+         "_apart": F.upper(F.get(F.split(symbol, "[-_]"), F.lit(1))).isin(*QUOTES),
         "_shape": F.when(exchange == "upbit", F.when(two, "pair").otherwise("unreadable"))
         .when((exchange == "deribit") & kind.isin("future", "option"),
               F.when(symbol == "OPTIONS", "chain").when(symbol.contains("-"), "contract").otherwise("unreadable"))
@@ -61,22 +77,26 @@ def with_assets(listing: DataFrame) -> DataFrame:
     own_quote = F.col("_first_quote").isin("USD", "USDC")
     named = staged(spelled, {
         "base_asset": F.when(shape == "pair", F.col("_first"))
-        .when(shape == "contract", F.regexp_replace(without(F.col("_first"), F.col("_first_quote")), "_+$", ""))
+        .when(shape == "contract", before_quote(F.col("_first"), F.col("_first_quote")))
         .when(shape == "chain", "BTC")
-        .when(shape == "joined", F.regexp_extract(
-            without(symbol, F.col("_quote")), "^[0-9]*([A-Za-z]+|[A-Za-z0-9]+(?=-))", 1))
+        .when(shape == "joined", without_lot(
+            F.when(F.coalesce("_apart", F.lit(False)), F.col("_head"))
+            .when(quote_at_end(F.col("_head")).isNotNull(), before_quote(F.col("_head"), quote_at_end(F.col("_head"))))
+            # Nothing but a base, perhaps with a date code.
+            .otherwise(F.regexp_extract("_head", "^[0-9]*[A-Za-z]+", 0))))
         .otherwise(""),
         "quote_asset": F.when(shape == "pair", F.col("_second"))
         .when(shape == "contract", F.when(own_quote, F.col("_first_quote")).otherwise("USD"))
         .when(shape == "chain", "USD")
-        .when(shape == "joined", F.coalesce("_quote", F.lit("USD")))
+        .when(shape == "joined", F.when(F.coalesce("_apart", F.lit(False)), F.upper(F.get(F.split(symbol, "[-_]"), F.lit(1))))
+              .otherwise(F.coalesce(quote_at_end(F.col("_head")), F.lit("USD"))))
         .otherwise(""),
         "_coin_settled": F.when(shape == "contract", ~F.coalesce(own_quote, F.lit(False))).otherwise(shape != "pair"),
     })
     coin = F.col("_coin_settled") & (F.col("quote_asset") == "USD")
     settle = F.when(F.col("base_asset") == "", "").when(coin, F.col("base_asset")).otherwise(F.col("quote_asset"))
     return named.withColumn("settle_asset", settle).drop(
-        "_first", "_second", "_quote", "_first_quote", "_shape", "_coin_settled")
+        "_first", "_second", "_head", "_apart", "_first_quote", "_shape", "_coin_settled")
 
 
 def _found(symbol: Column, pattern: str, group: int = 1) -> Column:

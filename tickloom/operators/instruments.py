@@ -189,11 +189,11 @@ def find(instruments: DataFrame, targets: DataFrame, target: str = "target") ->
     )
 
 
-def similar(instruments: DataFrame, target: str, limit: int = 10) -> DataFrame:
-    """Keys that contain the venue of ``target``, in key order."""
+def similar(instruments: DataFrame, target: str, limit: int | None = None) -> DataFrame:
+    """Keys that contain the venue of ``target``, in key order; all of them unless ``limit`` says how many."""
     venue = target.split(":")[0]
-    return instruments.select("instrument_key").where(F.col("instrument_key").contains(venue)).distinct().orderBy(
-        "instrument_key").limit(limit)
+    found = instruments.select("instrument_key").where(F.col("instrument_key").contains(venue)).distinct().orderBy("instrument_key")
+    return found if limit is None else found.limit(limit)
 
 
 def market_matches(
@@ -289,10 +289,10 @@ def changes(before: DataFrame, after: DataFrame, on: Sequence[str] = ("exchange"
     )
 
 
-def requested_but_unknown(requested: DataFrame, instruments: DataFrame, limit: int = 10) -> DataFrame:
-    """Requested keys without a definition, the first ten by key."""
-    return requested.select("instrument_key").distinct().join(
-        instruments, "instrument_key", "left_anti").orderBy("instrument_key").limit(limit)
+def requested_but_unknown(requested: DataFrame, instruments: DataFrame, limit: int | None = None) -> DataFrame:
+    """Requested keys without a definition, by key; all of them unless ``limit`` says how many."""
+    found = requested.select("instrument_key").distinct().join(instruments, "instrument_key", "left_anti").orderBy("instrument_key")
+    return found if limit is None else found.limit(limit)
 
 
 # -- validation ------------------------------------------------------------------
