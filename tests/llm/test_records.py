@@ -156,6 +156,20 @@ def test_html_pages(page, expected):
     assert html.main_text(page) == expected
 
 
+@pytest.mark.parametrize("page, expected", [
+    # The body stands beside a teaser that is marked as an article.
+    (f"<article><h3>Read on</h3><p>More soon</p></article><div><p>{LONG} one.</p><p>Short.</p><p>{LONG} two.</p></div>", [f"{LONG} one.", "Short.", f"{LONG} two."]),
+    (f"<div><h1>Head</h1><p>{LONG} one.</p><p>{LONG} two.</p></div><article><p>{LONG}</p></article>", ["Head", f"{LONG} one.", f"{LONG} two.", LONG]),
+    # Unmarked junk in main: link bars, word lists, notes and copyright lines.
+    (f"<main><div>Skip this</div><p>Go to <a href='x'>our other pages</a></p><h1>Head</h1><p>{LONG}</p><p>Short.</p><p>{LONG} two.</p>"
+     f"<div>{'Laptop Tablet Camera ' * 12}</div><div>Share now</div><p>© 2024 Somebody</p></main>", ["Head", LONG, "Short.", f"{LONG} two."]),
+    # In an article the hint decides: code, words and short ends stay; link lists do not.
+    (f"<article><h1>T</h1><p>{LONG}</p><pre>{'x = y + 1; ' * 30}</pre><p><a href='x'>all links of it</a></p><p>End.</p></article>", ["T", LONG, ("x = y + 1; " * 30).strip(), "End."]),
+])
+def test_html_marks_are_hints(page, expected):
+    assert html.main_text(page) == expected
+
+
 def test_html_of_the_table(spark, sf):
     """The article of each page, read with expressions of its own."""
     rows = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}

@@ -3,10 +3,12 @@
 Method: two-pass block rules. A page is cut into blocks at block-level tags. Pass
 one decides each block by link density, length and the share of stop words; blocks
 that are too short to tell stay open. Pass two gives an open block the label of its
-nearest decided neighbours. Markup comes first: what stands in menus, page headers
-and footers, sidebars, notices, adverts, forms, scripts and reader comments, by
-element, role or class, is no candidate; where a page marks its article, blocks
-outside are none either, and inside it only link lists are left out.
+nearest decided neighbours. Markup excludes and hints: what stands in menus, page
+headers and footers, sidebars, notices, adverts, forms, scripts and reader comments,
+by element, role or class, is no candidate. A block inside <article> counts as good
+in pass one unless it is a link list, as long as that article is no mere teaser;
+<main> gives no such hint. Beside marked text, blocks outside count when they add
+up to a long block.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -66,6 +69,7 @@ class Block:
     linked: int
     heading: bool
     inside: bool
+    article: int = 0  # number of the outermost article it stands in
 
 
 def _marks(name: str, attributes: str, inside: bool) -> bool:
@@ -96,7 +100,8 @@ def blocks(page: str) -> list[Block]:
     out: list[Block] = []
     pieces: list[str] = []
     linked, heading = 0, False
-    stack: list[tuple[str, bool, bool]] = []  # open elements: name, ruled out, inside an article
+    stack: list[tuple[str, bool, bool, int]] = []  # open elements: name, ruled out, inside what is marked, number of the article
+    articles = 0
     opened: Counter = Counter()  # their names
     links = 0
 
@@ -108,7 +113,7 @@ def blocks(page: str) -> list[Block]:
         nonlocal pieces, linked, heading
         text = " ".join("".join(pieces).split()) if pieces else ""
         if text:
-            out.append(Block(text, min(linked, len(text)), heading, bool(stack) and stack[-1][2]))
+            out.append(Block(text, min(linked, len(text)), heading, bool(stack) and stack[-1][2], stack[-1][3] if stack else 0))
         pieces, linked, heading = [], 0, False
 
     def add(text: str) -> None:
@@ -171,10 +176,13 @@ def blocks(page: str) -> list[Block]:
                 if stack[depth][0] in BLOCK:
                     break
             heading = name in ("h1", "h2", "h3", "h4", "h5", "h6")
-        out_before, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+        out_before, inside, article = stack[-1][1:] if stack else (False, False, 0)
         ruled_out = out_before or _marks(name, attributes, inside)
-        inside = inside or name in ("article", "main") or 'role="main"' in attributes or 'itemprop="articleBody"' in attributes
-        stack.append((name, ruled_out, inside))
+        if not article and (name == "article" or 'itemprop="articleBody"' in attributes):
+            articles += 1
+            article = articles
+        inside = inside or bool(article) or name == "main" or 'role="main"' in attributes
+        stack.append((name, ruled_out, inside, article))
         opened[name] += 1
         if name == "a":
             links = 1
@@ -187,54 +195,72 @@ def _share_of_stops(text: str) -> float:
     return sum(w.strip(EDGES) in STOPS for w in words) / len(words)
 
 
+def _by_itself(block: Block, share: float, known: bool) -> bool | None:
+    """Pass one for a block without a hint. None: open."""
+    length = len(block.text)
+    if block.linked > MAX_LINKS * length or "©" in block.text:
+        return False
+    if length < SHORT:
+        return False if block.linked else None
+    if not known or share >= (STOPS_HIGH if length < LONG else STOPS_LOW):
+        return True
+    return None if share >= STOPS_LOW or length < LONG else False
+
+
 def main_text(page: str | None) -> list[str]:
     """The blocks of the article, in page order."""
     found = blocks(page or "")
-    inside = [b for b in found if b.inside]
-    if inside:
-        return [b.text for b in inside if b.linked <= MAX_LINKS_INSIDE * len(b.text)]
 
-    # Pass one: each block by itself. None: too short to tell.
+    # Pass one: each block by itself, then with the hint of its article.
     shares = [_share_of_stops(b.text) for b in found]
     long_shares = [s for b, s in zip(found, shares) if len(b.text) >= SHORT]
     known = max(long_shares, default=0.0) >= STOPS_LOW  # else the language has no stop words in the list
-    labels: list[bool | None] = []
-    near: list[bool] = []
-    for block, share in zip(found, shares):
-        length = len(block.text)
-        enough = not known or share >= (STOPS_HIGH if length < LONG else STOPS_LOW)
-        if block.linked > MAX_LINKS * length or "©" in block.text:
-            label: bool | None = False
-        elif length < SHORT:
-            label = False if block.linked else None
-        elif enough:
-            label = True
-        else:
-            label = None if share >= STOPS_LOW or length < LONG else False
-        labels.append(label)
-        near.append(label is None and length >= SHORT)
-
-    # Pass two: open blocks follow their nearest decided neighbours; the ends of the page count as no article.
-    def nearest(places: Iterator[int]) -> bool:
-        return next((bool(labels[i]) for i in places if labels[i] is not None), False)
+    labels = [_by_itself(b, s, known) for b, s in zip(found, shares)]
+    near = [label is None and len(b.text) >= SHORT for b, label in zip(found, labels)]
+    good: Counter = Counter()  # characters that are good by themselves, by article
+    for block, label in zip(found, labels):
+        good[block.article] += len(block.text) if label else 0
+    total = sum(good.values())
+    for i, block in enumerate(found):
+        # An article without good text of its own is a teaser where a long text stands elsewhere.
+        if block.article and (good[block.article] or total < LONG):
+            listed = block.linked > MAX_LINKS_INSIDE * len(block.text)
+            labels[i] = not (listed or "©" in block.text and len(block.text) < SHORT)
+
+    # Beside marked text, what else there is has to add up to a long block.
+    marked = any(label and b.inside for b, label in zip(found, labels))
+    for inside, run in groupby(range(len(found)), lambda i: found[i].inside) if marked else ():
+        places = [i for i in run if labels[i]]
+        if not inside and sum(len(found[i].text) for i in places) < LONG:
+            for i in places:
+                labels[i] = False
+
+    # Pass two: open blocks follow their nearest decided neighbours on their side of the mark; its ends and those of the page count as no article.
+    def nearest(order: range) -> list[bool]:
+        out, last, side = [False] * len(labels), False, None
+        for i in order:
+            if marked and found[i].inside != side:
+                last, side = False, found[i].inside
+            out[i] = last
+            if labels[i] is not None:
+                last = bool(labels[i])
+        return out
 
+    before, after = nearest(range(len(labels))), nearest(range(len(labels) - 1, -1, -1))
     final = []
     for i, label in enumerate(labels):
-        if label is None:
-            before, after = nearest(iter(range(i - 1, -1, -1))), nearest(iter(range(i + 1, len(labels))))
-            if found[i].heading:
-                gap, label = 0, False
-                for j in range(i + 1, len(labels)):
-                    if labels[j]:
-                        label = gap <= HEADING_REACH
-                        break
-                    gap += len(found[j].text)
-            else:
-                label = (before or after) if near[i] else (before and after)
+        if label is None and found[i].heading:
+            gap, label, j = 0, False, i + 1
+            while j < len(labels) and gap <= HEADING_REACH and not labels[j]:
+                gap, j = gap + len(found[j].text), j + 1
+            if j < len(labels) and gap <= HEADING_REACH:
+                label = found[i].article in (0, found[j].article)
+        elif label is None:
+            label = (before[i] or after[i]) if near[i] else (before[i] and after[i])
         final.append(label)
     if not any(final):  # nothing is long enough to decide: what is free of links
         final = [not b.linked and "©" not in b.text for b in found]
-    return [b.text for b, good in zip(found, final) if good]
+    return [b.text for b, kept in zip(found, final) if kept]
 
 
 def extract(pages: DataFrame) -> DataFrame:
