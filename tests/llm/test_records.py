@@ -222,6 +222,19 @@ def test_what_fails_its_check_stays(text):
     assert swap(text) == text
 
 
+@pytest.mark.parametrize("value, text", [
+    ("BE68 5390 0754 7034", "{} from Anna now"), ("ES91 2100 0418 4502 0005 1332", "{} de"), ("ES9121000418450200051332", "{} para ella"),
+    ("DE89 3704 0044 0532 0130 00", "AB12 3456 7890 {} bis"), ("4111111111111111", "{} 12"), ("4111111111111111", "12 {}"),
+    ("4111111111111111", "12-{}-7"), ("4111 1111 1111 1111", "1234 5678 9012 345 {} 20"), ("4111 1111 1111 1111", "no 7 {} 123 of 5"),
+    ("+49 30 1234 5678", "{} 1234 5678 9012"),
+])
+def test_values_beside_words_and_numbers(value, text):
+    plain, found = swap(value), swap(text.format(value))
+    assert plain != value and value not in found and len(found) == len(text.format(value))
+    if value[0] != "+":  # a phone has no check digits: it takes what fits its length
+        assert found == text.format(plain)
+
+
 def test_pseudonyms_of_rows(spark):
     long = "x " * 60_000 + "10.0.0.1"
     rows = [(1, None), (2, ""), (3, "mail me: jo.1@mail2.example.com!!"), (3, "mail me: jo.1@mail2.example.com!!"), (None, "10.0.0.1"), (4, long)]

@@ -11,7 +11,7 @@ from __future__ import annotations
 import datetime
 import hashlib
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -190,14 +190,52 @@ KINDS: dict[str, tuple[re.Pattern, Callable[[Permutation, re.Match], str | None]
     "ip": (re.compile(r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)"), _ip),
     "date": (re.compile(r"(?<![\w./-])(?P<a>\d{4}|\d{1,2})(?P<mark>[-./])(?P<b>\d{1,2})(?P=mark)(?P<c>\d{4}|\d{1,2})(?![\w/-]|\.\d)"), _date),
     "ssn": (re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"), _ssn),
-    "card": (re.compile(r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-]|\.\d)"), _card),
+    "card": (re.compile(r"(?:(?<![\w.+-])|(?<=\d-))\d(?:[ -]?\d){12,18}(?!\w|-(?!\d)|\.\d)"), _card),
     "phone": (re.compile(
         r"(?<!\w)\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4}(?!\w|\.\d)|"
         r"(?<![\w+.-])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?![\w-]|\.\d)"), _phone),
 }
+#: Tried before the kind's own pattern: the usual ways to write it, so that numbers beside it do not take part of it.
+FIRST = {"card": re.compile(
+    r"(?:(?<![\w.+-])|(?<=\d-))(?:\d{13,19}|\d{4}(?P<s>[ -])\d{4}(?P=s)\d{4}(?P=s)\d{1,4}(?:(?P=s)\d{1,3})?|\d{4}(?P<t>[ -])\d{6}(?P=t)\d{4,5})"
+    r"(?!\w|-(?!\d)|\.\d)")}
+#: Characters of an account number by country, from the public registry.
+IBAN_LENGTHS = {c: int(n) for n, names in (x.split(":") for x in (
+    "15:NO 16:BE 18:DK,FI,FK,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,HR,LI,LV "
+    "22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA 23:AE,GI,IL,IQ,OM,SO,TL 24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG "
+    "25:LY,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM 28:AL,AZ,BY,CY,DO,GT,HU,LB,NI,PL,SV 29:BR,EG,PS,QA,UA 30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU"
+).split()) for c in names.split(",")}
 _POSSIBLE = re.compile(r"\d.*\d|@", re.S)
 
 
+def _candidates(kind: str, pattern: re.Pattern, m: re.Match) -> Iterator[re.Match]:
+    """A match and what it becomes when words or numbers at its end are left out, the longest first; an account number of its country's length before."""
+    text, start = m.string, m.start()
+    cuts = [at for at in range(m.end() - 1, start, -1) if text[at] in " -"] if kind in ("iban", "card", "phone") else []
+    shorter = [c for c in (pattern.fullmatch(text, start, at) for at in cuts) if c]
+    if kind == "iban":
+        length = IBAN_LENGTHS.get(m[0][:2].upper())
+        yield from (c for c in shorter if len(c[0].replace(" ", "")) == length)
+    yield m
+    yield from shorter
+
+
+def _replaced(kind: str, pattern: re.Pattern, replace: Callable, permute: Permutation, piece: str) -> tuple[list[tuple[str, bool]], int]:
+    """The parts of a piece of text and how many values were replaced. Behind a match that fails, the search goes on at its second character."""
+    out: list[tuple[str, bool]] = []
+    last = at = count = 0
+    while m := pattern.search(piece, at):
+        at = m.start() + 1
+        for c in _candidates(kind, pattern, m):
+            new = replace(permute, c)
+            if new is not None:
+                out += [(piece[last: c.start()], False), (new, True)]
+                last = at = c.end()
+                count += 1
+                break
+    return [*out, (piece[last:], False)], count
+
+
 def pseudonymise(text: str, permute: Permutation) -> tuple[str, dict[str, int]]:
     """The text with its personal data replaced, and how many of each kind were."""
     counts = dict.fromkeys(KINDS, 0)
@@ -205,21 +243,17 @@ def pseudonymise(text: str, permute: Permutation) -> tuple[str, dict[str, int]]:
         return text, counts
     # Pieces of text alternate with finished replacements.
     pieces: list[tuple[str, bool]] = [(text, False)]
-    for kind, (pattern, replace) in KINDS.items():
-        after: list[tuple[str, bool]] = []
-        for piece, done in pieces:
-            if done or kind == "email" and "@" not in piece:
-                after.append((piece, done))
-                continue
-            last = 0
-            for m in pattern.finditer(piece):
-                new = replace(permute, m)
-                if new is not None:
-                    after += [(piece[last: m.start()], False), (new, True)]
-                    last = m.end()
-                    counts[kind] += 1
-            after.append((piece[last:], False))
-        pieces = after
+    for kind, (own, replace) in KINDS.items():
+        for pattern in (FIRST[kind], own) if kind in FIRST else (own,):
+            after: list[tuple[str, bool]] = []
+            for piece, done in pieces:
+                if done or kind == "email" and "@" not in piece:
+                    after.append((piece, done))
+                    continue
+                parts, count = _replaced(kind, pattern, replace, permute, piece)
+                after += parts
+                counts[kind] += count
+            pieces = after
     return "".join(p for p, _ in pieces), counts
 
 
@@ -242,6 +276,7 @@ def pseudonymised(docs: DataFrame, key: bytes = TEST_KEY, text: str = "text") ->
 
     Lengths do not change. A null text stays null, an empty one empty; repeated rows
     get equal texts. Numbers that fail their check (Luhn, mod 97, ranges) are no
-    personal data and stay.
+    personal data and stay, except for values inside that pass it: what stands
+    between separators is tried by itself.
     """
     return docs.withColumn(text, pseudonyms(F.col(text), key)["text"])
