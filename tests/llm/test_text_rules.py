@@ -11,7 +11,7 @@ import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tickloom.llm import common, decontaminate, quality, simhash, substrings
+from tickloom.llm import common, decontaminate, quality, similar, simhash, substrings
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 SCHEMA = "doc_id long, text string, word string, length int, kept string"
@@ -147,6 +147,47 @@ def test_components_of_a_chain_and_a_star(spark):
     assert roots == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 160), 100)}
 
 
+def brute_shingles(text, width=5):
+    words = WORDS.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(words[i: i + width]) for i in range(len(words) - width + 1)} or ({tuple(words)} if words else set())
+
+
+def brute_similar(texts, least=0.8):
+    sets = {i: brute_shingles(t) for i, t in texts.items()}
+    return brute_components(sets, lambda a, b: len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b]))
+
+
+def test_similar_against_brute_force(spark, sf, texts):
+    """The pipeline's stage on the table and on planted copies: every pair at 0.8 or more links, none below."""
+    import corpus_pipeline
+
+    stage = dict(corpus_pipeline.STAGES)["simhash_near_dedup"]
+    assert sorted(r["doc_id"] for r in stage(spark, spark.read.parquet(f"{sf}/documents.parquet"), sf).collect()) == sorted(set(brute_similar(texts).values()))
+    rng, planted = random.Random(8), {}
+    for i in range(0, 600, 2):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(50, 150))]
+        planted[i] = " ".join(words)
+        for at in rng.sample(range(len(words)), max(1, len(words) // rng.randrange(25, 60))):
+            words[at] = words[at].upper() if rng.random() < 0.3 else "other"
+        planted[i + 1] = " ".join(words)
+    groups = brute_similar(planted)
+    exact = [len(a & b) / len(a | b) for a, b in ((brute_shingles(planted[i]), brute_shingles(planted[i + 1])) for i in range(0, 600, 2))]
+    assert min(sum(0.8 <= x < 0.85 for x in exact), sum(0.85 <= x < 0.95 for x in exact), sum(x < 0.8 for x in exact)) > 20
+    docs = spark.createDataFrame(list(planted.items()), "doc_id long, text string")
+    for run_shingles in (similar.RUN_SHINGLES, 400):
+        assert sorted(r["doc_id"] for r in similar.first_of_each(docs, run_shingles=run_shingles).collect()) == sorted(set(groups.values()))
+
+
+def test_similar_edges(spark):
+    docs = spark.createDataFrame(EDGES + [(9, "THE  end", "x", 1, "k"), (7, "a b c", "x", 1, "k"), (7, "not of it at all", "x", 1, "k")], SCHEMA)
+    kept = similar.first_of_each(docs)
+    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 4, 5, 6, 7, 7] and kept.columns == docs.columns
+    assert similar.first_of_each(docs.limit(0)).count() == 0
+    chain = [set(range(k, k + 40)) for k in range(0, 40, 4)] + [set(range(900, 940))]  # neighbours only are at 0.8
+    links = similar.link_run([np.array(sorted(s), np.uint64) for s in chain], 0.8)
+    assert sorted(links) == [(k, k + 1) for k in range(9)]
+
+
 def brute_repeats(docs, width):
     """doc_id, words, removed, digest for each row."""
     first = {}
