@@ -2,6 +2,9 @@
 
 Everything is computed inside the row, so there is no shuffle and no user
 function: arrays of words and lines, and higher-order functions over them.
+
+The rule on stop words knows English, French, German and Spanish and compares
+case-sensitively: it rejects clean text in other languages or wholly in capitals.
 """
 
 from __future__ import annotations
