@@ -109,7 +109,7 @@ def test_script_ranges():
 
 def test_stages_against_brute_force(spark, sf):
     """Each stage on what its predecessor kept, against plain Python."""
-    from tests.llm.test_text_rules import brute_components, brute_fingerprint, brute_measures
+    from tests.llm.test_text_rules import brute_measures, brute_similar
     from tickloom.llm import quality
 
     docs = spark.read.parquet(f"{sf}/documents.parquet")
@@ -133,9 +133,8 @@ def test_stages_against_brute_force(spark, sf):
 
     frame, kept = step("quality_rules", docs)
     assert set(kept) == {i for i, r in rows.items() if passes(r["text"])}
-    prints = {i: brute_fingerprint(r["text"]) for i, r in kept.items()}
     frame, found = step("simhash_near_dedup", frame)
-    assert set(found) == set(brute_components(prints, lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 4).values())
+    assert set(found) == set(brute_similar({i: r["text"] for i, r in kept.items()}).values())
     index = decontaminate.Index([(r[0], r[1].encode()) for r in spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text").collect()], 5)
     clean = {i for i, r in found.items() if not list(index.matches(decontaminate.tokens(r["text"].encode()), 0.5))}
     frame, kept = step("benchmark_decontamination", frame)

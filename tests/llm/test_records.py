@@ -10,12 +10,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tickloom.llm import html, packing, pii, warc
+from tickloom.llm import html, packing, pii, tokens, warc
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -70,10 +71,26 @@ def test_packing_edges(spark, whole):
 @given(st.lists(st.text(st.characters(exclude_categories=["Cs"]), max_size=12), max_size=8))
 @settings(max_examples=150, deadline=None)
 def test_ids_of_words_are_those_of_the_text(parts):
-    ids, text = packing._word_ids(PATH), " ".join(parts)
-    words = text.encode().split()
-    ids.learn(set(words))
-    assert np.frombuffer(b"".join(map(ids.__getitem__, words)), "<u4").tolist() == ids.whole.encode(text, add_special_tokens=False).ids
+    coder, text = tokens.encoder(PATH), " ".join(parts)
+    ids, counts = coder.encode(pa.array([text, None, *parts]), 1)
+    wanted = [[*coder.whole.encode(t, add_special_tokens=False).ids, 1] for t in (text, "", *parts)]
+    assert ids.tolist() == sum(wanted, []) and counts.tolist() == [len(w) for w in wanted]
+
+
+def test_ids_in_small_steps(monkeypatch):
+    texts = ["Der Öl-Preis, steigt!", "don't ''tis", None, "a b c d e f", "q\u00a0w \u3000e"] * 30
+    coder = tokens.WordEncoder(PATH)
+    whole = coder.encode(pa.array(texts), 2)
+    monkeypatch.setattr(tokens, "GATHER_WORDS", 7)
+    monkeypatch.setattr(tokens, "KNOWN_PARTS", 3)
+    for _ in range(2):
+        again = coder.encode(pa.array(texts), 2)
+        assert again[0].tolist() == whole[0].tolist() and again[1].tolist() == whole[1].tolist()
+    monkeypatch.setattr(tokens, "BATCH_BYTES", 40)
+    batch = pa.RecordBatch.from_arrays([pa.array([(t or "").encode() for t in texts])], ["text"])
+    parts = list(tokens.slices(batch))
+    assert len(parts) > 10 and sum(p.num_rows for p in parts) == len(texts)
+    assert coder.encode(pa.array([b"\xff a"]), 1)[1].tolist() == [3]
 
 
 @given(st.integers(4, 40), st.lists(st.integers(1, 40), max_size=60))

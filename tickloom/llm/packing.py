@@ -11,7 +11,6 @@ in the plan.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -20,87 +19,18 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer, pre_tokenizers
 
 from tickloom.llm.common import stored, text_bytes
+from tickloom.llm.tokens import encoder, slices
 
 CAPACITY = 4096
 END_ID = 1
-#: Words whose ids a worker keeps; bounds its memory, not the result.
-KNOWN_WORDS = 500_000
 #: Pieces numbered together in one task.
 RANK_ROWS = 4000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-class WordIds(dict):
-    """Token ids of a text, put together from those of its words.
-
-    For tokenizers that never join tokens across ASCII white space, as the word
-    BPE does. Ids are little-endian unsigned 32-bit bytes. New words are looked
-    up in one call per batch: a word of plain Latin letters with punctuation after
-    it is cut in two and only the BPE runs on it; any other goes through the whole
-    tokenizer.
-    """
-
-    #: A line with a word each: plain letters and punctuation, or anything else.
-    LINES = re.compile(r"^(?:([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)|(.+))$", re.M)
-
-    def __init__(self, path: str):
-        super().__init__()
-        self.whole = Tokenizer.from_file(path)
-        self.bpe = Tokenizer(self.whole.model)
-        self.bpe.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-        vocabulary = self.whole.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        # Byte-level tokenizers write a byte as a printable character: Latin-1 where that is one, else from 256 on.
-        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        others = [b for b in range(256) if b not in plain]
-        self.letters = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
-        self.parts: dict[str, bytes] = {"": b""}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def learn(self, words: set[bytes]) -> None:
-        """Look up all words that are not known yet."""
-        new = list(words.difference(self))
-        if len(self) + len(new) > KNOWN_WORDS:
-            self.clear()
-            self.parts = {"": b""}
-            new = list(words)
-        if not new:
-            return
-        # All words are taken apart in one pass over lines.
-        found = self.LINES.findall(b"\n".join(new).decode("utf-8", "replace"))
-        stems = "\n".join([stem for stem, _, _ in found]).lower().split("\n")
-        unknown = list(set(stems).difference(self.parts))
-        if unknown:
-            written = " ".join([s if s.isascii() else "".join(map(self.letters.__getitem__, s.encode())) for s in unknown])
-            ids = np.array(self.bpe.encode_batch_fast([written], add_special_tokens=False)[0].ids, "<u4")
-            stops = np.flatnonzero(self.ends[ids]) + 1
-            raw, start = ids.tobytes(), 0
-            for stem, stop in zip(unknown, (stops * 4).tolist(), strict=True):
-                self.parts[stem] = raw[start:stop]
-                start = stop
-        others = list({text for _, mark, odd in found for text in (mark, odd)}.difference(self.parts))
-        self.parts.update(zip(others, self._encode(others)))
-        parts = self.parts
-        # A line is a stem with a mark, or another word: the parts that are not there are empty.
-        self.update(zip(new, [parts[stem] + parts[mark] + parts[odd] for stem, (_, mark, odd) in zip(stems, found, strict=True)], strict=True))
-
-
-_loaded: dict[str, WordIds] = {}
-
-
-def _word_ids(path: str) -> WordIds:
-    if path not in _loaded:
-        _loaded[path] = WordIds(path)
-    return _loaded[path]
-
-
 def token_pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY,
                  end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """Token ids of every document and the end id, cut into pieces of at most ``capacity``.
@@ -111,32 +41,25 @@ def token_pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: i
     give their pieces; a null doc_id stays null.
     """
     path = tokenizer_path or public_tokenizers.path("word_bpe_49k.json")
-    size, end = 4 * capacity, np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = _word_ids(path)
-        for whole in batches:
-            for first in range(0, whole.num_rows, 500):  # words of so many texts are held at once
-                batch = whole.slice(first, 500)
-                texts = [(t or b"").split() for t in batch.column("text").to_pylist()]
-                ids.learn(set().union(*texts))
-                rows: list[list] = [[], [], [], [], []]
-                bodies = []
-                for doc_id, words in zip(batch.column("doc_id").to_pylist(), texts):
-                    data = b"".join([*map(ids.__getitem__, words), end])
-                    for piece, at in enumerate(range(0, len(data), size)):
-                        body = data[at: at + size]
-                        for column, value in zip(rows, (doc_id, piece, at // 4, len(body) // 4, zlib.crc32(body))):
-                            column.append(value)
-                        if with_ids:
-                            bodies.append(np.frombuffer(body, "<u4").astype(np.int32))
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-                arrays = [pa.array(c, k) for c, k in zip(rows, kinds)]
-                names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-                if with_ids:
-                    arrays.append(pa.array(bodies, pa.list_(pa.int32())))
-                    names.append("ids")
-                yield pa.RecordBatch.from_arrays(arrays, names)
+        for batch in (part for whole in batches for part in slices(whole)):
+            ids, counts = encoder(path).encode(batch.column("text"), end_id)
+            ids = ids.astype("<u4", copy=False)
+            pieces = -(-counts // capacity)
+            owner = np.repeat(np.arange(len(counts)), pieces)
+            piece = np.arange(len(owner)) - (np.cumsum(pieces) - pieces)[owner]
+            start = piece * capacity
+            length = np.minimum(counts[owner] - start, capacity)
+            at = ((np.cumsum(counts) - counts)[owner] + start).tolist()
+            bodies = [ids[first: first + n] for first, n in zip(at, length.tolist())]
+            arrays = [batch.column("doc_id").take(pa.array(owner)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length),
+                      pa.array([zlib.crc32(body) for body in bodies], pa.int64())]
+            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+            if with_ids:
+                arrays.append(pa.array([body.astype(np.int32) for body in bodies], pa.list_(pa.int32())))
+                names.append("ids")
+            yield pa.RecordBatch.from_arrays(arrays, names)
 
     schema = PIECES + (", ids array<int>" if with_ids else "")
     return docs.select(F.col("doc_id").cast("long"), text_bytes().alias("text")).mapInArrow(run, schema)

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import decontaminate, html, language, packing, pii, quality, simhash, substrings, toxicity, warc
+from tickloom.llm import (
+    decontaminate, fim, html, language, packing, pii, prefixes, quality, sequences, simhash, substrings, toxicity, warc,
+)
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -180,3 +182,109 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language.train(docs.filter(_fold(3) != 1))
     return language.identified(docs.select("doc_id", "text"), model).select(
         "doc_id", F.coalesce(_fold(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+@register("op11_token_sequences")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place and ids as read back from the files of sequences."""
+    return sequences.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def _crc_table() -> list[int]:
+    """The remainders of all bytes by the reversed polynomial of CRC-32."""
+    rows = list(range(256))
+    for _ in range(8):
+        rows = [(r >> 1) ^ (0xEDB88320 if r & 1 else 0) for r in rows]
+    return rows
+
+
+def _crc_sql(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII text."""
+    byte = f"list_transform(range(1, length({text}) + 1), lambda i: ascii(substr({text}, i, 1))::BIGINT)"
+    step = f"lambda a, x: xor(a >> 8, ({_crc_table()}::BIGINT[])[(xor(a, x) & 255) + 1])"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {byte}), {step}), 4294967295)"
+
+
+TRIE_SQL = rf"""
+WITH t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, substr(key, 1, 32)) AS p, key, words
+  FROM (SELECT conv_id, turn, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS key,
+      len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+'))::BIGINT AS words
+    FROM conversations WHERE conv_id IS NOT NULL)
+), c AS (
+  SELECT conv_id, conv_id - conv_id % {prefixes.FAMILY} AS base, {_crc_sql('conv_id::VARCHAR')} % {prefixes.MAX_SHARED} AS h
+  FROM (SELECT DISTINCT conv_id FROM t)
+), r AS (
+  SELECT c.conv_id, t.p, t.key, t.words FROM c JOIN t ON t.conv_id = c.base AND t.p <= c.h
+  UNION ALL
+  SELECT c.conv_id, t.p + 3, t.key, t.words FROM c JOIN t ON t.conv_id = c.conv_id AND t.p > c.h
+), l AS (
+  SELECT c.conv_id, coalesce(k, []) AS k, coalesce(w, []) AS w
+  FROM c LEFT JOIN (SELECT conv_id, list(key ORDER BY p) AS k, list(words ORDER BY p) AS w FROM r GROUP BY conv_id) x ON c.conv_id = x.conv_id
+), m AS (
+  SELECT conv_id, d, len(k) = d AS last, sha256(array_to_string(k[1:d], ',')) AS pk, CASE WHEN d > 0 THEN w[d] ELSE 0 END AS words
+  FROM (SELECT conv_id, k, w, unnest(range(0, len(k) + 1)) AS d FROM l)
+), n AS (
+  SELECT d, pk, min(conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words,
+    coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '') AS ends
+  FROM m GROUP BY d, pk
+), e AS (
+  SELECT n.d, n.pk, u.pk AS parent_pk, u.conv_id AS parent_conv_id
+  FROM n JOIN m ON m.conv_id = n.conv_id AND m.d = n.d - 1 JOIN n u ON u.d = m.d AND u.pk = m.pk
+), k AS (
+  SELECT d - 1 AS d, parent_pk AS pk, count(*) AS n_children FROM e GROUP BY d, parent_pk
+), s AS (
+  SELECT m.d, m.pk, sum((v.n_convs - 1) * v.words)::BIGINT AS saved_tokens, sum(CASE WHEN k.d IS NULL THEN 1 ELSE 0 END)::BIGINT AS n_leaves
+  FROM n v JOIN m ON m.conv_id = v.conv_id AND m.d <= v.d LEFT JOIN k ON k.d = v.d AND k.pk = v.pk
+  GROUP BY m.d, m.pk
+)
+SELECT n.conv_id, n.d AS depth, e.parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children, s.n_leaves, s.saved_tokens,
+  sha256(n.ends) AS ends_sha256
+FROM n JOIN s ON s.d = n.d AND s.pk = n.pk LEFT JOIN e ON e.d = n.d AND e.pk = n.pk LEFT JOIN k ON k.d = n.d AND k.pk = n.pk
+"""
+
+
+@register("op12_prefix_trie", TRIE_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of all rebuilt conversations."""
+    return prefixes.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def _draw_sql(i: int) -> str:
+    return f"('0x' || substr(h, {8 * i + 1}, 8))::BIGINT"
+
+
+FIM_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('{fim.SEED}:' || doc_id::VARCHAR) AS h,
+    regexp_extract_all(coalesce(text, ''), '[^
+]*
+|[^
+]+') AS u
+  FROM documents
+), c AS (
+  SELECT *, len(u) AS n, {_draw_sql(0)} % (len(u) + 1) AS x, {_draw_sql(1)} % (len(u) + 1) AS y,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+      OR {_draw_sql(2)} % 100 >= {fim.FIM_PERCENT} THEN 'plain'
+      WHEN {_draw_sql(3)} % 100 < {fim.SPM_PERCENT} THEN 'spm' ELSE 'psm' END AS form
+  FROM d
+), p AS (
+  SELECT doc_id, n, form, text, array_to_string(u[1:least(x, y)], '') AS pre,
+    array_to_string(u[least(x, y) + 1:greatest(x, y)], '') AS mid, array_to_string(u[greatest(x, y) + 1:n], '') AS suf
+  FROM c
+)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+    ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM p
+"""
+
+
+@register("op13_fill_in_middle", FIM_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's cuts with digests of its output and of the text restored from that."""
+    made = fim.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
