@@ -276,13 +276,13 @@ def _emitted(spark, sf):
 
 @check("k9_live_indicators", _indicator_sql(3600))
 def _indicators(spark, sf):
-    """Candles arriving in five steps; each step sees only bounded history."""
+    """Candles arriving in steps of six days; each step goes on from 20 rows of the one before."""
     source, out = work_folder(spark, "k9-in"), work_folder(spark, "k9-out")
     frame = cd.ohlcv(ad.trades(spark, sf), "1h").withColumn("step", F.floor((F.dayofmonth("timestamp") - 1) / 6))
     frame.repartition(1, "step").sortWithinPartitions("step").write.partitionBy("step").parquet(source)
-    sink = live.IndicatorSink(f"{out}/rows", f"{out}/history", rows=600)
+    sink = live.IndicatorSink(f"{out}/rows", f"{out}/state", rows=20)
     stored = spark.read.parquet(source)
-    for step in range(5):
+    for step in range(6):
         sink(stored.where(F.col("step") == step).drop("step"), step)
     return rounded(spark.read.parquet(f"{out}/rows").select("instrument_key", "timestamp", *INDICATORS))
 
@@ -291,11 +291,11 @@ def _indicators(spark, sf):
 SELECT instrument_key, "timestamp", round("close", 6) AS "close" FROM candles QUALIFY row_number() OVER (PARTITION BY instrument_key ORDER BY "timestamp" DESC) <= 200""")
 def _history(spark, sf):
     out = work_folder(spark, "k10")
-    sink = live.IndicatorSink(f"{out}/rows", f"{out}/history", rows=200)
+    sink = live.IndicatorSink(f"{out}/rows", f"{out}/state", rows=200)
     frame = cd.ohlcv(ad.trades(spark, sf), "15m")
     sink(frame.where(F.dayofmonth("timestamp") < 15), 0)
     sink(frame.where(F.dayofmonth("timestamp") >= 15), 1)
-    return rounded(spark.read.parquet(f"{out}/history/batch_id=1").select("instrument_key", "timestamp", "close"))
+    return rounded(sink.history(spark, 1).select("instrument_key", "timestamp", "close"))
 
 
 # -- sinks and channels ----------------------------------------------------------------------

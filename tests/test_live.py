@@ -96,20 +96,29 @@ def test_large_trades_count_as_liquidations(spark):
 
 
 def test_live_indicators_equal_batch(spark):
-    closes = [100.0 + (i * 37) % 23 for i in range(900)]
-    frame = minute_candles(spark, [(c, c + 1, c - 1, c, 5.0 + i % 7) for i, c in enumerate(closes)]).withColumns(
-        {"vwap": F.col("close"), "trade_count": F.lit(2).cast("long")})
-    out = work_folder(spark, "t-ind")
-    sink = live.IndicatorSink(f"{out}/rows", f"{out}/history", rows=500)
-    for batch, (low, high) in enumerate([(0, 300), (300, 650), (650, 900), (650, 900)]):
-        at = (F.unix_seconds("timestamp") - F.unix_seconds(F.lit(START).cast("timestamp"))) / 60
-        sink(frame.where((at >= low) & (at < high)), min(batch, 2))
-    want = {r.timestamp: r for r in indicators.indicators(frame, "1m").collect()}
+    """5,000 candles of two series in uneven batches, each by a new sink, one batch run twice; 20 rows are carried."""
+    closes = [100.0 + (i * 37) % 23 + (i % 211) / 7 for i in range(5000)]
+    one = minute_candles(spark, [(c, c + 1, c - 1, c, 5.0 + i % 7) for i, c in enumerate(closes)])
+    other = minute_candles(spark, [(c, c + 2, c - 2, c, 1.0) for c in closes[:7]], key="X:SPOT_PAIR:C-D")
+    frame = one.unionByName(other).withColumns({"vwap": F.col("close"), "trade_count": F.lit(2).cast("long")})
+    out, at = work_folder(spark, "t-ind"), (F.unix_seconds("timestamp") - F.unix_seconds(F.lit(START).cast("timestamp"))) / 60
+    steps = [(0, 3), (3, 12), (12, 12), (12, 40), (40, 2500), (2500, 4999), (4999, 5000)]
+    for batch, (low, high) in enumerate(steps):
+        for _ in range(2 if batch in (3, 5) else 1):
+            live.IndicatorSink(f"{out}/rows", f"{out}/state", rows=20)(frame.where((at >= low) & (at < high)), batch)
+    want = {(r.instrument_key, r.timestamp): r for r in indicators.indicators(frame, "1m").collect()}
     got = spark.read.parquet(f"{out}/rows").collect()
-    assert len(got) == 900
+    assert len(got) == len(want) == 5007
     for r in got:
         for c in INDICATORS:
-            assert r[c] == pytest.approx(want[r.timestamp][c], rel=1e-9, abs=1e-9) if r[c] is not None else want[r.timestamp][c] is None
+            expected = want[r.instrument_key, r.timestamp][c]
+            assert r[c] == pytest.approx(expected, rel=1e-9, abs=1e-9) if r[c] is not None else expected is None, (r, c, expected)
+    sink = live.IndicatorSink(f"{out}/rows", f"{out}/state", rows=20)
+    assert sink.history(spark, 6).count() == 27 and sorted(os.listdir(f"{out}/state")) == ["turn=0", "turn=1"]
+    with pytest.raises(ValueError):  # the state of batch 6 is not that of batch 8
+        sink(frame.limit(1), 9)
+    with pytest.raises(ValueError):
+        live.IndicatorSink(out, out, rows=19)
 
 
 def test_validation_pauses_and_resumes(spark):

@@ -8,7 +8,8 @@ Exponential averages use the closed form of the recurrence inside a chunk:
 ``ema[j] = f^j * sum(w[i] * x[i] * f^-i)`` with ``f = 1 - alpha``. What a chunk
 does not see weighs less than ``f^HALO`` (2e-17 for 20 periods), below the
 resolution of a double. The largest scale factor, ``(2/3)^-(CHUNK + HALO)``, is
-about 1e248.
+about 1e248. A series that goes on from an earlier run starts from the averages
+carried over, not from copied history.
 """
 
 from __future__ import annotations
@@ -25,6 +26,10 @@ from tickloom.schemas import INDICATORS
 CHUNK = 1024
 HALO = 384
 SERIES = ("instrument_key", "timeframe")
+# Exponential averages: column and periods. What a series carries to its next run: rows as far back as windows reach, with these.
+AVERAGES = {"ema_5": ("close", 5), "ema_10": ("close", 10), "ema_20": ("close", 20), "volume_ema_5": ("volume", 5)}
+REACH = 20
+CARRIED = ("timestamp", "high", "low", "close", "volume", "vwap", "trade_count", "row", *AVERAGES)
 
 
 def indicators(
@@ -40,13 +45,39 @@ def indicators(
     With ``timeframe`` None the candles may mix timeframes, named by their
     ``timeframe`` column.
     """
+    out = scored(candles, timeframe, keys, chunk, halo, keep)
+    return out.select(*keys, "timestamp", *[c for c in keep if c not in (*keys, "timestamp")], *INDICATORS)
+
+
+def scored(
+    candles: DataFrame,
+    timeframe: str | None = None,
+    keys: Sequence[str] = SERIES,
+    chunk: int = CHUNK,
+    halo: int = HALO,
+    keep: Sequence[str] = (),
+    before: DataFrame | None = None,
+) -> DataFrame:
+    """Each candle with its indicators and its position ``row`` in the series, the columns a later run needs of it.
+
+    ``before`` holds the last rows an earlier run returned for each series, at least
+    ``REACH`` where there are so many. The series goes on behind them: positions are
+    counted on, windows reach back into them and averages start from their values,
+    so the result is that of one run over everything.
+    """
     if timeframe is not None:
         tg.seconds(timeframe)
         candles = candles.where(F.col("timeframe") == timeframe)
-    used = [*keys, "timestamp", "high", "low", "close", "volume", "vwap", "trade_count"]
+    used = [*keys, *[c for c in CARRIED if c not in ("row", *AVERAGES)]]
     used += [c for c in keep if c not in used]
-    history = candles.where(F.col("close").isNotNull()).select(*used)
-    series = chunked(numbered(history, keys), chunk, halo).withColumn("_j", running_position(chunk, halo))
+    history = numbered(candles.where(F.col("close").isNotNull()).select(*used), keys).withColumn("_old", F.lit(False))
+    if before is not None:
+        past = before.groupBy(*keys).agg(F.max("row").alias("_seen"))
+        old = before.join(past, [*keys]).withColumnRenamed("row", "_rn").withColumn("_old", F.lit(True))
+        history = history.join(past, [*keys], "left").withColumns(
+            {"_seen": F.coalesce("_seen", F.lit(0)), "_rn": F.col("_rn") + F.coalesce("_seen", F.lit(0))})
+        history = history.unionByName(old.withColumnsRenamed({a: f"_{a}" for a in AVERAGES}), allowMissingColumns=True)
+    series = chunked(history, chunk, halo).withColumn("_j", running_position(chunk, halo))
 
     part = Window.partitionBy(*keys, "_chunk").orderBy("_rn")
     rn, close, volume = F.col("_rn"), F.col("close"), F.col("volume")
@@ -57,11 +88,15 @@ def indicators(
     def mean(column: Column, n: int) -> Column:
         return since(n, F.avg(column).over(part.rowsBetween(-(n - 1), 0)))
 
-    def ema(column: Column, n: int) -> Column:
-        alpha = 2.0 / (n + 1)
+    def ema(name: str) -> Column:
+        source, n = AVERAGES[name]
+        alpha, first, value = 2.0 / (n + 1), F.lit(n), F.col(source)
+        if before is not None:  # the average starts at the last row seen before, with the value it had there
+            first = F.greatest(first, "_seen")
+            value = F.when((rn == F.col("_seen")) & (rn >= n), F.col(f"_{name}")).otherwise(value)
         factor = F.lit(1 - alpha)
-        weight = F.when(rn < n, 0.0).when(rn == n, 1.0).otherwise(alpha)
-        scaled = weight * column * F.pow(factor, -F.col("_j"))
+        weight = F.when(rn < first, 0.0).when(rn == first, 1.0).otherwise(alpha)
+        scaled = weight * value * F.pow(factor, -F.col("_j"))
         return since(n, F.pow(factor, F.col("_j")) * F.sum(scaled).over(part.rowsBetween(Window.unboundedPreceding, 0)))
 
     lags = {f"_p{i}": F.lag("close", i).over(part) for i in range(1, 6)}
@@ -73,8 +108,7 @@ def indicators(
     stepped = stepped.withColumns({"_gain": gain, "_loss": loss})
     rolled = stepped.withColumns({
         "sma_5": mean(close, 5), "sma_10": mean(close, 10), "sma_20": mean(close, 20),
-        "ema_5": ema(close, 5), "ema_10": ema(close, 10), "ema_20": ema(close, 20),
-        "volume_sma_5": mean(volume, 5), "volume_ema_5": ema(volume, 5),
+        "volume_sma_5": mean(volume, 5), **{name: ema(name) for name in AVERAGES},
         "price_volatility_5": since(5, F.stddev_pop("close").over(part.rowsBetween(-4, 0))),
         "price_volatility_10": since(10, F.stddev_pop("close").over(part.rowsBetween(-9, 0))),
         "_avg_gain": since(6, F.avg("_gain").over(part.rowsBetween(-4, 0))),
@@ -85,7 +119,7 @@ def indicators(
     lower, upper = F.col("sma_20") - band, F.col("sma_20") + band
     volume_change = volume - F.col("_v1")
     length = F.lit(tg.seconds(timeframe)) if timeframe else tg.seconds_column(F.col("timeframe"))
-    out = rolled.where("_own").withColumns({
+    out = rolled.where("_own AND NOT _old").withColumns({
         "wma_5": since(5, (5 * p[0] + 4 * p[1] + 3 * p[2] + 2 * p[3] + p[4]) / 15.0),
         "price_momentum_3": since(4, F.try_divide(p[0] - p[3], p[3])),
         "price_momentum_5": since(6, F.try_divide(p[0] - p[5], p[5])),
@@ -107,7 +141,7 @@ def indicators(
             (close - lower) / (upper - lower)),
         "macd_signal": F.when((F.col("ema_5") != 0) & (F.col("ema_10") != 0), F.col("ema_5") - F.col("ema_10")),
     })
-    return out.select(*keys, "timestamp", *[c for c in keep if c not in (*keys, "timestamp")], *INDICATORS)
+    return out.select(*used, F.col("_rn").alias("row"), *[c for c in INDICATORS if c not in used])
 
 
 def latest(frame: DataFrame, n: int = 1, keys: Sequence[str] = SERIES, time: str = "timestamp") -> DataFrame:

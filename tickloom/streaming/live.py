@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.functions import timegrid as tg
@@ -182,33 +184,50 @@ def emitted(candles: DataFrame, now: Column | None = None) -> DataFrame:
 # -- indicators on closed candles ------------------------------------------------------------
 
 class IndicatorSink:
-    """Batch handler: indicators of newly closed candles from bounded history.
+    """Batch handler: indicators of newly closed candles, carried on from the batch before.
 
-    History is the last ``rows`` candles of each series, one folder per batch.
-    Batch ``n`` reads the newest folder before ``n`` and writes its own, so a
-    repeated batch gives the same result.
+    What is carried is the last ``rows`` scored candles of each series (20 suffice;
+    more are kept to be looked at), with their averages and positions. Batch ``n``
+    reads the state of batch ``n - 1`` and writes its own beside it, in two folders
+    that take turns: a repeated batch gives the same result, a restart goes on, and
+    nothing grows. A state of another batch is an error.
     """
 
-    def __init__(self, out: str, history: str, rows: int = HISTORY_ROWS, keep: Sequence[str] = ()):
-        self.out, self.history, self.rows, self.keep = out, history, rows, tuple(keep)
+    def __init__(self, out: str, state: str, rows: int = HISTORY_ROWS, keep: Sequence[str] = (), keys: Sequence[str] = ind.SERIES):
+        if rows < ind.REACH:
+            raise ValueError(f"{rows} rows are fewer than the {ind.REACH} that windows reach back")
+        self.out, self.state, self.rows, self.keep, self.keys = out, state, rows, tuple(keep), tuple(keys)
 
-    def _before(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
-        try:
-            stored = spark.read.parquet(self.history).where(F.col("batch_id") < batch_id)
-        except AnalysisException:
-            return None
-        last = stored.agg(F.max("batch_id")).first()[0]
-        return None if last is None else stored.where(F.col("batch_id") == last).drop("batch_id")
+    def history(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """The last candles of each series after a batch."""
+        return turn(spark, self.state, batch_id)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        before = self._before(spark, batch_id)
-        fresh = batch.where(F.col("close").isNotNull()).withColumn("_new", F.lit(True))
-        series = fresh if before is None else fresh.unionByName(before.withColumn("_new", F.lit(False)), allowMissingColumns=True)
-        kept = ind.latest(series.drop("_new"), self.rows)
-        kept.write.mode("overwrite").parquet(f"{self.history}/batch_id={batch_id}")
-        scored = ind.indicators(series, keep=("_new", *self.keep)).where("_new").drop("_new")
-        scored.write.mode("overwrite").parquet(f"{self.out}/batch_id={batch_id}")
+        spark, path = batch.sparkSession, f"{self.out}/batch_id={batch_id}"
+        before = self.history(spark, batch_id - 1) if batch_id else None
+        rows = ind.scored(batch, keys=self.keys, keep=self.keep, before=before)
+        rows.write.mode("overwrite").parquet(path)
+        carried = spark.read.schema(rows.schema).parquet(path).select(*self.keys, *ind.CARRIED)
+        if before is not None:
+            carried = carried.unionByName(before)
+        take_turn(ind.latest(carried, self.rows, self.keys), self.state, batch_id)
+
+
+def take_turn(df: DataFrame, path: str, batch_id: int) -> None:
+    """Keep a batch's state beside the one of the batch before it, in place of the one before that."""
+    folder = f"{path}/turn={batch_id % 2}"
+    df.write.mode("overwrite").parquet(f"{folder}/rows")
+    named = df.sparkSession.range(1).select(F.lit(batch_id).alias("batch"), F.lit(df.schema.json()).alias("schema"))
+    named.write.mode("overwrite").parquet(f"{folder}/batch")
+
+
+def turn(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
+    """The state that :func:`take_turn` kept for a batch."""
+    folder = f"{path}/turn={batch_id % 2}"
+    row = spark.read.parquet(f"{folder}/batch").first()
+    if row is None or row.batch != batch_id:
+        raise ValueError(f"{folder} holds the state of batch {row and row.batch}, not of {batch_id}")
+    return spark.read.schema(T.StructType.fromJson(json.loads(row.schema))).parquet(f"{folder}/rows")
 
 
 # -- sinks --------------------------------------------------------------------------------------
