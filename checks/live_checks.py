@@ -11,10 +11,10 @@ from checks.instrument_checks import CHANGES, SNAPSHOTS
 from tickloom.functions import timegrid as tg
 from tickloom.operators import candles as cd
 from tickloom.operators import instruments as ins
-from tickloom.schemas import INDICATORS
+from tickloom.schemas import INDICATORS, LIVE_TIMEFRAMES
 from tickloom.session import work_folder
 from tickloom.sources import adapters as ad
-from tickloom.streaming import live
+from tickloom.streaming import cascade, live
 
 CHECKS = Checks()
 check = CHECKS.add
@@ -257,6 +257,72 @@ def _late(spark, sf):
     return rounded(spark.read.parquet(out).drop("batch_id", "timeframe"))
 
 
+def _in_files(spark, sf, name, arrival, steps=3):
+    """The events in files that arrive one after another, as a stream of ticks; and the folder to add to."""
+    source = work_folder(spark, f"{name}-in")
+    events = ad.table(spark, sf, "events")
+    for step in range(steps):
+        events.where(arrival == step).coalesce(1).write.parquet(f"{source}/step={step}")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{source}/*")
+    return ad.trade_columns(ad.event_columns(stream))
+
+
+def _job(spark, sf, name, arrival, timeframes, listener=None):
+    """The live job over the files, stopped and started again, then flushed; returns its folder."""
+    root = work_folder(spark, name)
+    cascade.start_control(spark, f"{root}/control")
+    ticks = cascade.with_control(_in_files(spark, sf, name, arrival), f"{root}/control")
+    newest = ad.table(spark, sf, "events").agg(F.max("ts")).first()[0].replace(tzinfo=None)
+    if listener:
+        spark.streams.addListener(listener)
+    for flushed in (False, True):
+        if flushed:
+            cascade.flush(spark, f"{root}/control", newest, timeframes)
+        cascade.live_job(ticks, root, timeframes, once=True, history_rows=20).awaitTermination()
+    if listener:
+        spark.streams.removeListener(listener)
+    return root
+
+
+_BY_DAYS = F.floor((F.dayofmonth("ts") - 1) / 11)
+
+
+@check("k6_flushed_candles", _live_sql((("15s", 15), ("1m", 60), ("5m", 300), ("15m", 900), ("4h", 14400), ("24h", 86400))))
+def _flushed(spark, sf):
+    """All live timeframes from one stream with one state, the candles still open at the end included."""
+    root = _job(spark, sf, "k6b", _BY_DAYS, LIVE_TIMEFRAMES)
+    return rounded(spark.read.parquet(f"{root}/candles").drop("table", "batch_id"))
+
+
+@check("p9_live_job_indicators", _indicator_sql(14400))
+def _job_indicators(spark, sf):
+    """Indicators of the live job's 4h candles, across batches and a restart."""
+    root = _job(spark, sf, "p9b", _BY_DAYS, ("1m", "4h"))
+    return rounded(spark.read.parquet(f"{root}/indicators").where("timeframe = '4h'").select("instrument_key", "timestamp", *INDICATORS))
+
+
+@check("e24_live_totals", fx.with_(fx.TRADES, f"""
+e AS (SELECT t.*, {_LATE} AS late FROM trades t JOIN (SELECT event_id, ts, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k FROM events) e
+      ON CAST(e.event_id AS VARCHAR) = t.id)""", """
+m AS (SELECT 'ticks' AS measure, count(*) AS "value" FROM e UNION ALL SELECT 'late_ticks', count(*) FILTER (WHERE late) FROM e
+  UNION ALL SELECT 'errors', count(*) FILTER (WHERE NOT price > 0) FROM e
+  UNION ALL SELECT 'error_rate', count(*) FILTER (WHERE NOT price > 0) / count(*) FROM e
+  UNION ALL SELECT 'candles_' || tf, count(DISTINCT (instrument_key, time_bucket(to_seconds(n), "timestamp", TIMESTAMP '1970-01-01')))
+    FROM e, (SELECT unnest(['1m', '24h']) AS tf, unnest([60, 86400]) AS n) WHERE NOT late GROUP BY tf)""") + """
+SELECT measure, round(CAST("value" AS DOUBLE), 6) AS "value" FROM m""")
+def _totals(spark, sf):
+    """Part of the first ten days comes with the last file: what the watermark drops is counted tick by tick."""
+    day = F.dayofmonth("ts")
+    late = (F.regexp_extract("props", r"(\d+)", 1).cast("long") % 20 == 0) & (day <= 10)
+    listener = cascade.LiveStatistics()
+    root = _job(spark, sf, "e24b", F.when(late, 2).otherwise(_BY_DAYS), ("1m", "24h"), listener)
+    listener.store(spark, f"{root}/statistics")
+    stored, candles = spark.read.parquet(f"{root}/statistics"), spark.read.parquet(f"{root}/candles")
+    dropped = cascade.late_ticks(stored, candles.where("timeframe = '1m'"))
+    totals = cascade.live_totals(stored, candles).where("measure <> 'per_second'")
+    return rounded(totals.unionByName(spark.range(1).select(F.lit("late_ticks").alias("measure"), F.lit(dropped).cast("double").alias("value"))))
+
+
 @check("k7_open_candles", fx.with_(fx.TRADES, fx.candles(14400)) +
        f'SELECT {CANDLE_SQL} FROM candles WHERE "timestamp" + INTERVAL 4 HOURS > (SELECT max("timestamp") FROM trades)')
 def _open(spark, sf):

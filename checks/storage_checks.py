@@ -318,6 +318,18 @@ def _write_candles(spark, sf):
     return rounded(spark.read.parquet(root).drop("day"))
 
 
+@check("b3_rewrite_one_timeframe", fx.with_(fx.TRADES, fx.candles(60, "c1"), fx.candles(3600, "c2")) + f"""
+SELECT '1m' AS timeframe, {CANDLE_SQL} FROM c1 WHERE extract(day FROM "timestamp") NOT BETWEEN 5 AND 12 OR "close" > 200
+UNION ALL SELECT '1h' AS timeframe, {CANDLE_SQL} FROM c2""")
+def _rewrite(spark, sf):
+    """A range of one timeframe is written again with fewer candles: the rest of the range goes, 1h and other days stay."""
+    root = work_folder(spark, "b3b")
+    frame = candles.ohlcv(ad.trades(spark, sf), ("1m", "1h"))
+    tables.write_candles(frame, root)
+    tables.write_candles(frame.where("timeframe = '1m' AND close > 200"), root, days=("2024-01-05", "2024-01-12"))
+    return rounded(spark.read.parquet(root).drop("day"))
+
+
 @check("b4_write_book_rows", fx.with_(fx.EVENTS, fx.BOOKS) + f"""
 SELECT CAST(b AS DATE) AS day, count(*) AS "rows" FROM (SELECT DISTINCT instrument_key, time_bucket(INTERVAL 1 MINUTE, "timestamp", {_TS0}) AS b FROM books) GROUP BY 1""")
 def _write_book(spark, sf):

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from tests.test_candles import START, minute_candles, ticks
 from tickloom.operators import candles, indicators
-from tickloom.schemas import INDICATORS
+from tickloom.schemas import INDICATORS, LIVE_TIMEFRAMES
 from tickloom.session import work_folder
-from tickloom.streaming import live
+from tickloom.streaming import cascade, live
 
 
 def drop(folder, name, rows):
@@ -152,3 +152,95 @@ def test_channels(spark):
     got = live.candle_messages(frame).collect()
     assert {r.channel for r in got} == {"candles:A-B:1m", "candles:A-B"}
     assert json.loads(got[0].value)["candle"]["close"] == 1.0
+
+
+def cascade_run(spark, root, folder, **more):
+    ticks = cascade.with_control(live_ticks(live.parse_messages(stream(spark, folder))), f"{root}/control")
+    query = cascade.live_job(ticks, root, once=True, history_rows=20, **more)
+    query.awaitTermination()
+    return query
+
+
+CANDLE = ("instrument_key", "timeframe", "timestamp", "timestamp_out", "open", "high", "low", "close", "volume", "vwap", "trade_count")
+
+
+def same_candles(got, want):
+    assert got.count() == want.count()
+    for a, b in zip(*(f.select(*CANDLE).orderBy("instrument_key", "timeframe", "timestamp").collect() for f in (got, want))):
+        assert tuple(a)[:4] == tuple(b)[:4] and tuple(a)[4:] == pytest.approx(tuple(b)[4:], rel=1e-12)
+
+
+def test_one_stream_for_all_timeframes(spark, tmp_path):
+    """Several files, a restart between them, a flush at the end: tables equal the batch result, the last candles included."""
+    root, source = work_folder(spark, "t-cascade"), str(tmp_path / "in")
+    cascade.start_control(spark, f"{root}/control")
+    rows = [trade(s, 100.0 + (s * 7) % 31, amount=1.0 + s % 3, symbol=("A-B", "C-D")[s % 4 == 3]) for s in range(0, 30_000, 47)]
+    listener = cascade.LiveStatistics()
+    spark.streams.addListener(listener)
+    for k in range(4):
+        drop(source, f"f{k}", rows[k * 160: (k + 1) * 160])
+        if k in (1, 3):
+            query = cascade_run(spark, root, source)
+    before = spark.read.parquet(f"{root}/candles").where("table = 'candles_24h'").count()
+    cascade.flush(spark, f"{root}/control", START + dt.timedelta(seconds=30_000))
+    query = cascade_run(spark, root, source)
+    spark.streams.removeListener(listener)
+    batch = live_ticks(live.parse_messages(spark.createDataFrame([(json.dumps(r),) for r in rows], "value string")))
+    got = spark.read.parquet(f"{root}/candles").drop("table", "batch_id")
+    assert before == 0 and {r.timeframe for r in got.select("timeframe").distinct().collect()} == set(LIVE_TIMEFRAMES)
+    same_candles(got, candles.ohlcv(batch, LIVE_TIMEFRAMES))
+    # Indicators of every series, from 20 carried rows.
+    want = {(r.instrument_key, r.timeframe, r.timestamp): r for r in indicators.indicators(candles.ohlcv(batch, LIVE_TIMEFRAMES)).collect()}
+    scored = spark.read.parquet(f"{root}/indicators").collect()
+    assert len(scored) == len(want)
+    for r in scored:
+        for c in INDICATORS:
+            expected = want[r.instrument_key, r.timeframe, r.timestamp][c]
+            assert r[c] == pytest.approx(expected, rel=1e-9, abs=1e-9) if r[c] is not None else expected is None
+    # One state of the finest candles, one look at each source.
+    progress = query.lastProgress
+    assert len(progress["stateOperators"]) == 1 and len(progress["sources"]) == 2
+    listener.store(spark, f"{root}/statistics")
+    stored = spark.read.parquet(f"{root}/statistics")
+    totals = {r.measure: r.value for r in cascade.live_totals(stored, got).collect()}
+    assert totals["ticks"] == len(rows) and totals["errors"] == 0 and totals["per_second"] > 0
+    assert totals["candles_24h"] == 2 and cascade.late_ticks(stored, got.where("timeframe = '15s'")) == 0
+
+
+def test_late_ticks_are_counted(spark, tmp_path):
+    root, source = work_folder(spark, "t-late2"), str(tmp_path / "in")
+    cascade.start_control(spark, f"{root}/control")
+    listener = cascade.LiveStatistics()
+    spark.streams.addListener(listener)
+    for name, rows in (("a", [trade(s, 1.0) for s in range(0, 900, 10)]), ("b", [trade(1000, 2.0), trade(1001, -1.0)]),
+                       ("c", [trade(s, 9.0, id=f"late{s}") for s in (3, 3, 3, 20, 1002)])):
+        drop(source, name, rows)
+        cascade_run(spark, root, source)
+    cascade.flush(spark, f"{root}/control", START + dt.timedelta(seconds=1002))
+    cascade_run(spark, root, source)
+    spark.streams.removeListener(listener)
+    listener.store(spark, f"{root}/statistics")
+    stored, finest = spark.read.parquet(f"{root}/statistics"), spark.read.parquet(f"{root}/candles").where("timeframe = '15s'")
+    assert cascade.late_ticks(stored, finest) == 4 and stored.agg(F.sum("errors")).first()[0] == 1
+    assert finest.agg(F.sum("trade_count")).first()[0] == 93
+
+
+def test_a_repeated_batch_changes_nothing(spark):
+    """The handler by itself: a batch run twice, an empty batch, a state that is not there."""
+    root, seen = work_folder(spark, "t-repeat"), {}
+
+    def keep(closed, batch_id):
+        seen[batch_id] = sorted((r.timeframe, r.timestamp, r.open, r.close, r.trade_count) for r in closed.collect())
+
+    base = candles.ohlcv(ticks(spark, [(s, float(s), 1.0) for s in range(0, 700, 5)]), "15s")
+    base = base.withColumns({"_notional": F.col("vwap") * F.col("volume"), "_last_seen": F.col("timestamp_out")}).drop(
+        "vwap", "timeframe", "timestamp_out")
+    at = F.unix_seconds("timestamp") - F.unix_seconds(F.lit(START).cast("timestamp"))
+    for batch, low, high in ((0, 0, 200), (1, 200, 330), (1, 200, 330), (2, 330, 330), (3, 330, 700), (3, 330, 700)):
+        first = seen.get(batch)
+        cascade.Cascade(f"{root}/state", [keep], ("15s", "1m", "5m"))(base.where((at >= low) & (at < high)), batch)
+        assert first is None or first == seen[batch]
+    assert seen[2] == [] and [r[4] for b in range(4) for r in seen[b] if r[0] == "5m"] == [60, 60]
+    assert sum(r[0] == "1m" for b in range(4) for r in seen[b]) == 11
+    with pytest.raises(ValueError):
+        cascade.Cascade(f"{root}/state", [keep], ("15s", "1m"))(base, 7)

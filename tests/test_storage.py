@@ -158,3 +158,44 @@ def test_candles_of_a_range_leave_no_stale_day(spark, tmp_path):
     tables.write_candles(second, path, days=("2024-01-15", "2024-01-17"))
     days = {str(r.day) for r in spark.read.parquet(path).select("day").distinct().collect()}
     assert "2024-01-16" not in days and {"2024-01-15", "2024-01-17", "2024-01-18"} <= days
+
+
+def test_one_timeframe_is_replaced_and_others_stay(spark, tmp_path):
+    path, days = str(tmp_path / "candles"), ("2024-01-15", "2024-01-17")
+    t = ticks(spark, [(i, 10.0 + i // 5400 % 5, 1.0) for i in range(0, 4 * 86400, 5400)])
+    tables.write_candles(candles.ohlcv(t, ("15s", "1m", "1h")), path)
+
+    def counts():
+        return {r.timeframe: r["count"] for r in spark.read.parquet(path).groupBy("timeframe").count().collect()}
+
+    assert counts() == {"15s": 64, "1m": 64, "1h": 64}
+    half = t.where(F.col("price") > 11)
+    tables.write_candles(candles.ohlcv(half, "1m"), path, days=days)
+    after = counts()
+    assert after["15s"] == 64 and after["1h"] == 64 and after["1m"] < 64
+    # A run that makes nothing names what it replaces; the day outside the range stays.
+    tables.write_candles(candles.ohlcv(t.limit(0), "1m"), path, days=days, timeframes=["1m"])
+    left = spark.read.parquet(path).where("timeframe = '1m'")
+    assert counts()["1h"] == 64 and {str(r.day) for r in left.select("day").collect()} == {"2024-01-18", "2024-01-19"}
+    tables.write_candles(candles.ohlcv(t.limit(0), "1m"), path, days=days)
+    assert counts()["15s"] == 64
+
+
+def test_a_job_of_one_timeframe_leaves_the_others(spark, tmp_path):
+    root, days = str(tmp_path / "job"), ("2024-01-15", "2024-01-16")
+    t = ticks(spark, [(i, 10.0, 1.0) for i in range(0, 86400, 1800)])
+    jobs.candle_job(spark, root, t, days=days)
+    whole = {(str(r.day), r.timeframe): r.rows for r in tables.stored_days(spark, f"{root}/candles").collect()}
+    jobs.candle_job(spark, root, t, base_timeframes=("15s",), rollups=(), days=days)
+    assert {(str(r.day), r.timeframe): r.rows for r in tables.stored_days(spark, f"{root}/candles").collect()} == whole
+    jobs.candle_job(spark, root, t.where(F.to_date("timestamp") == "2024-01-15"), days=days)
+    again = {(str(r.day), r.timeframe): r.rows for r in tables.stored_days(spark, f"{root}/candles").collect()}
+    assert again == {k: n for k, n in whole.items() if k[0] == "2024-01-15"}
+
+
+def test_a_backfilled_range_loses_its_empty_days(spark, tmp_path):
+    path = str(tmp_path / "fill")
+    frame = candles.ohlcv(ticks(spark, [(i, 10.0, 1.0) for i in range(0, 4 * 86400, 43200)]), "1h")
+    tables.backfill(frame, path)
+    left = tables.backfill(frame.where(F.dayofmonth("timestamp") != 16), path, ("2024-01-15", "2024-01-17"))
+    assert sorted(str(r.day) for r in left.collect()) == ["2024-01-15", "2024-01-17", "2024-01-18", "2024-01-19"]

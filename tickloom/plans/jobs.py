@@ -92,7 +92,8 @@ def candle_job(
     lineage, so a lost executor costs a re-read and not the ticks. Book rows of
     longer timeframes come from the finest ones. With ``days``, the range that the
     ticks cover, rollups read these days only and stored rows of the range that are
-    no longer made go away. Returns row counts per day and timeframe.
+    no longer made go away, of the timeframes that this run makes; others stay.
+    Returns row counts per day and timeframe.
     """
     def in_range(df: DataFrame) -> DataFrame:
         return df.where(F.col("day").between(*[F.lit(d).cast("date") for d in days])) if days else df
@@ -104,18 +105,18 @@ def candle_job(
 
     path = f"{root}/candles"
     base_frame = features.candles_with_features(only(trades), tuple(base_timeframes), only(liquidations), only(ticker))
-    tables.write_candles(base_frame, path, days=days)
+    tables.write_candles(base_frame, path, days=days, timeframes=base_timeframes)
     if rollups:
         base = in_range(spark.read.parquet(path)).where(F.col("timeframe") == base_timeframes[-1]).drop("day")
         full = liquidations is not None and ticker is not None
         rolled = features.rollup_features(base, rollups) if full else candles.rollup_all(base, rollups)
-        tables.write_candles(rolled, path)
+        tables.write_candles(rolled, path, days=days, timeframes=rollups)
     if books is not None:
         finest, *longer = (*base_timeframes, *rollups)
-        tables.write_candles(book.book_features(only(books), finest), f"{root}/book", days=days)
+        tables.write_candles(book.book_features(only(books), finest), f"{root}/book", days=days, timeframes=[finest])
         if longer:
             first = in_range(spark.read.parquet(f"{root}/book")).where(F.col("timeframe") == finest).drop("day")
-            tables.write_candles(book.rollup_book(first, longer), f"{root}/book")
+            tables.write_candles(book.rollup_book(first, longer), f"{root}/book", days=days, timeframes=longer)
     return tables.stored_days(spark, path)
 
 

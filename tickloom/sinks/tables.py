@@ -7,7 +7,7 @@ from contextlib import contextmanager
 from datetime import timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,35 +52,44 @@ def write_sorted(df: DataFrame, path: str, partitions: Sequence[str], order: Seq
     _write(arranged, path, partitions, mode)
 
 
-def _files(spark: SparkSession, path: str, schema: T.StructType, partitions: Sequence[str], start: str, end: str) -> dict[str, tuple]:
-    """The files of the days in the range with their partition values; none where the table is not there yet."""
+def _files(spark: SparkSession, path: str, partitions: Sequence[str], where: Column) -> dict[str, tuple]:
+    """The files of the partitions chosen by ``where`` with their values; none where the table is not there yet.
+
+    A listing of folders: no file is opened.
+    """
     try:
-        stored = spark.read.schema(schema).parquet(path)
+        listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return {}
-    low, high = F.lit(start).cast("date"), F.lit(end).cast("date")
-    rows = stored.where(F.col("day").between(low, high)).select(F.col("_metadata.file_path").alias("f"), *partitions).distinct().collect()
-    return {r["f"]: tuple(str(r[c]) for c in partitions) for r in rows}
+    if not set(partitions) <= set(listed.columns):  # a table without any file
+        return {}
+    rows = listed.where(where).select("path", *partitions).collect()
+    return {r["path"]: tuple(str(r[c]) for c in partitions) for r in rows}
 
 
-def replace_days(df: DataFrame, path: str, partitions: Sequence[str], order: Sequence[str], start: str, end: str) -> None:
-    """Write ``df`` in place of all stored days from ``start`` to ``end``, those it has no row of too.
+def replace_partitions(df: DataFrame, path: str, partitions: Sequence[str], order: Sequence[str], where: Column) -> None:
+    """Write ``df`` in place of all stored partitions chosen by ``where``, those it has no row of too.
 
-    The write replaces the folders that ``df`` has rows for. A folder of the range
-    that still holds a file from before has no row any more and is overwritten with
-    none. The files looked at are those of the range only.
+    The write replaces the folders that ``df`` has rows for, and only then folders
+    that were there before and got no new file are emptied: new rows are visible
+    before old ones go. ``where`` is a condition on partition columns; partitions
+    outside it are not touched.
     """
-    spark, schema = df.sparkSession, df.schema
-    before = _files(spark, path, schema, partitions, start, end)
-    write_sorted(df, path, partitions, order)
-    after = _files(spark, path, schema, partitions, start, end)
-    none = spark.createDataFrame([], schema).drop(*partitions)
+    spark = df.sparkSession
+    before = _files(spark, path, partitions, where)
+    write_sorted(df.where(where), path, partitions, order)
+    after = _files(spark, path, partitions, where)
+    none = spark.createDataFrame([], df.schema).drop(*partitions)
     for values in sorted({after[f] for f in after if f in before}):
         _write(none, "/".join([path, *(f"{c}={v}" for c, v in zip(partitions, values))]), (), "overwrite")
 
 
+def days_between(start: str, end: str) -> Column:
+    return F.col("day").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+
+
 def write_ticks(ticks: DataFrame, path: str, data_type: str | None = None, mode: str = "overwrite") -> None:
     """Ticks by day and data type, sorted by instrument and time.
 
@@ -99,14 +108,22 @@ def write_ticks(ticks: DataFrame, path: str, data_type: str | None = None, mode:
     write_sorted(out, path, ["day", "data_type"], ["instrument_key", "timestamp"], mode)
 
 
-def write_candles(candles: DataFrame, path: str, mode: str = "overwrite", days: tuple[str, str] | None = None) -> None:
+def write_candles(
+    candles: DataFrame, path: str, mode: str = "overwrite", days: tuple[str, str] | None = None, timeframes: Sequence[str] | None = None
+) -> None:
     """Candles (or book rows) by day and timeframe.
 
-    ``days`` names a range of which no earlier row of these timeframes may stay.
+    ``days`` names a range of which no earlier row of ``timeframes`` may stay; other
+    timeframes and days are not touched. By default these are the timeframes that the
+    candles hold, so a run that may make none has to name them. With both given,
+    candles outside are not written.
     """
     out = candles.withColumn("day", F.to_date("timestamp"))
     if days:
-        replace_days(out, path, ["day", "timeframe"], ["instrument_key", "timestamp"], *days)
+        if timeframes is None:
+            timeframes = [r[0] for r in out.select("timeframe").distinct().collect()]  # of seven at most
+        where = days_between(*days) & F.col("timeframe").isin(*timeframes)
+        replace_partitions(out, path, ["day", "timeframe"], ["instrument_key", "timestamp"], where)
         return
     write_sorted(out, path, ["day", "timeframe"], ["instrument_key", "timestamp"], mode)
 
@@ -135,7 +152,7 @@ def write_report(
         "report_date": F.col("day"), "venues_filter": text(venues), "instrument_types_filter": text(instrument_types),
         "data_types_filter": text(data_types), "generated_at": stamp})
     if days:
-        replace_days(out, path, ["day"], ["instrument_key"], *days)
+        replace_partitions(out, path, ["day"], ["instrument_key"], days_between(*days))
     else:
         write_sorted(out, path, ["day"], ["instrument_key"])
     return out.schema
@@ -163,12 +180,15 @@ def load_warehouse(candles: DataFrame, table: str, path: str | None = None, mode
         writer.saveAsTable(table)
 
 
-def backfill(candles: DataFrame, path: str) -> DataFrame:
+def backfill(
+    candles: DataFrame, path: str, days: tuple[str, str] | None = None, timeframes: Sequence[str] | None = None
+) -> DataFrame:
     """Load a range of days in one job and report what each day holds.
 
-    Writing replaces whole days, so a failed job is simply run again.
+    Writing replaces whole days, so a failed job is simply run again. With ``days``
+    the range is replaced: a day of it that has no candle any more loses its old ones.
     """
-    write_candles(candles, path)
+    write_candles(candles, path, days=days, timeframes=timeframes)
     return stored_days(candles.sparkSession, path)
 
 
