@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from checks import fixtures as fx
 from checks.common import Checks, rounded
 from tickloom.operators import candles, quality, reconcile
-from tickloom.operators.series import with_previous
+from tickloom.operators.series import numbered, unplaced, with_previous
 from tickloom.sources import adapters as ad
 
 CHECKS = Checks()
@@ -157,6 +157,35 @@ def _previous_split(spark, sf):
     return with_previous(frame, KEY, "timestamp", ["price"], ["id"], 86400, split_rows=20).select("instrument_key", "id", "prev_price")
 
 
+@check("f18_previous_price_burst", fx.with_(fx.TRADES) +
+       'SELECT instrument_key, id, lag(price) OVER (PARTITION BY instrument_key ORDER BY CAST("timestamp" AS DATE), id) AS prev_price FROM trades')
+def _previous_burst(spark, sf):
+    """All trades of a day at one instant, told apart by their ties only: pieces of 10 rows."""
+    frame = ad.trades(spark, sf).select("instrument_key", F.to_date("timestamp").cast("timestamp").alias("timestamp"), "id", "price")
+    return with_previous(frame, KEY, "timestamp", ["price"], ["id"], 60, split_rows=10).select("instrument_key", "id", "prev_price")
+
+
+@check("d15_positions_in_bursts", fx.with_(fx.TRADES) +
+       'SELECT instrument_key, id, row_number() OVER (PARTITION BY instrument_key ORDER BY CAST("timestamp" AS DATE), id) AS "position" FROM trades')
+def _positions_burst(spark, sf):
+    frame = ad.trades(spark, sf).select("instrument_key", F.to_date("timestamp").cast("timestamp").alias("timestamp"), "id")
+    placed = numbered(frame, KEY, block_seconds=60, split_rows=10, ties=["id"])
+    return placed.select("instrument_key", "id", F.col("_rn").alias("position"))
+
+
+@check("f18_unplaced_rows", fx.with_(fx.TRADES, """
+u AS (SELECT CASE WHEN CAST(id AS BIGINT) % 11 = 0 THEN NULL ELSE instrument_key END AS instrument_key,
+        CASE WHEN CAST(id AS BIGINT) % 7 = 0 THEN NULL ELSE "timestamp" END AS "timestamp" FROM trades)""") + """
+SELECT instrument_key, count(*) FILTER (WHERE "timestamp" IS NULL AND instrument_key IS NOT NULL) AS without_time,
+  count(*) FILTER (WHERE instrument_key IS NULL) AS without_key FROM u GROUP BY 1 HAVING bool_or("timestamp" IS NULL) OR instrument_key IS NULL""")
+def _unplaced(spark, sf):
+    """Rows that no interval, gap or order check can see are counted."""
+    number = F.col("id").cast("long")
+    frame = ad.trades(spark, sf).select(
+        F.when(number % 11 != 0, F.col("instrument_key")).alias("instrument_key"), F.when(number % 7 != 0, F.col("timestamp")).alias("timestamp"))
+    return unplaced(frame, KEY)
+
+
 @check("f18_previous_price", fx.with_(fx.TRADES) +
        'SELECT instrument_key, id, lag(price) OVER (PARTITION BY instrument_key ORDER BY "timestamp", id) AS prev_price FROM trades')
 def _previous(spark, sf):

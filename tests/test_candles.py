@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import timegrid as tg
 from tickloom.operators import book, candles, features, indicators, reconcile
-from tickloom.operators.series import numbered, with_previous
+from tickloom.operators.series import numbered, time_blocks, unplaced, with_previous
 
 START = dt.datetime(2024, 1, 15, 12, 0)
 TICK = "instrument_key string, timestamp timestamp, local_timestamp timestamp, id string, side string, price double, amount double"
@@ -164,6 +164,28 @@ def test_previous_row_over_blocks(spark, split):
     assert [r._rn for r in numbers] == list(range(1, 11))
 
 
+@pytest.mark.parametrize("split", [1000, 9999, 30_000])
+def test_bursts_are_cut_by_rank(spark, split):
+    """20,000 ticks in one millisecond, half of them in one instant, between calm ones: no piece is above the bound."""
+    rows = [(0, 0.0, 1.0)] + [(60.0 + (i // 2 * 2 % 1000 if i % 2 else 500) / 1e6, float(i + 1), 1.0) for i in range(20_000)] + [(3600, -1.0, 1.0)]
+    t = ticks(spark, rows).withColumn("n", F.col("id").cast("int")).repartition(7)
+    marked = time_blocks(t, ["instrument_key"], "timestamp", 60, split, ["n"])
+    sizes = [r["count"] for r in marked.groupBy("instrument_key", "_block", "_piece").count().collect()]
+    assert sum(sizes) == 20_002 and max(sizes) <= split
+    order = [r.n for r in t.orderBy("timestamp", "n").collect()]
+    got = {r.n: r.prev_n for r in with_previous(t, ["instrument_key"], "timestamp", ["n"], ["n"], 60, split).collect()}
+    assert got == dict(zip(order, [None, *order[:-1]]))
+    numbers = numbered(t, ["instrument_key"], block_seconds=60, split_rows=split, ties=["n"]).collect()
+    assert [r.n for r in sorted(numbers, key=lambda r: r._rn)] == order and sorted(r._rn for r in numbers) == list(range(1, 20_003))
+
+
+def test_rows_without_time_are_counted(spark):
+    t = ticks(spark, [(1, 1.0, 1.0), (2, 1.0, 1.0)])
+    none = t.withColumn("timestamp", F.lit(None).cast("timestamp")).unionByName(t.withColumn("instrument_key", F.lit(None).cast("string")))
+    found = {r.instrument_key: (r.without_time, r.without_key) for r in unplaced(t.unionByName(none), ["instrument_key"]).collect()}
+    assert found == {"X:SPOT_PAIR:A-B": (2, 0), None: (0, 2)} and unplaced(t, ["instrument_key"]).count() == 0
+
+
 def test_stored_ticks_get_their_order(spark, tmp_path):
     from tickloom.sinks import tables
     from tickloom.sources import readers

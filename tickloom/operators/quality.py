@@ -180,10 +180,10 @@ def vendor_labels(raw: DataFrame, exchange: str, symbol: str) -> DataFrame:
 
 def intervals(
     series: DataFrame, keys: Sequence[str], time: str = "timestamp", ties: Sequence[str] = (), block_seconds: int = 60,
-    split_rows: int | None = SPLIT_ROWS,
+    split_rows: int | None = SPLIT_ROWS, counted: DataFrame | None = None,
 ) -> DataFrame:
     """Seconds since the preceding row of the same key; NULL on the first."""
-    stepped = with_previous(series, keys, time, [time], ties, block_seconds, split_rows, prefix="previous_")
+    stepped = with_previous(series, keys, time, [time], ties, block_seconds, split_rows, prefix="previous_", counted=counted)
     return stepped.withColumn(
         "interval_seconds", (F.unix_micros(time) - F.unix_micros(f"previous_{time}")) / 1e6)
 
@@ -227,14 +227,14 @@ def stability(
     block_seconds: int = 60, arrival: str | None = "local_timestamp",
 ) -> DataFrame:
     """Four checks per key: duplicates, arrival order, interval drift and gaps."""
-    dup = duplicate_times(ticks, keys).groupBy(*keys).agg(F.sum("extra_rows").alias("dup"))
-    distinct_times = ticks.select(*keys, "timestamp").distinct()
+    times = ticks.groupBy(*keys, "timestamp").agg((F.count(F.lit(1)) - 1).alias("_extra"))
     # Candle times are few per block; tick times may not be.
-    stepped = intervals(distinct_times, keys, block_seconds=block_seconds, split_rows=SPLIT_ROWS if arrival else None)
+    split = SPLIT_ROWS if arrival else None
+    stepped = intervals(times, keys, block_seconds=block_seconds, split_rows=split, counted=ticks)
     x = F.col("interval_seconds")
-    stats = stepped.groupBy(*keys).agg(
-        F.count_if(F.abs(x - expected_seconds) > max_drift).alias("drift"), F.count_if(x > 1.5 * expected_seconds).alias("gap"))
-    out = stats.join(dup, list(keys), "left")
+    out = stepped.groupBy(*keys).agg(
+        F.sum("_extra").alias("dup"), F.count_if(F.abs(x - expected_seconds) > max_drift).alias("drift"),
+        F.count_if(x > 1.5 * expected_seconds).alias("gap"))
     if arrival:
         late = out_of_order(ticks, keys, block_seconds).groupBy(*keys).agg(F.count(F.lit(1)).alias("late"))
         out = out.join(late, list(keys), "left")

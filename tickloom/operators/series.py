@@ -21,17 +21,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.timegrid import bucket_micros
+from tickloom.session import work_folder
 
 
 def time_blocks(
-    df: DataFrame, keys: Sequence[str], time: str, block_seconds: int, split_rows: int | None = None
+    df: DataFrame, keys: Sequence[str], time: str, block_seconds: int, split_rows: int | None = None, ties: Sequence[str] = (),
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``_block``, the start (microseconds) of the time block of each row.
+    """Add ``_block``, the start (microseconds) of the time block of each row, and ``_piece``, 0 or the piece of a busy block.
 
-    With ``split_rows``, a (key, block) holding more rows is cut into equal
-    shorter blocks of about that many rows, so a burst does not become one task.
-    Only the busy blocks are listed and joined back, and blocks still follow time
-    order. Rows of one instant stay together. Rows without key or time are left out.
+    With ``split_rows``, a (key, block) holding more rows is cut by rank into pieces of
+    that many rows at most, so that no burst becomes one task, be it in one instant:
+    the rows of all busy blocks are range-partitioned in their order (time, then
+    ``ties``), counted inside each partition and written to the shared work folder,
+    which fixes their pieces. Pieces follow the order. Without busy blocks, which one
+    aggregation finds out at once, nothing is written. It counts the rows of
+    ``counted``, if given: a frame that ``df`` was made of and that costs less to read.
+
+    Rows without key or time have no place in a series; :func:`unplaced` counts them.
     """
     width = block_seconds * 1_000_000
     # Stated here, the filter is the same below every use of the blocks; left to the
@@ -39,16 +46,35 @@ def time_blocks(
     marked = df.withColumn("_block", bucket_micros(time, width)).where(F.col("_block").isNotNull())
     for key in keys:
         marked = marked.where(F.col(key).isNotNull())
+    whole = marked.withColumn("_piece", F.lit(0).cast("long"))
     if split_rows is None:
-        return marked
-    busy = (
-        marked.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > split_rows)
-        .withColumn("_pieces", F.ceil(F.col("_n") / split_rows)).drop("_n")
-    )
-    pieces = F.coalesce("_pieces", F.lit(1))
-    piece = F.floor((F.unix_micros(time) - F.col("_block")) * pieces / width)
-    start = F.col("_block") + F.floor(piece * width / pieces)
-    return marked.join(busy, [*keys, "_block"], "left").withColumn("_block", start).drop("_pieces")
+        return whole
+    seen = marked if counted is None else counted.select(*keys, bucket_micros(time, width).alias("_block"))
+    busy = seen.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > split_rows)
+    rows = busy.agg(F.sum("_n")).first()[0]
+    if rows is None:
+        return whole
+    spark, order = df.sparkSession, [*keys, "_block", time, *ties]
+    listed = f"{(folder := work_folder(spark, 'bursts'))}/blocks"
+    busy.drop("_n").write.parquet(listed)
+    blocks = spark.read.parquet(listed)
+    hot = marked.join(blocks, [*keys, "_block"], "left_semi")
+    # A row that no tie tells apart still falls into some range: equal rows may be cut anywhere.
+    dealt = hot.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(-(-rows // split_rows), *order, "_row")
+    # In a sorted partition these numbers count its rows, from a start of the partition's own.
+    cut = dealt.sortWithinPartitions(*order, "_row").withColumn("_piece", 1 + F.floor(F.monotonically_increasing_id() / split_rows)).drop("_row")
+    cut.write.parquet(f"{folder}/rows")
+    calm = whole.join(blocks, [*keys, "_block"], "left_anti")
+    return calm.unionByName(spark.read.schema(cut.schema).parquet(f"{folder}/rows"))
+
+
+def unplaced(df: DataFrame, keys: Sequence[str], time: str = "timestamp") -> DataFrame:
+    """Rows that no ordered operator sees, per key: those without time, and those without one of the keys."""
+    keyless = F.lit(False)
+    for key in keys:
+        keyless = keyless | F.col(key).isNull()
+    out = df.groupBy(*keys).agg(F.count_if(F.col(time).isNull() & ~keyless).alias("without_time"), F.count_if(keyless).alias("without_key"))
+    return out.where((F.col("without_time") > 0) | (F.col("without_key") > 0))
 
 
 def with_previous(
@@ -60,24 +86,25 @@ def with_previous(
     block_seconds: int = 60,
     split_rows: int | None = None,
     prefix: str = "prev_",
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``prefix + value``: each value on the preceding row of the same key.
 
     Rows are ordered by ``time`` and then ``ties``. The window partition is one
-    (key, block); a block's first row takes the last row of the nearest earlier
-    block, found among one row per block.
+    piece of a (key, block); its first row takes the last row of the nearest earlier
+    piece, found among one row per piece.
     """
-    order = [time, *ties]
-    marked = time_blocks(df, keys, time, block_seconds, split_rows)
-    inside = Window.partitionBy(*keys, "_block").orderBy(*order)
+    order, piece = [time, *ties], [*keys, "_block", "_piece"]
+    marked = time_blocks(df, keys, time, block_seconds, split_rows, ties, counted)
+    inside = Window.partitionBy(*piece).orderBy(*order)
     packed = F.struct(*[F.col(v) for v in values])
     ranked = marked.withColumns({"_place": F.row_number().over(inside), "_inside": F.lag(packed).over(inside)})
 
     whole = F.struct(*ranked.columns)
-    lasts = ranked.groupBy(*keys, "_block").agg(F.max_by(whole, F.col("_place")).alias("_last"))
-    over_blocks = Window.partitionBy(*keys).orderBy("_block")
-    lasts = lasts.select(*keys, "_block", F.lag("_last").over(over_blocks).alias("_before"))
-    joined = ranked.join(lasts, [*keys, "_block"])
+    lasts = ranked.groupBy(*piece).agg(F.max_by(whole, F.col("_place")).alias("_last"))
+    over_blocks = Window.partitionBy(*keys).orderBy("_block", "_piece")
+    lasts = lasts.select(*piece, F.lag("_last").over(over_blocks).alias("_before"))
+    joined = ranked.join(lasts, piece)
     return joined.select(*df.columns, *[
         F.when(F.col("_place") == 1, F.col("_before")[v]).otherwise(F.col("_inside")[v]).alias(prefix + v) for v in values])
 
@@ -92,19 +119,20 @@ def numbered(
     earlier blocks. A day's block suits candles, whose number per day is fixed;
     ticks need short blocks and ``split_rows``.
     """
-    marked = time_blocks(df, keys, time, block_seconds, split_rows)
-    inside = Window.partitionBy(*keys, "_block").orderBy(time, *ties)
+    piece = [*keys, "_block", "_piece"]
+    marked = time_blocks(df, keys, time, block_seconds, split_rows, ties)
+    inside = Window.partitionBy(*piece).orderBy(time, *ties)
     ranked = marked.withColumn("_place", F.row_number().over(inside))
 
     whole = F.struct(*ranked.columns)
-    counts = ranked.groupBy(*keys, "_block").agg(F.max_by(whole, F.col("_place")).alias("_last"))
-    before = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    counts = ranked.groupBy(*piece).agg(F.max_by(whole, F.col("_place")).alias("_last"))
+    before = Window.partitionBy(*keys).orderBy("_block", "_piece").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
-        *keys, "_block", F.coalesce(F.sum(F.col("_last")["_place"]).over(before), F.lit(0)).alias("_offset"))
+        *piece, F.coalesce(F.sum(F.col("_last")["_place"]).over(before), F.lit(0)).alias("_offset"))
     return (
-        ranked.join(offsets, [*keys, "_block"])
+        ranked.join(offsets, piece)
         .withColumn("_rn", F.col("_offset") + F.col("_place"))
-        .drop("_block", "_offset", "_place")
+        .drop("_block", "_piece", "_offset", "_place")
     )
 
 
