@@ -20,10 +20,10 @@ import pyarrow.compute as pc
 from tokenizers import Tokenizer, pre_tokenizers
 
 #: Parts of words whose ids a worker keeps; bounds its memory, not the result.
-KNOWN_PARTS = 500_000
+KNOWN_PARTS = 400_000
 #: Text taken at once, and words gathered at once; they bound memory, not the result.
-BATCH_BYTES = 8 << 20
-GATHER_WORDS = 1 << 20
+BATCH_BYTES = 4 << 20
+GATHER_WORDS = 1 << 18
 
 LETTERS = string.ascii_letters + "".join(chr(c) for c in range(0xC0, 0x100) if chr(c) not in "×÷")
 #: All ASCII punctuation but the apostrophe, which belongs to suffixes such as 's.
