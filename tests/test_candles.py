@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom.functions import timegrid as tg
-from tickloom.operators import book, candles, features, indicators, reconcile
+from tickloom.operators import book, candles, coverage, features, indicators, reconcile, selection
 from tickloom.operators.series import numbered, time_blocks, unplaced, with_previous
 
 START = dt.datetime(2024, 1, 15, 12, 0)
@@ -208,3 +208,31 @@ def test_intervals_without_a_trade_keep_their_liquidations(spark):
     assert (first.trade_count, first.liquidation_count) == (1, 0)
     assert (second.trade_count, second.volume, second.open, second.liquidation_count) == (0, 0.0, None, 2)
     assert (second.liquidation_buy_volume, second.liquidation_sell_volume) == (3.0, 2.0)
+
+
+@pytest.mark.parametrize("bits", [0, 3, 12])
+def test_quantiles_by_selection(spark, bits):
+    """Against Spark's own exact percentile: many equal values, wide gaps, negative ones, a NULL key, single values."""
+    rows = [("a", i % 7) for i in range(500)] + [("a", 10**9)] + [("b", -(i * i)) for i in range(100)] + [("c", 5), ("d", None), (None, 3), (None, 4)]
+    df = spark.createDataFrame(rows, "k string, v long")
+    wanted = {"low": 0.0, "median": 0.5, "p95": 0.95, "odd": 1 / 3, "high": 1.0}
+    got = {r.k: tuple(r)[1:] for r in selection.quantiles(df, ["k"], F.col("v"), wanted, bits, 2.0).collect()}
+    want = {r.k: tuple(r)[1:] for r in df.groupBy("k").agg(*[(F.percentile("v", q) / 2.0).alias(n) for n, q in wanted.items()]).collect()}
+    assert {k: v for k, v in want.items() if v[0] is not None}.keys() == got.keys() == {"a", "b", "c", None}
+    for k, values in got.items():
+        assert values == pytest.approx(want[k])
+    total = selection.quantiles(df, [], F.col("v"), {"median": 0.5}, bits).first()
+    assert total.median == df.agg(F.median("v")).first()[0]
+    assert selection.quantiles(df.limit(0), ["k"], F.col("v"), wanted).count() == 0
+
+
+def test_latency_stats_hold_no_list_of_delays(spark):
+    t = ticks(spark, [(i, 1.0, 1.0) for i in range(101)])
+    frame = coverage.latency_stats(t.unionByName(t.limit(3).withColumn("local_timestamp", F.lit(None).cast("timestamp")).withColumn(
+        "instrument_key", F.lit("X:SPOT_PAIR:NO-DELAY"))), ["instrument_key"])
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan and "BroadcastNestedLoopJoin" not in plan
+    rows = {r.instrument_key: r for r in frame.collect()}
+    assert (rows["X:SPOT_PAIR:A-B"].median_ms, rows["X:SPOT_PAIR:A-B"].p95_ms, rows["X:SPOT_PAIR:A-B"].ticks) == (255.0, 480.0, 101)
+    assert rows["X:SPOT_PAIR:NO-DELAY"].ticks == 3 and rows["X:SPOT_PAIR:NO-DELAY"].median_ms is None
+    assert coverage.latency_stats(t).first().median_ms == 255.0

@@ -1,6 +1,7 @@
 """Tables on disk: pruning, overwriting, errors, chunks."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -199,3 +200,27 @@ def test_a_backfilled_range_loses_its_empty_days(spark, tmp_path):
     tables.backfill(frame, path)
     left = tables.backfill(frame.where(F.dayofmonth("timestamp") != 16), path, ("2024-01-15", "2024-01-17"))
     assert sorted(str(r.day) for r in left.collect()) == ["2024-01-15", "2024-01-17", "2024-01-18", "2024-01-19"]
+
+
+def test_sparse_reads_reach_over_midnight(spark, tmp_path):
+    root = str(tmp_path / "ticks")
+    t = ticks(spark, [(s, 1.0, 1.0) for s in range(0, 5 * 86400, 240)])  # from noon of the 15th on
+    tables.write_ticks(t, root, "trades")
+    times = ["2024-01-17 00:00:00", "2024-01-17 00:02:00", "2024-01-19 23:58:00"]
+    got = readers.ticks_for_candles(spark, root, "2024-01-15", "2024-01-21", times, 24)
+    want = readers.around(t, spark.createDataFrame([(x,) for x in times], "t string").select(F.col("t").cast("timestamp").alias("requested_at")), 24)
+    assert got.count() == want.count() > 30
+    assert {(r.id, str(r.requested_at)) for r in got.collect()} == {(r.id, str(r.requested_at)) for r in want.collect()}
+    # Folders of days without a time are left out, and the ranges reach the row groups.
+    optimized = got._jdf.queryExecution().optimizedPlan().toString()
+    listed = re.search(r"day#\d+ IN \(([^)]*)\)", optimized)[1]
+    assert listed.replace(" ", "") == "2024-01-16,2024-01-17,2024-01-19,2024-01-20"
+
+
+def test_ranges_merge_and_stay_few():
+    at = [dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m) for m in (0, 5, 60, 61, 600, 1200)]
+    minute = dt.timedelta(minutes=1)
+    assert [(int((a - at[0]) / minute), int((b - at[0]) / minute)) for a, b in readers.merged_ranges(at[::-1], 3 * minute)] == [
+        (-3, 8), (57, 64), (597, 603), (1197, 1203)]
+    assert [(int((a - at[0]) / minute), int((b - at[0]) / minute)) for a, b in readers.merged_ranges(at, minute, 3)] == [(-1, 62), (599, 601), (1199, 1201)]
+    assert readers.merged_ranges(at, minute, 1) == [(at[0] - minute, at[-1] + minute)]

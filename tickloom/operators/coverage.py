@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions import keys as k
+from tickloom.operators import selection
 from tickloom.operators.instruments import daily
 
 TRIPLE = ("day", "instrument_key", "data_type")
@@ -225,14 +226,20 @@ def signature(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
 def latency_stats(ticks: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Mean, median, 95th percentile and maximum delay, exact, in milliseconds.
 
-    Delays are counted per distinct value first, so the percentile holds
-    distinct delays rather than ticks.
+    Delays are whole microseconds; both percentiles are selected by
+    :func:`selection.quantiles`, whatever the number of distinct delays. A key whose
+    ticks have no delay has its number of ticks only.
     """
-    delay = (F.unix_micros("local_timestamp") - F.unix_micros("timestamp")) / 1000.0
-    counts = ticks.groupBy(*keys, delay.alias("delay")).agg(F.count(F.lit(1)).alias("n"))
-    return counts.groupBy(*keys).agg(
-        F.sum("n").alias("ticks"),
-        (F.sum(F.col("delay") * F.col("n")) / F.sum("n")).alias("mean_ms"),
-        F.percentile("delay", 0.5, F.col("n")).alias("median_ms"),
-        F.percentile("delay", 0.95, F.col("n")).alias("p95_ms"),
-        F.min("delay").alias("min_ms"), F.max("delay").alias("max_ms"))
+    delay = F.unix_micros("local_timestamp") - F.unix_micros("timestamp")
+    ms = delay / 1000.0
+    totals = ticks.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("ticks"), F.avg(ms).alias("mean_ms"), F.min(ms).alias("min_ms"), F.max(ms).alias("max_ms"))
+    picked = selection.quantiles(ticks, keys, delay, {"median_ms": 0.5, "p95_ms": 0.95}, scale=1000.0)
+    if keys:
+        same = F.lit(True)
+        for k in keys:
+            same = same & F.col(f"t.{k}").eqNullSafe(F.col(f"p.{k}"))
+        joined = totals.alias("t").join(picked.alias("p"), same, "left").select("t.*", "median_ms", "p95_ms")
+    else:
+        joined = totals.withColumn("_one", F.lit(1)).join(picked.withColumn("_one", F.lit(1)), "_one", "left").drop("_one")
+    return joined.select(*keys, "ticks", "mean_ms", "median_ms", "p95_ms", "min_ms", "max_ms")

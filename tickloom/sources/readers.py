@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.errors import AnalysisException
@@ -13,6 +14,8 @@ from tickloom.functions.timegrid import bucket_micros
 from tickloom.operators import instruments as ins
 from tickloom.schemas import BATCH_FEATURES, CANDLE_COLUMNS, HFT_TIMEFRAMES, INDICATORS, MFT_TIMEFRAMES, TICK_SCHEMAS, TIMEFRAMES
 
+#: Ranges of time that one scan filters on.
+MOST_RANGES = 64
 TIME_COLUMNS = ("timestamp", "local_timestamp", "funding_timestamp", "expiration")
 
 
@@ -117,14 +120,43 @@ def ticks_for_candles(
     spark: SparkSession, root: str, start: str, end: str, times: Sequence[str] | None = None, buffer_minutes: float = 5,
     data_types: Sequence[str] = ("trades",), instruments: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Ticks around the given candle times, or the whole range without a list."""
+    """Ticks around the given candle times, or the whole range without a list.
+
+    The times with their buffer merge into disjoint ranges. The scan gets the days
+    these touch, those beyond midnight too, and the ranges themselves as filters on
+    time, so days and row groups between them are not read.
+    """
     if not times:
         return read_ticks(spark, root, start, end, data_types, instruments)
-    first, last = min(times), max(times)
-    wanted = spark.createDataFrame([(t,) for t in times], "t string").select(F.col("t").cast("timestamp").alias("requested_at"))
-    days = f"{first[:10]} 00:00:00", f"{last[:10]} 23:59:59.999999"
-    span = read_ticks(spark, root, min(start, days[0]), max(end, days[1]), data_types, instruments)
-    return around(span, wanted, buffer_minutes, (first, last))
+    ranges = merged_ranges([dt.datetime.fromisoformat(t) for t in times], dt.timedelta(minutes=buffer_minutes))
+    first, last = str(ranges[0][0]), str(ranges[-1][1])
+    span = read_ticks(spark, root, first, last, data_types, instruments)
+    days = sorted({a.date() + dt.timedelta(days=i) for a, b in ranges for i in range((b.date() - a.date()).days + 1)})
+    wanted = F.lit(False)
+    for low, high in ranges:
+        wanted = wanted | F.col("timestamp").between(F.lit(str(low)).cast("timestamp"), F.lit(str(high)).cast("timestamp"))
+    asked = spark.createDataFrame([(t,) for t in times], "t string").select(F.col("t").cast("timestamp").alias("requested_at"))
+    return around(span.where(F.col("day").isin(days) & wanted), asked, buffer_minutes)
+
+
+def merged_ranges(times: Sequence[dt.datetime], buffer: dt.timedelta, most: int = MOST_RANGES) -> list[tuple[dt.datetime, dt.datetime]]:
+    """The ranges within ``buffer`` of the times as disjoint ranges in order.
+
+    Beyond ``most``, those with the narrowest gaps are joined: a filter of bounded
+    length that covers every time and some more, for the exact check that follows.
+    """
+    ranges: list[tuple[dt.datetime, dt.datetime]] = []
+    for at in sorted(set(times)):
+        low, high = at - buffer, at + buffer
+        if ranges and low <= ranges[-1][1]:
+            ranges[-1] = (ranges[-1][0], high)
+        else:
+            ranges.append((low, high))
+    if len(ranges) > most:
+        gaps = sorted(range(1, len(ranges)), key=lambda i: ranges[i][0] - ranges[i - 1][1], reverse=True)
+        cuts = [0, *sorted(gaps[: most - 1]), len(ranges)]
+        ranges = [(ranges[i][0], ranges[j - 1][1]) for i, j in zip(cuts, cuts[1:])]
+    return ranges
 
 
 # -- candles and features --------------------------------------------------------------
