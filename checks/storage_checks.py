@@ -12,7 +12,7 @@ from tickloom.functions.timegrid import calendar
 from tickloom.operators import book, candles, coverage, features, instruments, quality
 from tickloom.plans import jobs
 from tickloom.session import work_folder
-from tickloom.sinks import tables
+from tickloom.sinks import tables, warehouse
 from tickloom.sources import adapters as ad
 from tickloom.sources import readers
 
@@ -364,6 +364,59 @@ def _warehouse(spark, sf):
         "symbol", "exchange", "instrument_id", "timeframe", "date", "day_out", "timestamp", "open", "volume", "trade_count"))
 
 
+def _two_loads(spark, sf):
+    """Days 1 to 14 without, then days 10 to 20 with a column more and other volumes, into tables of 1h and 4h."""
+    root = work_folder(spark, "b7b")
+    frame = candles.ohlcv(ad.trades(spark, sf), ("1h", "4h"))
+    warehouse.load(frame.withColumn("trade_count", F.col("trade_count").cast("int")), root, ("2024-01-01", "2024-01-14"), ["1h", "4h"])
+    more = frame.where("close > 50").withColumns({"volume": F.col("volume") * 2, "note": F.col("trade_count").cast("int")})
+    return root, warehouse.load(more, root, ("2024-01-10", "2024-01-20"), ["1h", "4h"])
+
+
+@check("b7_two_loads", fx.with_(fx.TRADES, fx.candles(3600, "c1"), fx.candles(14400, "c2"), """
+c AS (SELECT 'candles_1h' AS name, * FROM c1 UNION ALL SELECT 'candles_4h', * FROM c2)""") + """
+SELECT name, instrument_key AS instrument_id, CAST("timestamp" AS DATE) AS day, "timestamp", round("close", 6) AS "close",
+  round(CASE WHEN extract(day FROM "timestamp") >= 10 THEN 2 ELSE 1 END * volume, 6) AS volume,
+  CASE WHEN extract(day FROM "timestamp") >= 10 THEN trade_count END AS note
+FROM c WHERE extract(day FROM "timestamp") < 10 OR (extract(day FROM "timestamp") <= 20 AND "close" > 50)""")
+def _warehouse_two_loads(spark, sf):
+    root, _ = _two_loads(spark, sf)
+    out = None
+    for name in ("candles_1h", "candles_4h"):
+        one = warehouse.read_table(spark, root, name).select(
+            F.lit(name).alias("name"), "instrument_id", "day", "timestamp", "close", "volume", F.col("note").cast("long").alias("note"))
+        out = one if out is None else out.unionByName(one)
+    return rounded(out)
+
+
+@check("b8_range_status", fx.with_(fx.TRADES, fx.candles(3600, "c1"), fx.candles(14400, "c2"), """
+c AS (SELECT '1h' AS timeframe, * FROM c1 UNION ALL SELECT '4h', * FROM c2)""", """
+d AS (SELECT timeframe, CAST("timestamp" AS DATE) AS day, count(*) AS n FROM c WHERE "close" > 50 GROUP BY ALL)""", """
+g AS (SELECT timeframe, CAST(day AS DATE) AS day FROM (SELECT unnest(['1h', '4h']) AS timeframe),
+  (SELECT unnest(generate_series(TIMESTAMP '2024-01-10', TIMESTAMP '2024-01-20', INTERVAL 1 DAY)) AS day))""") + """
+SELECT g.day, g.timeframe, coalesce(n, 0) AS "rows", CASE WHEN n > 0 THEN 'loaded' ELSE 'empty' END AS status
+FROM g LEFT JOIN d ON d.day = g.day AND d.timeframe = g.timeframe""")
+def _range_status(spark, sf):
+    return _two_loads(spark, sf)[1]
+
+
+@check("p8_report_to_warehouse", fx.with_(fx.TRADES, """
+a AS (SELECT DISTINCT instrument_key, CAST("timestamp" AS DATE) AS day FROM trades WHERE extract(day FROM "timestamp") % 3 <> 0)""", """
+s AS (SELECT t.* FROM trades t JOIN a ON a.instrument_key = t.instrument_key AND a.day = CAST(t."timestamp" AS DATE) WHERE extract(day FROM t."timestamp") BETWEEN 5 AND 12)""",
+    fx.candles(60, "c1", "s"), fx.candles(3600, "c2", "s")) + """
+SELECT '1m' AS timeframe, count(*) AS "rows", count(DISTINCT CAST("timestamp" AS DATE)) AS days_loaded, 8 - count(DISTINCT CAST("timestamp" AS DATE)) AS days_empty FROM c1
+UNION ALL SELECT '1h', count(*), count(DISTINCT CAST("timestamp" AS DATE)), 8 - count(DISTINCT CAST("timestamp" AS DATE)) FROM c2""")
+def _report_to_warehouse(spark, sf):
+    """Every third day is not available; two runs of the same range."""
+    root = work_folder(spark, "p8b")
+    trades = ad.trades(spark, sf)
+    report = trades.select("instrument_key", F.to_date("timestamp").alias("day"), F.lit("trades").alias("data_type")).distinct().where(
+        F.dayofmonth("day") % 3 != 0)
+    for _ in range(2):
+        out = jobs.warehouse_job(spark, root, f"{root}/warehouse", report, ("2024-01-05", "2024-01-12"), trades, ["1m"], ["1h"])
+    return out
+
+
 @check("b8_backfill", fx.with_(fx.TRADES, fx.candles(3600)) + """
 SELECT CAST("timestamp" AS DATE) AS day, '1h' AS timeframe, count(*) AS "rows" FROM candles GROUP BY ALL""")
 def _backfill(spark, sf):

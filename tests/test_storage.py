@@ -11,7 +11,7 @@ from tickloom.operators import candles, coverage
 from tickloom.plans import jobs
 from tickloom.schemas import TICK_SCHEMAS, empty_ticks
 from tickloom.session import work_folder
-from tickloom.sinks import tables
+from tickloom.sinks import tables, warehouse
 from tickloom.sources import adapters as ad
 from tickloom.sources import readers
 
@@ -224,3 +224,38 @@ def test_ranges_merge_and_stay_few():
         (-3, 8), (57, 64), (597, 603), (1197, 1203)]
     assert [(int((a - at[0]) / minute), int((b - at[0]) / minute)) for a, b in readers.merged_ranges(at, minute, 3)] == [(-1, 62), (599, 601), (1199, 1201)]
     assert readers.merged_ranges(at, minute, 1) == [(at[0] - minute, at[-1] + minute)]
+
+
+def test_warehouse_schema_grows(spark, tmp_path):
+    root, days = str(tmp_path / "wh"), ("2024-01-15", "2024-01-16")
+    frame = candles.ohlcv(ticks(spark, [(i, 10.0, 1.0) for i in range(0, 3 * 86400, 21600)]), "1h")
+    first = frame.withColumn("grade", F.lit(1).cast("int"))
+    status = {(str(r.day), r.timeframe): (r.rows, r.status) for r in warehouse.load(first, root, days, ["1h", "4h"]).collect()}
+    assert status == {("2024-01-15", "1h"): (2, "loaded"), ("2024-01-16", "1h"): (4, "loaded"),
+                      ("2024-01-15", "4h"): (0, "empty"), ("2024-01-16", "4h"): (0, "empty")}
+    # The type is relaxed, a column comes, one is missing; the range overlaps.
+    second = frame.drop("vwap").withColumns({"grade": F.lit(2**40), "remark": F.lit("new")})
+    warehouse.load(second, root, ("2024-01-16", "2024-01-18"), ["1h"])
+    rows = warehouse.read_table(spark, root, "candles_1h").orderBy("timestamp").collect()
+    assert [r.grade for r in rows] == [1] * 2 + [2**40] * 10 and [r.remark for r in rows] == [None] * 2 + ["new"] * 10
+    assert [r.vwap for r in rows] == [10.0] * 2 + [None] * 10 and rows[0].symbol == "A-B" and rows[0].exchange == "x"
+    with pytest.raises(ValueError, match="grade"):
+        warehouse.load(first.withColumn("grade", F.lit("text")), root, days, ["1h"])
+    with pytest.raises(FileNotFoundError):
+        warehouse.read_table(spark, root, "candles_5m")
+    # A range without candles loses its days; the rest stays.
+    warehouse.load(second.limit(0), root, ("2024-01-17", "2024-01-17"), ["1h"])
+    assert warehouse.read_table(spark, root, "candles_1h").count() == 8
+    plan_text = plan(warehouse.read_table(spark, root, "candles_1h").where(tables.days_between(*days)))
+    assert "PartitionFilters: [isnotnull(day" in plan_text
+
+
+def test_loads_read_their_range_only(spark, tmp_path):
+    root = str(tmp_path / "src")
+    tables.write_candles(candles.ohlcv(ticks(spark, [(i, 10.0, 1.0) for i in range(0, 4 * 86400, 21600)]), ("1m", "1h")), root)
+    stored = spark.read.schema(readers.candle_table_schema()).parquet(root)
+    report = stored.select("day", "instrument_key", F.lit("trades").alias("data_type")).distinct()
+    chosen = stored.where(tables.days_between("2024-01-16", "2024-01-17") & F.col("timeframe").isin("1h"))
+    assert "PartitionFilters" in plan(chosen) and chosen.count() == 8
+    out = warehouse.load_available(stored, report.where("day <> '2024-01-16'"), str(tmp_path / "w"), ("2024-01-16", "2024-01-17"), ["1h"])
+    assert {str(r.day): r.rows for r in out.collect()} == {"2024-01-16": 0, "2024-01-17": 4}

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tickloom.operators import book, candles, coverage, features, instruments, quality, reconcile
 from tickloom.schemas import BASE_TIMEFRAMES, ROLLUP_TIMEFRAMES
-from tickloom.sinks import tables
+from tickloom.sinks import tables, warehouse
 from tickloom.sources import readers
 
 
@@ -127,6 +127,24 @@ def candles_to_warehouse(spark: SparkSession, root: str, table: str, path: str |
     return coverage.rows_per_day(spark.table(table), "timestamp", "timeframe")
 
 
+def warehouse_job(
+    spark: SparkSession, root: str, warehouse_root: str, report: DataFrame, days: tuple[str, str],
+    trades: DataFrame, base_timeframes: Sequence[str] = BASE_TIMEFRAMES, rollups: Sequence[str] = ROLLUP_TIMEFRAMES,
+) -> DataFrame:
+    """Available report to candles to warehouse tables, for a range of days; returns the totals per timeframe.
+
+    Trades outside the range are not read, and candles are made and loaded of the
+    instruments and days only that the report names. Run again, it replaces the range.
+    """
+    there = report.where((F.col("data_type") == "trades") & tables.days_between(*days)).select("day", "instrument_key").distinct()
+    ranged = trades.withColumn("day", F.to_date("timestamp")).where(tables.days_between(*days))
+    candle_job(spark, root, ranged.join(there, ["day", "instrument_key"], "left_semi").drop("day"),
+               base_timeframes=base_timeframes, rollups=rollups, days=days)
+    timeframes = [*base_timeframes, *rollups]
+    stored = spark.read.schema(readers.candle_table_schema()).parquet(f"{root}/candles")
+    return warehouse.totals(warehouse.load_available(stored, report, warehouse_root, days, timeframes))
+
+
 def validation_job(first: dict[str, DataFrame], second: dict[str, DataFrame], base: str) -> DataFrame:
     """All reconciliation checks between two sources with several timeframes."""
     columns = ["test_name", "status"]

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tickloom.functions.timegrid import bucket_micros
 from tickloom.operators import instruments as ins
-from tickloom.schemas import BATCH_FEATURES, CANDLE_COLUMNS, HFT_TIMEFRAMES, INDICATORS, MFT_TIMEFRAMES, TICK_SCHEMAS, TIMEFRAMES
+from tickloom.schemas import BATCH_FEATURES, CANDLE_COLUMNS, HFT_TIMEFRAMES, INDICATORS, MFT_TIMEFRAMES, TICK_SCHEMAS, TIMEFRAMES, WAREHOUSE_TYPES
 
 #: Ranges of time that one scan filters on.
 MOST_RANGES = 64
@@ -175,6 +175,13 @@ def read_candles(
     return out.where(F.col("instrument_key").isin(*instruments)) if instruments else out
 
 
+def candle_table_schema() -> T.StructType:
+    """All columns a candle table may hold: a read with it opens no footer to find columns, and those not stored are NULL."""
+    names = dict.fromkeys(["instrument_key", *CANDLE_COLUMNS, *BATCH_FEATURES])
+    fields = [T.StructField(c, T.StringType() if c == "instrument_key" else T._parse_datatype_string(WAREHOUSE_TYPES[c])) for c in names]
+    return T.StructType([*fields, T.StructField("day", T.DateType())])
+
+
 def present_columns(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
     return df.select(*[c for c in wanted if c in df.columns])
 
