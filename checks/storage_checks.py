@@ -147,6 +147,30 @@ def _for_day(spark, sf):
         "instrument_key", "venue", "base_asset").distinct()
 
 
+@check("b5_instrument_ranges", fx.with_(fx.INSTRUMENTS) + """
+SELECT DISTINCT instrument_key, venue, base_asset, CAST(greatest(d0, DATE '1995-01-01') AS DATE) AS first_day, CAST(least(d1, DATE '1996-06-30') AS DATE) AS last_day
+FROM instruments WHERE d0 <= DATE '1996-06-30' AND d1 >= DATE '1995-01-01'""")
+def _ranges(spark, sf):
+    """Daily definitions, written as the aggregate of runs of equal days."""
+    path = work_folder(spark, "b5r")
+    rows = ad.instruments(spark, sf)
+    tables.write_instrument_ranges(instruments.daily(rows, "1995-01-01", "1996-06-30"), path)
+    return spark.read.parquet(path).select("instrument_key", "venue", "base_asset", "first_day", "last_day").distinct()
+
+
+@check("a9_fall_back_by_day", fx.with_(fx.INSTRUMENTS) + """
+SELECT CAST(day AS DATE) AS day, CASE WHEN extract(day FROM day) % 5 = 0 THEN 'range' ELSE 'daily' END AS source, count(*) AS instruments FROM (
+  SELECT p_partkey, unnest(generate_series(greatest(CAST(d0 AS TIMESTAMP), TIMESTAMP '1995-03-01'), least(CAST(d1 AS TIMESTAMP), TIMESTAMP '1995-06-30'), INTERVAL 1 DAY)) AS day
+  FROM instruments WHERE d0 <= DATE '1995-06-30' AND d1 >= DATE '1995-03-01') GROUP BY ALL""")
+def _fall_back(spark, sf):
+    """The daily table lacks every fifth day of a month; those come from the ranges."""
+    path = work_folder(spark, "a9r")
+    daily = instruments.daily(ad.instruments(spark, sf), "1995-01-01", "1995-12-31")
+    tables.write_instrument_ranges(daily, path)
+    both = instruments.definitions_by_day(daily.where(F.dayofmonth("day") % 5 != 0), spark.read.parquet(path), "1995-03-01", "1995-06-30")
+    return both.groupBy("day", "source").agg(F.count(F.lit(1)).alias("instruments"))
+
+
 @check("a10_missing_instrument_days", fx.with_(fx.INSTRUMENTS, """
 cal AS (SELECT CAST(unnest(generate_series(TIMESTAMP '1994-11-01', TIMESTAMP '1999-12-31', INTERVAL 1 DAY)) AS DATE) AS day)""") + """
 SELECT day FROM cal WHERE NOT EXISTS (SELECT 1 FROM instruments WHERE d0 <= day AND d1 >= day)""")

@@ -133,3 +133,17 @@ def test_1000_lots_match_their_base(spark):
     assert markets.where(ins.market_matches(base="SHIB")).count() == 3
     assert markets.where(ins.market_matches(base="SHIB", product_type="perp")).count() == 1
     assert ins.active_markets(markets, bases=["SHIB"]).count() == 1
+
+
+def test_days_merge_to_ranges_and_back(spark):
+    days = [("A", "x", d) for d in (1, 2, 3, 5, 6, 9)] + [("A", "y", 4), ("B", None, 1), ("B", None, 1), ("B", None, 2)]
+    daily = spark.createDataFrame(days, "instrument_key string, note string, d int").select(
+        "instrument_key", "note", F.make_date(F.lit(2024), F.lit(1), "d").alias("day"))
+    ranges = ins.merge_days(daily)
+    got = {(r.instrument_key, r.note, r.first_day.day, r.last_day.day) for r in ranges.collect()}
+    assert got == {("A", "x", 1, 3), ("A", "y", 4, 4), ("A", "x", 5, 6), ("A", "x", 9, 9), ("B", None, 1, 2)}
+    back = ins.range_days(ranges, "2024-01-01", "2024-01-31").select(daily.columns)
+    assert sorted(map(str, back.collect())) == sorted(map(str, daily.distinct().collect()))
+    some = ins.definitions_by_day(daily.where("day <> '2024-01-02' AND day <> '2024-01-05'"), ranges, "2024-01-02", "2024-01-06")
+    assert sorted((r.day.day, r.instrument_key, r.note or "", r.source) for r in some.collect()) == [
+        (2, "A", "x", "range"), (2, "B", "", "range"), (3, "A", "x", "daily"), (4, "A", "y", "daily"), (5, "A", "x", "range"), (6, "A", "x", "daily")]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions import keys as k
@@ -109,6 +109,38 @@ def daily(instruments: DataFrame, start: str, end: str) -> DataFrame:
     return instruments.where(first <= last).withColumn("day", F.explode(F.sequence(first, last)))
 
 
+def merge_days(daily: DataFrame) -> DataFrame:
+    """Daily definitions as ranges: one row per run of days on which a definition was the same in all columns.
+
+    ``first_day`` and ``last_day`` take the place of ``day``. A gap, or a change in any
+    column, starts a new range; repeated rows count once. Windows hold the days of
+    one definition.
+    """
+    columns = [c for c in daily.columns if c != "day"]
+    order = Window.partitionBy(*columns).orderBy("day")
+    island = F.date_sub("day", F.row_number().over(order))  # the same for days that follow each other
+    runs = daily.distinct().withColumn("_island", island)
+    return runs.groupBy(*columns, "_island").agg(F.min("day").alias("first_day"), F.max("day").alias("last_day")).drop("_island")
+
+
+def range_days(ranges: DataFrame, start: str, end: str) -> DataFrame:
+    """The rows of :func:`merge_days` by day again, for the days from ``start`` to ``end``."""
+    first = F.greatest("first_day", F.lit(start).cast("date"))
+    last = F.least("last_day", F.lit(end).cast("date"))
+    return ranges.where(first <= last).withColumn("day", F.explode(F.sequence(first, last))).drop("first_day", "last_day")
+
+
+def definitions_by_day(daily: DataFrame, ranges: DataFrame, start: str, end: str) -> DataFrame:
+    """Definitions of each day from ``start`` to ``end``: of the daily table, and of the ranges on days it does not have.
+
+    ``source`` says which (``daily`` or ``range``). A day that neither has gives no row.
+    """
+    inside = F.col("day").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    own = daily.where(inside)
+    rest = range_days(ranges, start, end).join(own.select("day").distinct(), "day", "left_anti")
+    return own.withColumn("source", F.lit("daily")).unionByName(rest.withColumn("source", F.lit("range")), allowMissingColumns=True)
+
+
 def available_on(instruments: DataFrame, day: str) -> DataFrame:
     """Definitions whose window holds the day; both spellings of the window columns."""
     def time(*names: str) -> Column:

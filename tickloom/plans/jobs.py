@@ -14,11 +14,18 @@ from tickloom.sinks import tables, warehouse
 from tickloom.sources import readers
 
 
-def instrument_job(listing: DataFrame, path: str, start: str, end: str) -> DataFrame:
-    """Listings to validated daily definitions; returns counts per skip reason."""
+def instrument_job(listing: DataFrame, path: str, start: str, end: str, ranges_path: str | None = None) -> DataFrame:
+    """Listings to validated daily definitions; returns counts per skip reason.
+
+    ``ranges_path`` gets the aggregate of the range, made of the stored days.
+    """
     defined = instruments.definitions(listing, start, end)
     checked = instruments.validate(instruments.daily(defined, start, end))
     tables.write_instruments(checked, path)
+    if ranges_path:
+        spark = listing.sparkSession
+        stored = spark.read.parquet(path).where(tables.days_between(start, end))
+        tables.write_instrument_ranges(stored, ranges_path)
     marked = instruments.eligibility(listing, start, end)
     return marked.groupBy("exchange", F.coalesce("skip_reason", F.lit("eligible")).alias("outcome")).agg(
         F.count(F.lit(1)).alias("symbols"))

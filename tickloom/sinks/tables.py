@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from tickloom.functions.keys import symbol_and_exchange
 from tickloom.operators import candles as candle_rows
+from tickloom.operators import instruments as instrument_rows
 from tickloom.schemas import WAREHOUSE_TYPES
 
 # Delta-packed INT64 times, dictionary pages, snappy; see the Parquet options.
@@ -138,6 +139,12 @@ def write_instruments(daily: DataFrame, path: str, mode: str = "overwrite") -> N
     write_sorted(daily, path, ["day"], ["instrument_key"], mode)
 
 
+def write_instrument_ranges(daily: DataFrame, path: str) -> None:
+    """The aggregate of daily definitions: ranges of equal days, in one table (see ``instruments.merge_days``)."""
+    ranges = instrument_rows.merge_days(daily)
+    _write(ranges.repartitionByRange("instrument_key", "first_day").sortWithinPartitions("instrument_key", "first_day"), path, (), "overwrite")
+
+
 def write_report(
     report: DataFrame, path: str, venues: Sequence[str] = (), instrument_types: Sequence[str] = (), data_types: Sequence[str] = (),
     generated_at: str | None = None, days: tuple[str, str] | None = None,
