@@ -28,7 +28,7 @@ def time_blocks(
     df: DataFrame, keys: Sequence[str], time: str, block_seconds: int, split_rows: int | None = None, ties: Sequence[str] = (),
     counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``_block``, the start (microseconds) of the time block of each row, and ``_piece``, 0 or the piece of a busy block.
+    """Add ``_block``, the start (microseconds) of the time block of each row, and with ``split_rows`` the ``_piece`` of it.
 
     With ``split_rows``, a (key, block) holding more rows is cut by rank into pieces of
     that many rows at most, so that no burst becomes one task, be it in one instant:
@@ -46,9 +46,9 @@ def time_blocks(
     marked = df.withColumn("_block", bucket_micros(time, width)).where(F.col("_block").isNotNull())
     for key in keys:
         marked = marked.where(F.col(key).isNotNull())
-    whole = marked.withColumn("_piece", F.lit(0).cast("long"))
     if split_rows is None:
-        return whole
+        return marked
+    whole = marked.withColumn("_piece", F.lit(0).cast("long"))  # of a block that is not cut
     seen = marked if counted is None else counted.select(*keys, bucket_micros(time, width).alias("_block"))
     busy = seen.groupBy(*keys, "_block").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > split_rows)
     rows = busy.agg(F.sum("_n")).first()[0]
@@ -68,6 +68,11 @@ def time_blocks(
     return calm.unionByName(spark.read.schema(cut.schema).parquet(f"{folder}/rows"))
 
 
+def _place(split_rows: int | None) -> list[str]:
+    """Columns that place a piece in its key's series."""
+    return ["_block"] if split_rows is None else ["_block", "_piece"]
+
+
 def unplaced(df: DataFrame, keys: Sequence[str], time: str = "timestamp") -> DataFrame:
     """Rows that no ordered operator sees, per key: those without time, and those without one of the keys."""
     keyless = F.lit(False)
@@ -94,7 +99,8 @@ def with_previous(
     piece of a (key, block); its first row takes the last row of the nearest earlier
     piece, found among one row per piece.
     """
-    order, piece = [time, *ties], [*keys, "_block", "_piece"]
+    order, place = [time, *ties], _place(split_rows)
+    piece = [*keys, *place]
     marked = time_blocks(df, keys, time, block_seconds, split_rows, ties, counted)
     inside = Window.partitionBy(*piece).orderBy(*order)
     packed = F.struct(*[F.col(v) for v in values])
@@ -102,7 +108,7 @@ def with_previous(
 
     whole = F.struct(*ranked.columns)
     lasts = ranked.groupBy(*piece).agg(F.max_by(whole, F.col("_place")).alias("_last"))
-    over_blocks = Window.partitionBy(*keys).orderBy("_block", "_piece")
+    over_blocks = Window.partitionBy(*keys).orderBy(*place)
     lasts = lasts.select(*piece, F.lag("_last").over(over_blocks).alias("_before"))
     joined = ranked.join(lasts, piece)
     return joined.select(*df.columns, *[
@@ -119,20 +125,21 @@ def numbered(
     earlier blocks. A day's block suits candles, whose number per day is fixed;
     ticks need short blocks and ``split_rows``.
     """
-    piece = [*keys, "_block", "_piece"]
+    place = _place(split_rows)
+    piece = [*keys, *place]
     marked = time_blocks(df, keys, time, block_seconds, split_rows, ties)
     inside = Window.partitionBy(*piece).orderBy(time, *ties)
     ranked = marked.withColumn("_place", F.row_number().over(inside))
 
     whole = F.struct(*ranked.columns)
     counts = ranked.groupBy(*piece).agg(F.max_by(whole, F.col("_place")).alias("_last"))
-    before = Window.partitionBy(*keys).orderBy("_block", "_piece").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys).orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         *piece, F.coalesce(F.sum(F.col("_last")["_place"]).over(before), F.lit(0)).alias("_offset"))
     return (
         ranked.join(offsets, piece)
         .withColumn("_rn", F.col("_offset") + F.col("_place"))
-        .drop("_block", "_piece", "_offset", "_place")
+        .drop(*place, "_offset", "_place")
     )
 
 

@@ -132,9 +132,7 @@ def ticks_for_candles(
     first, last = str(ranges[0][0]), str(ranges[-1][1])
     span = read_ticks(spark, root, first, last, data_types, instruments)
     days = sorted({a.date() + dt.timedelta(days=i) for a, b in ranges for i in range((b.date() - a.date()).days + 1)})
-    wanted = F.lit(False)
-    for low, high in ranges:
-        wanted = wanted | F.col("timestamp").between(F.lit(str(low)).cast("timestamp"), F.lit(str(high)).cast("timestamp"))
+    wanted = F.expr(" OR ".join(f"timestamp BETWEEN TIMESTAMP '{low}' AND TIMESTAMP '{high}'" for low, high in ranges))
     asked = spark.createDataFrame([(t,) for t in times], "t string").select(F.col("t").cast("timestamp").alias("requested_at"))
     return around(span.where(F.col("day").isin(days) & wanted), asked, buffer_minutes)
 
