@@ -284,20 +284,22 @@ def _job(spark, sf, name, arrival, timeframes, listener=None):
     return root
 
 
-_BY_DAYS = F.floor((F.dayofmonth("ts") - 1) / 11)
+def _by_days():
+    """Three files of eleven days each."""
+    return F.floor((F.dayofmonth("ts") - 1) / 11)
 
 
 @check("k6_flushed_candles", _live_sql((("15s", 15), ("1m", 60), ("5m", 300), ("15m", 900), ("4h", 14400), ("24h", 86400))))
 def _flushed(spark, sf):
     """All live timeframes from one stream with one state, the candles still open at the end included."""
-    root = _job(spark, sf, "k6b", _BY_DAYS, LIVE_TIMEFRAMES)
+    root = _job(spark, sf, "k6b", _by_days(), LIVE_TIMEFRAMES)
     return rounded(spark.read.parquet(f"{root}/candles").drop("table", "batch_id"))
 
 
 @check("p9_live_job_indicators", _indicator_sql(14400))
 def _job_indicators(spark, sf):
     """Indicators of the live job's 4h candles, across batches and a restart."""
-    root = _job(spark, sf, "p9b", _BY_DAYS, ("1m", "4h"))
+    root = _job(spark, sf, "p9b", _by_days(), ("1m", "4h"))
     return rounded(spark.read.parquet(f"{root}/indicators").where("timeframe = '4h'").select("instrument_key", "timestamp", *INDICATORS))
 
 
@@ -315,7 +317,7 @@ def _totals(spark, sf):
     day = F.dayofmonth("ts")
     late = (F.regexp_extract("props", r"(\d+)", 1).cast("long") % 20 == 0) & (day <= 10)
     listener = cascade.LiveStatistics()
-    root = _job(spark, sf, "e24b", F.when(late, 2).otherwise(_BY_DAYS), ("1m", "24h"), listener)
+    root = _job(spark, sf, "e24b", F.when(late, 2).otherwise(_by_days()), ("1m", "24h"), listener)
     listener.store(spark, f"{root}/statistics")
     stored, candles = spark.read.parquet(f"{root}/statistics"), spark.read.parquet(f"{root}/candles")
     dropped = cascade.late_ticks(stored, candles.where("timeframe = '1m'"))
