@@ -5,6 +5,7 @@ import datetime
 import glob
 import hashlib
 import re
+import time
 import struct
 import zlib
 
@@ -252,13 +253,47 @@ def test_values_beside_words_and_numbers(value, text):
         assert found == text.format(plain)
 
 
+def test_equal_values_link_whatever_their_spelling():
+    spaced, plain, local = swap("+1 415 555 0123"), swap("+14155550123"), swap("(415) 555-0123")
+    assert re.sub(r"\D", "", spaced) == re.sub(r"\D", "", plain) == "1" + re.sub(r"\D", "", local) != "14155550123"
+    assert re.sub(r"\D", "", swap("1-415-555-0123")) == re.sub(r"\D", "", plain)
+    home = swap("+44 (0)20 7946 0958")
+    assert home.startswith("+44 (0)") and home.replace("(0)", "") == swap("+44 20 7946 0958") and swap("+442079460958") == re.sub(r"[ ]|\(0\)", "", home)
+    assert swap("DE89-3704-0044-0532-0130-00") == swap("DE89 3704 0044 0532 0130 00").replace(" ", "-")
+
+    date = datetime.date.fromisoformat(swap("2024-01-05"))
+    day, month, year = date.day, date.month, date.year
+    english = pii.MONTHS["en"][month - 1]
+    assert date != datetime.date(2024, 1, 5) and swap("05.01.2024") == f"{day:02d}.{month:02d}.{year}" and swap("5.1.2024") == f"{day}.{month}.{year}"
+    assert swap("5 January 2024") == f"{day} {english} {year}" and swap("on January 5, 2024.") == f"on {english} {day}, {year}."
+    assert swap("5 JAN 2024") == f"{day} {pii.MONTHS['short'][month - 1].upper()} {year}"
+    assert swap("le 5 janvier 2024") == f"le {day} {pii.MONTHS['fr'][month - 1]} {year}"
+    assert swap("am 5. Januar 2024") == f"am {day}. {pii.MONTHS['de'][month - 1]} {year}"
+    assert swap("el 5 de enero de 2024") == f"el {day} de {pii.MONTHS['es'][month - 1]} de {year}"
+    assert swap("31 April 2024") == "31 April 2024" and re.fullmatch(r"\w+ \d+(st|nd|rd|th), \d{4}", swap("January 25th, 2024"))
+
+
+def test_dates_never_share_a_pseudonym():
+    days = [datetime.date(2024, 1, 1) + datetime.timedelta(n) for n in range(366)]
+    for form in ("{0.year}-{0.month:02d}-{0.day:02d}", "{0.day}/{0.month}/{0.year}", "{0.month}/{0.day}/{0.year}"):
+        found = {swap(form.format(d)) for d in days}
+        assert len(found) == len({form.format(d) for d in days})
+
+
+def test_long_runs_of_digits():
+    text = "1 " * 20_000
+    start = time.perf_counter()
+    found = swap(text)
+    assert len(found) == len(text) and time.perf_counter() - start < 2
+
+
 def test_pseudonyms_of_rows(spark):
     long = "x " * 60_000 + "10.0.0.1"
     rows = [(1, None), (2, ""), (3, "mail me: jo.1@mail2.example.com!!"), (3, "mail me: jo.1@mail2.example.com!!"), (None, "10.0.0.1"), (4, long)]
     frame = spark.createDataFrame([(*r, 5) for r in rows], "doc_id long, text string, n_ip int")
-    out = pii.pseudonymised(frame).collect()
+    out = pii.pseudonymised(frame, pii.TEST_KEY).collect()
     assert [(r["doc_id"], r["n_ip"], len(r["text"] or "")) for r in out] == [(i, 5, len(t or "")) for i, t in rows]
     assert out[2]["text"] == out[3]["text"] and "jo.1@" not in out[2]["text"] and out[0]["text"] is None
-    assert out[5]["text"].endswith(out[4]["text"]) and pii.pseudonymised(frame.limit(0)).count() == 0
+    assert out[5]["text"].endswith(out[4]["text"]) and pii.pseudonymised(frame.limit(0), pii.TEST_KEY).count() == 0
     other = pii.pseudonymised(frame, b"another key").collect()
     assert other[4]["text"] != out[4]["text"]

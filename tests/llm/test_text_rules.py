@@ -276,8 +276,7 @@ def brute_tiles(doc, item, width):
 def test_tiling_against_its_definition(doc, item):
     index = decontaminate.Index([(1, " ".join(item).encode())], 3)
     found = list(index.matches(decontaminate.tokens(" ".join(doc).encode()), 0.01))
-    width = min(3, len(item))
-    expected = brute_tiles(doc, item, width)
+    expected = brute_tiles(doc, item, 3) if len(item) >= 3 else [(0, 0, len(item))] if doc == item else []
     assert sorted(found[0][2]) == sorted(expected) if expected else not found
 
 
@@ -286,19 +285,39 @@ def test_contamination(spark):
     parts = item.split()
     swapped = " ".join(["x y", *parts[10:], "and then", *parts[:10], "z"])
     rows = [(1, f"before {item} after"), (2, swapped), (3, "W0, w1! (w2) W3... w4; w5? w6 w7 w8 w9 w10"), (4, " ".join(parts[:9])),
-            (5, None), (6, ""), (7, "nothing of it at all"), (None, item), (1, f"before {item} after"), (8, "short"), (9, "x " * 50_000 + item)]
+            (5, None), (6, ""), (7, "nothing of it at all"), (None, item), (1, f"before {item} after"), (8, "Short!"), (9, "x " * 50_000 + item),
+            (10, "a short one"), (11, "the word " * 3)]
     docs = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, item_id int")
-    benchmark = spark.createDataFrame([(1, item), (2, None), (3, ""), (4, "short"), (None, "a b c d e f")], "item_id long, text string")
+    benchmark = spark.createDataFrame([(1, item), (2, None), (3, ""), (4, "short"), (5, "the"), (None, "a b c d e f")], "item_id long, text string")
     for block_words in (2_000_000, 8):
         found = decontaminate.contamination(docs, benchmark, block_words=block_words).collect()
         assert sorted((r["doc_id"] or 0, r["item_id"], r["matched_words"]) for r in found) == [
             (0, 1, 20), (1, 1, 20), (1, 1, 20), (2, 1, 20), (3, 1, 11), (8, 4, 1), (9, 1, 20)]
         clean = decontaminate.without_benchmark(docs, benchmark, block_words=block_words)
-        assert sorted(r["doc_id"] for r in clean.collect()) == [4, 5, 6, 7] and clean.columns == docs.columns
+        assert sorted(r["doc_id"] for r in clean.collect()) == [4, 5, 6, 7, 10, 11] and clean.columns == docs.columns
     assert decontaminate.contamination(docs.limit(0), benchmark).count() == 0
     assert decontaminate.without_benchmark(docs, benchmark.limit(0)).count() == len(rows)
 
 
+def test_repeated_words_do_not_multiply():
+    """80,000 equal words against 200 of them: 16 million pairs of equal windows, 80,000 runs."""
+    index = decontaminate.Index([(1, b"spam " * 200), (2, b"spam " * 100 + b"ham " * 100)], 5)
+    doc = decontaminate.tokens(b"spam " * 80_000)
+    item, where, inside, length = index._runs(doc)
+    assert len(item) < 200_000 and (length <= 200).all()
+    assert [(i, n, sum(t[2] for t in tiles)) for i, n, tiles in index.matches(doc, 0.5)] == [(1, 200, 200), (2, 200, 100)]
+
+
+def test_rows_keep_columns_of_any_name(spark):
+    good = " ".join(f"word{i} of the" for i in range(40))
+    names = ["doc_id", "text", "__row", "__kept", "__id", "kept", "row", "body", "n_words", "whole", "place"]
+    rows = [(n, good if n < 3 else f"{good} {' '.join(f'{n}x{i}' for i in range(90))}", *[10 * n + k for k in range(len(names) - 2)]) for n in (1, 2, 3, 4)]
+    docs = spark.createDataFrame([*rows, (5, None, *range(len(names) - 2))], f"doc_id long, text string, {', '.join(f'`{n}` long' for n in names[2:])}")
+    for found, left in ((quality.kept_rows(docs), rows), (similar.first_of_each(docs.filter("text IS NOT NULL")), [rows[0], rows[2], rows[3]]),
+                        (simhash.first_of_each(docs.filter("doc_id IN (1, 2)")), [rows[0]])):
+        assert found.columns == names and sorted(map(tuple, found.collect())) == left
+
+
 def test_contamination_on_the_table(spark, sf, texts):
     items = {r[0]: r[1] for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}
 

@@ -1,9 +1,11 @@
 """Format-preserving pseudonyms for personal data.
 
-Method: a keyed Feistel permutation within each format. A value is validated,
-read as a number of its format's domain, permuted and written back in the same
-format and length. Equal values get equal pseudonyms in all documents, whatever
-their separators or case; different values of a format never share one.
+Method: a keyed Feistel permutation within each format. A value is validated, read
+as the number it stands for (the day of a date, country and national number of a
+phone), permuted and written in the format at hand. Equal values get equal
+pseudonyms in all documents, whatever their separators, case, padding or month
+names; different values of a kind never share one. Only dates written without
+leading zeros or with month names may change their length.
 """
 
 from __future__ import annotations
@@ -142,15 +144,73 @@ def _ssn(permute: Permutation, m: re.Match) -> str | None:
     return _respell(m[0], f"{permute('ssn', value, 10 ** 9, valid):09d}") if valid(value) else None
 
 
+#: Country calling codes: one digit if it is 1 or 7, these of two digits, all others of three. Fixed values.
+CODES_OF_TWO = set(
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+
+
 def _phone(permute: Permutation, m: re.Match) -> str | None:
-    prefix = re.match(r"\+\d{1,3}(?=\D)|", m[0])[0]
-    digits = re.sub(r"\D", "", m[0][len(prefix):])
-    if not 7 <= len(digits) + len(prefix[1:]) <= 15 or len(digits) < 6:
+    text = m[0]
+    trunk = text.find("(0)") if text[0] == "+" else -1  # a zero that is dialled at home only
+    digits = re.sub(r"\D", "", text if trunk < 0 else text[:trunk] + text[trunk + 3:])
+    if text[0] == "+":
+        known = 1 if digits[0] in "17" else 2 if digits[:2] in CODES_OF_TWO else 3
+        country, number = digits[:known], digits[known:]
+        head = country
+    else:
+        country, head, number = "1", digits[:-10], digits[-10:]
+    if not 7 <= len(country + number) <= 15 or len(number) < 6:
         return None
-    return prefix + _respell(m[0][len(prefix):], f"{permute(f'phone{len(digits)}', int(digits), 10 ** len(digits)):0{len(digits)}d}")
+    new = head + f"{permute(f'phone{country}|{len(number)}', int(number), 10 ** len(number)):0{len(number)}d}"
+    if trunk >= 0:
+        at = sum(c.isdigit() for c in text[:trunk])
+        new = new[:at] + "0" + new[at:]
+    return _respell(text, new)
+
+
+#: Names of the months. Fixed values.
+MONTHS = {language: names.split() for language, names in {
+    "en": "January February March April May June July August September October November December",
+    "short": "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec",
+    "fr": "janvier février mars avril mai juin juillet août septembre octobre novembre décembre",
+    "de": "Januar Februar März April Mai Juni Juli August September Oktober November Dezember",
+    "es": "enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre",
+}.items()}
+MONTH = "|".join(sorted({re.escape(n) for names in MONTHS.values() for n in names}, key=len, reverse=True))
+
+
+def _other_day(permute: Permutation, year: int, month: int, day: int) -> datetime.date | None:
+    """The pseudonym of a day. Days up to the twelfth are permuted among themselves, so that day and month are told apart as before."""
+    try:
+        value = datetime.date(year, month, day).toordinal()
+    except ValueError:
+        return None
+    if not FIRST_DAY <= value <= LAST_DAY:
+        return None
+    return datetime.date.fromordinal(FIRST_DAY + permute(
+        "date", value - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, lambda v: (datetime.date.fromordinal(FIRST_DAY + v).day > 12) == (day > 12)))
+
+
+def _written_date(permute: Permutation, m: re.Match) -> str | None:
+    between, name = m[0], m["month"]
+    first = ["es"] if " de " in between.lower() else ["de"] if re.match(r"\d+\. ", between) else []
+    language, month = next((k, [n.lower() for n in MONTHS[k]].index(name.lower())) for k in [*first, *MONTHS] if name.lower() in map(str.lower, MONTHS[k]))
+    date = _other_day(permute, int(m["y"]), month + 1, int(m["d"]))
+    if date is None:
+        return None
+    new = MONTHS[language][date.month - 1]
+    new = new.upper() if name.isupper() else new.lower() if name.islower() else new.capitalize()
+    ending = "" if not m["th"] else "th" if 10 < date.day < 20 else {1: "st", 2: "nd", 3: "rd"}.get(date.day % 10, "th")
+    spans = {"d": f"{date.day:02d}" if m["d"][0] == "0" else str(date.day), "th": ending, "month": new, "y": f"{date.year:04d}"}
+    out, at = "", m.start()
+    for group in sorted((g for g in spans if m[g] is not None), key=m.start):
+        out, at = out + m.string[at: m.start(group)] + spans[group], m.end(group)
+    return out + m.string[at: m.end()]
 
 
 def _date(permute: Permutation, m: re.Match) -> str | None:
+    if "month" in m.re.groupindex:
+        return _written_date(permute, m)
     a, mark, b, c = m["a"], m["mark"], m["b"], m["c"]
     if len(a) == 4:
         order = "ymd"
@@ -161,44 +221,36 @@ def _date(permute: Permutation, m: re.Match) -> str | None:
     else:
         order = "mdy"
     fields = dict(zip(order, (a, b, c)))
-    try:
-        day = datetime.date(int(fields["y"]), int(fields["m"]), int(fields["d"])).toordinal()
-    except ValueError:
-        return None
-    if not FIRST_DAY <= day <= LAST_DAY:
+    date = _other_day(permute, int(fields["y"]), int(fields["m"]), int(fields["d"]))
+    if date is None:
         return None
-
-    def same_kind(v: int) -> bool:
-        """Whether the day is read in the same order again and fits the digits."""
-        date = datetime.date.fromordinal(FIRST_DAY + v)
-        fits = (date.month > 9 or len(fields["m"]) == 2 or len(fields["m"]) == 1) and (len(fields["m"]) == 2 or date.month < 10)
-        fits = fits and (len(fields["d"]) == 2 or date.day < 10)
-        return fits and (order != "dmy" or mark == "." or date.day > 12)
-
-    shape = f"{order}{mark if order == 'dmy' and mark != '.' else ''}{len(fields['m'])}{len(fields['d'])}"
-    # Two-digit ISO, dotted and slashed dates share one permutation, so a date links across these formats.
-    tag = "date" if shape in ("ymd22", "dmy22", "mdy22") else "date" + shape
-    date = datetime.date.fromordinal(FIRST_DAY + permute(tag, day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, same_kind))
-    new = {"y": f"{date.year:04d}", "m": f"{date.month:0{len(fields['m'])}d}", "d": f"{date.day:0{len(fields['d'])}d}"}
+    parts = [fields["m"], fields["d"]]
+    width = 2 if any(p[0] == "0" for p in parts) or all(len(p) == 2 for p in parts) else 1
+    new = {"y": f"{date.year:04d}", "m": f"{date.month:0{width}d}", "d": f"{date.day:0{width}d}"}
     return mark.join(new[k] for k in order)
 
 
 #: In this order; a span that one kind has taken is not looked at again.
 KINDS: dict[str, tuple[re.Pattern, Callable[[Permutation, re.Match], str | None]]] = {
     "email": (re.compile(r"(?<![\w.%+-])[\w.%+-]+@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}(?![A-Za-z0-9])"), _email),
-    "iban": (re.compile(r"(?<![A-Za-z0-9])[A-Za-z]{2}\d{2}(?: ?[A-Za-z0-9]{4}){2,7}(?: ?[A-Za-z0-9]{1,4})?(?![A-Za-z0-9])"), _iban),
+    "iban": (re.compile(r"(?<![A-Za-z0-9])[A-Za-z]{2}\d{2}(?:[ -]?[A-Za-z0-9]{4}){2,7}(?:[ -]?[A-Za-z0-9]{1,4})?(?![A-Za-z0-9])"), _iban),
     "ip": (re.compile(r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)"), _ip),
     "date": (re.compile(r"(?<![\w./-])(?P<a>\d{4}|\d{1,2})(?P<mark>[-./])(?P<b>\d{1,2})(?P=mark)(?P<c>\d{4}|\d{1,2})(?![\w/-]|\.\d)"), _date),
     "ssn": (re.compile(r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])"), _ssn),
     "card": (re.compile(r"(?:(?<![\w.+-])|(?<=\d-))\d(?:[ -]?\d){12,18}(?!\w|-(?!\d)|\.\d)"), _card),
     "phone": (re.compile(
         r"(?<!\w)\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4}(?!\w|\.\d)|"
-        r"(?<![\w+.-])(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?![\w-]|\.\d)"), _phone),
+        r"(?<![\w+.-])(?:1[ .-])?(?:\(\d{3}\) ?|\d{3}[.-])\d{3}[.-]\d{4}(?![\w-]|\.\d)"), _phone),
 }
 #: Tried before the kind's own pattern: the usual ways to write it, so that numbers beside it do not take part of it.
-FIRST = {"card": re.compile(
-    r"(?:(?<![\w.+-])|(?<=\d-))(?:\d{13,19}|\d{4}(?P<s>[ -])\d{4}(?P=s)\d{4}(?P=s)\d{1,4}(?:(?P=s)\d{1,3})?|\d{4}(?P<t>[ -])\d{6}(?P=t)\d{4,5})"
-    r"(?!\w|-(?!\d)|\.\d)")}
+FIRST = {
+    "card": [re.compile(
+        r"(?:(?<![\w.+-])|(?<=\d-))(?:\d{13,19}|\d{4}(?P<s>[ -])\d{4}(?P=s)\d{4}(?P=s)\d{1,4}(?:(?P=s)\d{1,3})?|\d{4}(?P<t>[ -])\d{6}(?P=t)\d{4,5})"
+        r"(?!\w|-(?!\d)|\.\d)")],
+    "date": [
+        re.compile(rf"(?<![\w./-])(?P<d>\d{{1,2}})(?P<th>st|nd|rd|th)?(?:\.? | de |-)(?P<month>{MONTH})\.?(?:,? | del? |-)(?P<y>\d{{4}})(?!\w)", re.I),
+        re.compile(rf"(?<!\w)(?P<month>{MONTH})\.? (?P<d>\d{{1,2}})(?P<th>st|nd|rd|th)?,? (?P<y>\d{{4}})(?!\w)", re.I)],
+}
 #: Characters of an account number by country, from the public registry.
 IBAN_LENGTHS = {c: int(n) for n, names in (x.split(":") for x in (
     "15:NO 16:BE 18:DK,FI,FK,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,HR,LI,LV "
@@ -208,14 +260,32 @@ IBAN_LENGTHS = {c: int(n) for n, names in (x.split(":") for x in (
 _POSSIBLE = re.compile(r"\d.*\d|@", re.S)
 
 
+def _luhn_ends(text: str, start: int, end: int) -> list[int]:
+    """Where a number from ``start`` on may end, at ``end`` or a separator, with a right check digit; the last place first. Both sums run along."""
+    ends, n, even, odd = [], 0, 0, 0  # the sum of even places as they are and odd ones doubled, and the other way
+    for at in range(start, end + 1):
+        c = text[at] if at < end else " "
+        if c in " -":
+            if 13 <= n <= 19 and (even if n % 2 else odd) % 10 == 0:
+                ends.append(at)
+            continue
+        plain = int(c)
+        double = plain * 2 - 9 * (plain > 4)
+        even, odd, n = (even + double, odd + plain, n + 1) if n % 2 else (even + plain, odd + double, n + 1)
+    return ends[::-1]
+
+
 def _candidates(kind: str, pattern: re.Pattern, m: re.Match) -> Iterator[re.Match]:
     """A match and what it becomes when words or numbers at its end are left out, the longest first; an account number of its country's length before."""
     text, start = m.string, m.start()
-    cuts = [at for at in range(m.end() - 1, start, -1) if text[at] in " -"] if kind in ("iban", "card", "phone") else []
+    if kind == "card":
+        yield from (c for c in (pattern.fullmatch(text, start, at) for at in _luhn_ends(text, start, m.end())) if c)
+        return
+    cuts = [at for at in range(m.end() - 1, start, -1) if text[at] in " -"] if kind in ("iban", "phone") else []
     shorter = [c for c in (pattern.fullmatch(text, start, at) for at in cuts) if c]
     if kind == "iban":
         length = IBAN_LENGTHS.get(m[0][:2].upper())
-        yield from (c for c in shorter if len(c[0].replace(" ", "")) == length)
+        yield from (c for c in shorter if len(re.sub("[ -]", "", c[0])) == length)
     yield m
     yield from shorter
 
@@ -244,7 +314,7 @@ def pseudonymise(text: str, permute: Permutation) -> tuple[str, dict[str, int]]:
     # Pieces of text alternate with finished replacements.
     pieces: list[tuple[str, bool]] = [(text, False)]
     for kind, (own, replace) in KINDS.items():
-        for pattern in (FIRST[kind], own) if kind in FIRST else (own,):
+        for pattern in (*FIRST.get(kind, ()), own):
             after: list[tuple[str, bool]] = []
             for piece, done in pieces:
                 if done or kind == "email" and "@" not in piece:
@@ -260,7 +330,7 @@ def pseudonymise(text: str, permute: Permutation) -> tuple[str, dict[str, int]]:
 COUNTS = "struct<text:string," + ",".join(f"n_{k}:int" for k in KINDS) + ">"
 
 
-def pseudonyms(text: Column, key: bytes = TEST_KEY) -> Column:
+def pseudonyms(text: Column, key: bytes) -> Column:
     """A struct of the new text and the number of values replaced per kind; null for null."""
     def run(texts: pa.Array) -> pa.Array:
         permute = Permutation(key)
@@ -271,10 +341,10 @@ def pseudonyms(text: Column, key: bytes = TEST_KEY) -> Column:
     return F.arrow_udf(run, COUNTS)(text)
 
 
-def pseudonymised(docs: DataFrame, key: bytes = TEST_KEY, text: str = "text") -> DataFrame:
+def pseudonymised(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
     """``docs`` with pseudonyms in place of personal data; all other columns stay as they are.
 
-    Lengths do not change. A null text stays null, an empty one empty; repeated rows
+    Lengths change by dates without leading zeros or with month names only. A null text stays null, an empty one empty; repeated rows
     get equal texts. Numbers that fail their check (Luhn, mod 97, ranges) are no
     personal data and stay, except for values inside that pass it: what stands
     between separators is tried by itself.

@@ -152,14 +152,17 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text",
 
 
 def kept_rows(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that pass base and rules, with the columns of ``docs`` only.
+    """The rows of ``docs`` that pass base and rules, with the columns of ``docs`` only, whatever their names.
 
-    A filter on the verdict alone would be pushed below the projections and compute
-    the measures again for each rule. It also reads a row number, which no predicate
-    is pushed below.
+    Null and empty texts have no words and go; repeated rows stay or go together; an
+    empty table gives an empty table. The input row travels as one struct, so no name
+    can clash. A filter on the verdict alone would be pushed below the projections and
+    compute the measures again for each rule. It also reads a row number, which no
+    predicate is pushed below.
     """
-    judged = judge(docs, rules, text, prefix="__").withColumn("__row", F.monotonically_increasing_id())
-    return judged.filter(F.col("__kept") & (F.col("__row") >= 0)).select(*docs.columns)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text).alias("body"))
+    judged = judge(rows, rules, "body").withColumn("place", F.monotonically_increasing_id())
+    return judged.filter(F.col("kept") & (F.col("place") >= 0)).select("row.*")
 
 
 def rule_sql(rules: tuple[Rule, ...] = RULES) -> str:

@@ -149,7 +149,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op3_pii_pseudonyms")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text with pseudonyms, and the number of values replaced."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", pii.pseudonyms(F.col("text")).alias("p"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", pii.pseudonyms(F.col("text"), pii.TEST_KEY).alias("p"))
     counts = [F.coalesce(F.col(f"p.n_{k}"), F.lit(0)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
     return docs.select("doc_id", F.col("p.text").alias("text"), *counts)
 
@@ -209,7 +209,8 @@ TRIE_SQL = rf"""
 WITH t AS (
   SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, substr(key, 1, 32)) AS p, key, words
   FROM (SELECT conv_id, turn, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS key,
-      len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+'))::BIGINT AS words
+      len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+'))::BIGINT AS words
     FROM conversations WHERE conv_id IS NOT NULL)
 ), c AS (
   SELECT conv_id, conv_id - conv_id % {prefixes.FAMILY} AS base, {_crc_sql('conv_id::VARCHAR')} % {prefixes.MAX_SHARED} AS h

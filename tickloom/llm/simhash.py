@@ -187,6 +187,6 @@ def first_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTA
     without a doc_id cannot be told apart and all stay.
     """
     found = near_duplicates(docs.filter("doc_id IS NOT NULL"), shingle, distance)
-    kept = found.filter("doc_id = component_id").select(F.col("doc_id").alias("__kept"))
-    named = docs.join(kept, F.col("doc_id") == F.col("__kept"), "left_semi").dropDuplicates(["doc_id"])
+    kept = found.filter("doc_id = component_id").select("doc_id")
+    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return named.unionByName(docs.filter("doc_id IS NULL"))
