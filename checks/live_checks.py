@@ -14,7 +14,7 @@ from tickloom.operators import instruments as ins
 from tickloom.schemas import INDICATORS, LIVE_TIMEFRAMES
 from tickloom.session import work_folder
 from tickloom.sources import adapters as ad
-from tickloom.streaming import cascade, live
+from tickloom.streaming import cascade, cross, live
 
 CHECKS = Checks()
 check = CHECKS.add
@@ -414,6 +414,38 @@ def _findings(spark, sf):
     return live.live_findings(cd.ohlcv(ad.trades(spark, sf), "15m"), "15m")
 
 
+_CROSS = """
+o AS (SELECT *, CASE WHEN extract(hour FROM "timestamp") = 5 THEN high * 1.01 ELSE high END AS high2 FROM candles WHERE extract(hour FROM "timestamp") <> 7),
+l AS (SELECT * FROM candles WHERE extract(hour FROM "timestamp") <> 9),
+mark AS (SELECT least((SELECT max("timestamp") FROM l), (SELECT max("timestamp") FROM o)) - INTERVAL 2 HOUR AS t),
+j AS (SELECT coalesce(l.instrument_key, o.instrument_key) AS instrument_key, coalesce(l."timestamp", o."timestamp") AS "timestamp",
+        l."timestamp" AS lt, o."timestamp" AS ot, l.high AS lh, o.high2 AS oh
+      FROM l FULL OUTER JOIN o ON l.instrument_key = o.instrument_key AND l."timestamp" = o."timestamp"),
+k AS (SELECT j.*, extract(hour FROM "timestamp") AS hr FROM j, mark WHERE (lt IS NOT NULL AND ot IS NOT NULL) OR "timestamp" <= mark.t),
+f AS (SELECT instrument_key, 'both' AS source, 'cross_source' AS test_name, CASE WHEN lt IS NULL OR ot IS NULL OR abs(lh - oh) > 1e-4 * greatest(abs(lh), abs(oh)) THEN 'FAIL' ELSE 'PASS' END AS status FROM k
+  UNION ALL SELECT instrument_key, 'live', 'freshness', 'PASS' FROM k WHERE lt IS NOT NULL
+  UNION ALL SELECT instrument_key, 'live', 'utc', 'PASS' FROM k WHERE lt IS NOT NULL
+  UNION ALL SELECT instrument_key, 'other', 'freshness', CASE WHEN hr = 11 THEN 'WARN' ELSE 'PASS' END FROM k WHERE ot IS NOT NULL
+  UNION ALL SELECT instrument_key, 'other', 'utc', CASE WHEN hr = 13 THEN 'FAIL' ELSE 'PASS' END FROM k WHERE ot IS NOT NULL)"""
+
+
+@check("k11_second_source", fx.with_(fx.TRADES, fx.candles(900), _CROSS) + """
+SELECT instrument_key, source, test_name, count(*) AS candles, count(*) FILTER (WHERE status IN ('FAIL', 'WARN')) AS problems,
+  CASE WHEN bool_or(status = 'FAIL') THEN 'FAIL' WHEN bool_or(status = 'WARN') THEN 'WARN' ELSE 'PASS' END AS status
+FROM f GROUP BY 1, 2, 3""")
+def _second_source(spark, sf):
+    """Two streams of candles. The second lacks an hour of each day, has wrong highs in one, is late in one and two hours ahead in one; the first lacks one."""
+    stored, out = work_folder(spark, "k11-in"), work_folder(spark, "k11")
+    cd.ohlcv(ad.trades(spark, sf), "15m").write.parquet(stored)
+    stream = spark.readStream.schema(spark.read.parquet(stored).schema).parquet(stored)
+    hour, end = F.hour("timestamp"), F.col("timestamp") + F.expr("INTERVAL 15 MINUTES")
+    first = stream.where(hour != 9).withColumn("received", end + F.expr("INTERVAL 2 SECONDS"))
+    late = F.when(hour == 11, end + F.expr("INTERVAL 20 MINUTES")).when(hour == 13, end - F.expr("INTERVAL 2 HOURS")).otherwise(end)
+    second = stream.where(hour != 7).withColumn("high", F.when(hour == 5, F.col("high") * 1.01).otherwise(F.col("high"))).withColumn("received", late)
+    _run(spark, cross.against_second_source(first, second, "15m", "2 hours"), live.keep_updates(out), "append", "k11")
+    return cross.by_source(spark.read.parquet(out))
+
+
 @check("k12_skips_after_failures", fx.with_(fx.TRADES) + """
 SELECT CAST(n AS BIGINT) AS batch, 'FAIL' AS overall, n >= 5 AS silent FROM (SELECT unnest(range(0, 7)) AS n)
 WHERE (SELECT count(*) FROM trades) > 0""")

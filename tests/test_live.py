@@ -7,11 +7,11 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from tests.test_candles import START, minute_candles, ticks
+from tests.test_candles import FIVE, START, minute_candles, ticks
 from tickloom.operators import candles, indicators
 from tickloom.schemas import INDICATORS, LIVE_TIMEFRAMES
 from tickloom.session import work_folder
-from tickloom.streaming import cascade, live
+from tickloom.streaming import cascade, cross, live
 
 
 def drop(folder, name, rows):
@@ -244,3 +244,51 @@ def test_a_repeated_batch_changes_nothing(spark):
     assert sum(r[0] == "1m" for b in range(4) for r in seen[b]) == 11
     with pytest.raises(ValueError):
         cascade.Cascade(f"{root}/state", [keep], ("15s", "1m"))(base, 7)
+
+
+def test_second_source_over_batches_and_a_restart(spark, tmp_path):
+    """A partner that comes a batch later is found, one that never comes is reported once its time has passed."""
+    schema = "instrument_key string, timestamp timestamp, open double, high double, low double, close double, volume double, received timestamp"
+    out = work_folder(spark, "t-cross")
+
+    def add(side, name, minutes, close=1.0, delay=62, shift=0):
+        at = [START + dt.timedelta(minutes=m) for m in minutes]
+        rows = [("A", t + dt.timedelta(seconds=shift), 1.0, 2.0, 0.5, close, 3.0, t + dt.timedelta(seconds=delay)) for t in at]
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / side / name))
+
+    def go():
+        sides = [spark.readStream.schema(schema).parquet(str(tmp_path / side / "*")) for side in ("a", "b")]
+        run(cross.against_second_source(*sides, "1m", "5 minutes"), live.keep_updates(out), str(tmp_path / "cp"), "append")
+
+    add("a", "1", [0, 1, 2])
+    add("b", "1", [0])
+    go()
+    add("b", "2", [1], close=1.1)
+    add("a", "2", [3], delay=1000)
+    add("b", "3", [3], delay=-7200)
+    go()
+    add("a", "3", [30])
+    add("b", "4", [30], shift=7)
+    add("a", "4", [31, 40])
+    add("b", "5", [31, 40])
+    go()
+    found = {(r.timestamp - START, r.source, r.test_name): (r.status, r.detail) for r in spark.read.parquet(out).collect()}
+    minute = dt.timedelta(minutes=1)
+    assert [found[minute * m, "both", "cross_source"] for m in (0, 1, 2, 3)] == [
+        ("PASS", None), ("FAIL", "close"), ("FAIL", "other: missing"), ("PASS", None)]
+    assert found[minute * 3, "live", "freshness"][0] == "WARN" and found[minute * 3, "live", "utc"][0] == "PASS"
+    assert found[minute * 3, "other", "utc"][0] == "FAIL" and found[minute * 3, "other", "freshness"][0] == "PASS"
+    shifted = minute * 30 + dt.timedelta(seconds=7)
+    assert found[shifted, "both", "cross_source"] == ("FAIL", "live: missing") and found[shifted, "other", "utc"][0] == "FAIL"
+    assert found[minute * 30, "both", "cross_source"] == ("FAIL", "other: missing") and found[minute * 40, "both", "cross_source"] == ("PASS", None)
+
+
+def test_second_source_of_batches(spark):
+    """Without arrival times, with nulls and with nothing on one side."""
+    a = minute_candles(spark, FIVE[:2]).withColumn("open", F.lit(None).cast("double"))
+    got = cross.by_source(cross.against_second_source(a, a.withColumn("volume", F.col("volume") * 2), "1m")).collect()
+    assert {(r.source, r.test_name): (r.candles, r.problems, r.status) for r in got} == {
+        ("both", "cross_source"): (2, 2, "FAIL"), ("live", "freshness"): (2, 0, "SKIP"), ("live", "utc"): (2, 0, "SKIP"),
+        ("other", "freshness"): (2, 0, "SKIP"), ("other", "utc"): (2, 0, "SKIP")}
+    alone = cross.against_second_source(a, a.limit(0), "1m").where("test_name = 'cross_source'").collect()
+    assert [(r.status, r.detail) for r in alone] == [("FAIL", "other: missing")] * 2
