@@ -269,12 +269,13 @@ def _oi_change(spark, sf):
         F.col("open_interest") - F.col("prev_open_interest")).alias("oi_change")))
 
 
-@check("e8_options_features_24h", fx.with_(fx.OPTIONS, """
+def options_ctes(seconds: int, source: str = "chain") -> tuple[str, ...]:
+    return (f"""
 latest AS (
-  SELECT underlying_index, time_bucket(INTERVAL 1 DAY, "timestamp", TIMESTAMP '1970-01-01') AS b, type, strike_price, expiration,
+  SELECT underlying_index, time_bucket(INTERVAL {seconds} SECONDS, "timestamp", TIMESTAMP '1970-01-01') AS b, type, strike_price, expiration,
     arg_max_null(delta, row("timestamp", local_timestamp, id)) AS delta,
     arg_max_null(mark_iv, row("timestamp", local_timestamp, id)) AS mark_iv
-  FROM chain GROUP BY ALL HAVING expiration >= b
+  FROM {source} GROUP BY ALL HAVING expiration >= b
 )""", """
 near AS (SELECT * FROM latest QUALIFY expiration = min(expiration) OVER (PARTITION BY underlying_index, b))""", """
 g AS (
@@ -283,7 +284,10 @@ g AS (
     arg_min(mark_iv, row(round(abs(abs(delta) - 0.25), 9), strike_price, type)) FILTER (WHERE type = 'call') AS call_iv,
     arg_min(mark_iv, row(round(abs(abs(delta) - 0.5), 9), strike_price, type)) AS atm_mark_iv
   FROM near GROUP BY ALL
-)""") + """
+)""")
+
+
+@check("e8_options_features_24h", fx.with_(fx.OPTIONS, *options_ctes(86400)) + """
 SELECT underlying_index, "timestamp", expiration, round(CASE WHEN call_iv <> 0 THEN put_iv / call_iv END, 6) AS skew_25d_put_call_ratio,
   round(atm_mark_iv, 6) AS atm_mark_iv FROM g""")
 def _options(spark, sf):

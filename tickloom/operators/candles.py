@@ -135,6 +135,25 @@ def fill_grid(candles: DataFrame, timeframe: str, keys: Sequence[str] = KEYS, da
     return joined.select(*columns)
 
 
+def fill_grids(
+    candles: DataFrame, timeframes: Sequence[str], days: DataFrame, keys: Sequence[str] = KEYS, zero: Sequence[str] = ("volume", "trade_count")
+) -> DataFrame:
+    """As :func:`fill_grid` for several timeframes, with one join.
+
+    ``days`` lists the (key, day) pairs to cover. Candles outside of these stay
+    as they are. Of an added interval the ``zero`` columns are 0, the rest NULL.
+    """
+    pairs = days.select(*keys, "day").distinct()
+    steps = None
+    for timeframe in timeframes:
+        one = tg.day_grid(pairs, timeframe).drop("day").withColumn("timeframe", F.lit(timeframe))
+        steps = one if steps is None else steps.unionByName(one)
+    joined = candles.join(steps, [*keys, "timeframe", "timestamp"], "full_outer")
+    fill = {c: F.coalesce(c, F.lit(0).cast(candles.schema[c].dataType)).alias(c) for c in zero if c in candles.columns}
+    fill["timestamp_out"] = F.coalesce("timestamp_out", tg.emission_time(F.lit(None).cast("timestamp"), F.col("timestamp"))).alias("timestamp_out")
+    return joined.select(*[fill.get(c, F.col(c)) for c in candles.columns])
+
+
 def describe(candles: DataFrame) -> DataFrame:
     """Add latency, change and colour of each candle."""
     change = F.col("close") - F.col("open")

@@ -134,25 +134,37 @@ def coverage_pct(by_day: DataFrame) -> DataFrame:
 
 # -- groups of instruments on one underlying ------------------------------------------
 
-def underlying_groups(instruments: DataFrame, available: DataFrame, data_types: Sequence[str]) -> DataFrame:
+def underlying_groups(
+    instruments: DataFrame, available: DataFrame, data_types: Sequence[str], per: Sequence[str] = ()
+) -> DataFrame:
     """Every instrument with its underlying and whether the whole group is complete.
 
     A group counts only if each of its instruments has each data type. With no
     available data every group fails. Groups are reduced to one flag before the
-    join back, so a large group is never collected.
+    join back, so a large group is never collected. ``per`` names columns of both
+    sides, such as the day, by which groups are judged apart.
     """
     rows = instruments.select(
         k.underlying(F.col("instrument_type"), F.col("base_asset"), F.col("underlying")).alias("underlying"),
-        "instrument_key", "instrument_type",
+        *per, "instrument_key", "instrument_type",
     ).where(F.col("underlying").isNotNull() & (F.col("underlying") != "")).distinct()
     have = (
         available.where(F.col("data_type").isin(*data_types))
-        .groupBy("instrument_key").agg(F.count_distinct("data_type").alias("_types"))
+        .groupBy(*per, "instrument_key").agg(F.count_distinct("data_type").alias("_types"))
     )
     complete = F.coalesce(F.col("_types"), F.lit(0)) == len(set(data_types))
-    checked = rows.join(have, "instrument_key", "left").withColumn("complete", complete).drop("_types")
-    groups = checked.groupBy("underlying").agg(F.bool_and("complete").alias("group_valid"))
-    return checked.join(groups, "underlying")
+    checked = rows.join(have, [*per, "instrument_key"], "left").withColumn("complete", complete).drop("_types")
+    groups = checked.groupBy(*per, "underlying").agg(F.bool_and("complete").alias("group_valid"))
+    return checked.join(groups, [*per, "underlying"])
+
+
+def eligible_days(
+    instruments: DataFrame, available: DataFrame, start: str, end: str, data_types: Sequence[str],
+    instrument_types: Sequence[str] | None = None,
+) -> DataFrame:
+    """(day, instrument) pairs whose whole group is complete on that day, of the instruments that live on it."""
+    groups = underlying_groups(daily(instruments, start, end), available, data_types, per=["day"])
+    return eligible(groups, instrument_types).select("day", "instrument_key").distinct()
 
 
 def eligible(groups: DataFrame, instrument_types: Sequence[str] | None = None) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tickloom.functions import timegrid as tg
 from tickloom.operators.candles import KEYS, Timeframes, candle_aggregates, interval_frame, rollup, series_keys, stamp
 from tickloom.operators.series import with_previous
-from tickloom.schemas import DERIVATIVE_FEATURES, LIQUIDATION_FEATURES, ROLLUP_TIMEFRAMES
+from tickloom.schemas import DERIVATIVE_FEATURES, LIQUIDATION_FEATURES, OPTION_FEATURES, ROLLUP_TIMEFRAMES
 
 
 def _volume(side: str) -> Column:
@@ -74,21 +74,27 @@ def oi_features(frame: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     }).drop("prev_open_interest")
 
 
-def options_features(chain: DataFrame, timeframe: str) -> DataFrame:
+def options_features(chain: DataFrame, timeframe: Timeframes) -> DataFrame:
     """25-delta put/call ratio and at-the-money level of mark volatility.
 
     Per underlying and interval: the latest quote of each contract, the nearest
     expiry after the interval start, then the contract whose absolute delta is
     closest (ties to the lower strike). Three aggregations, each narrower than
-    the one before; no list is collected.
+    the one before; no list is collected. Several timeframes take one scan and
+    add a ``timeframe`` column.
     """
-    bucket = ["underlying_index", "timestamp"]
-    order = F.struct("timestamp", "local_timestamp", "id")
+    series = series_keys(timeframe, ["underlying_index"])
+    bucket = [*series, "timestamp"]
+    order = F.struct(*[c for c in ("timestamp", "local_timestamp", "id") if c in chain.columns])
+    if isinstance(timeframe, str):
+        start = tg.aligned("timestamp", timeframe)
+    else:
+        chain = chain.drop("timeframe").withColumn("timeframe", F.explode(F.array(*[F.lit(tf) for tf in timeframe])))
+        start = tg.aligned_by("timestamp", F.col("timeframe"))
     latest = (
-        chain.groupBy(
-            "underlying_index", tg.aligned("timestamp", timeframe).alias("_start"), "type", "strike_price", "expiration")
+        chain.groupBy(*series, start.alias("_start"), "type", "strike_price", "expiration")
         .agg(F.max_by(F.struct("delta", "mark_iv"), order).alias("q"))
-        .select("underlying_index", F.col("_start").alias("timestamp"), "type", "strike_price", "expiration",
+        .select(*series, F.col("_start").alias("timestamp"), "type", "strike_price", "expiration",
                 "q.delta", "q.mark_iv")
         .where(F.col("expiration") >= F.col("timestamp"))
     )
@@ -112,6 +118,19 @@ def options_features(chain: DataFrame, timeframe: str) -> DataFrame:
         F.try_divide("f.put_iv", "f.call_iv").alias("skew_25d_put_call_ratio"), "f.atm_mark_iv")
 
 
+def with_options(candles: DataFrame, chain: DataFrame, underlyings: DataFrame, timeframe: Timeframes) -> DataFrame:
+    """Add the option features of each instrument's underlying to its candles.
+
+    ``underlyings`` has one row (instrument_key, underlying_index) per instrument.
+    A candle without quotes in its interval has NULLs, as has an instrument
+    without an underlying.
+    """
+    found = options_features(chain, timeframe).select(*series_keys(timeframe, ["underlying_index"]), "timestamp", *OPTION_FEATURES)
+    named = candles.join(underlyings.select("instrument_key", "underlying_index"), "instrument_key", "left")
+    joined = named.join(found, [*series_keys(timeframe, ["underlying_index"]), "timestamp"], "left")
+    return joined.select(*candles.columns, *OPTION_FEATURES)
+
+
 def candles_with_features(
     trades: DataFrame,
     timeframe: Timeframes,
@@ -141,6 +160,11 @@ def candles_with_features(
     return base
 
 
+def last_values(columns: Sequence[str]) -> list[Column]:
+    """The value of the latest child that has one, per column."""
+    return [F.max_by(c, F.when(F.col(c).isNotNull(), F.col("timestamp"))).alias(c) for c in columns]
+
+
 def feature_rollup_aggregates(spec_delays: bool = False) -> list[Column]:
     """Aggregates of feature columns over child candles.
 
@@ -160,10 +184,7 @@ def feature_rollup_aggregates(spec_delays: bool = False) -> list[Column]:
             out.append(F.min(c).alias(c))
         else:
             out.append(F.median(c).alias(c))
-    out += [
-        F.max_by(c, F.when(F.col(c).isNotNull(), F.col("timestamp"))).alias(c) for c in DERIVATIVE_FEATURES
-    ]
-    return out
+    return out + last_values(DERIVATIVE_FEATURES)
 
 
 def rollup_features(
@@ -171,6 +192,8 @@ def rollup_features(
     timeframes: Sequence[str] = ROLLUP_TIMEFRAMES,
     keys: Sequence[str] = KEYS,
     spec_delays: bool = False,
+    skip_empty: bool = False,
 ) -> DataFrame:
-    """Candles and features of all longer timeframes, in one pass."""
-    return rollup(candles, tuple(timeframes), keys, extra=feature_rollup_aggregates(spec_delays))
+    """Candles and features of all longer timeframes, in one pass; option features, where there are any, by their last value."""
+    options = last_values([c for c in OPTION_FEATURES if c in candles.columns])
+    return rollup(candles, tuple(timeframes), keys, skip_empty, [*feature_rollup_aggregates(spec_delays), *options])

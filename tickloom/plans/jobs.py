@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.operators import book, candles, coverage, features, instruments, quality, reconcile
-from tickloom.schemas import BASE_TIMEFRAMES, ROLLUP_TIMEFRAMES
+from tickloom.schemas import BASE_TIMEFRAMES, LIQUIDATION_FEATURES, OPTION_FEATURES, ROLLUP_TIMEFRAMES
 from tickloom.sinks import tables, warehouse
 from tickloom.sources import readers
 
@@ -91,9 +91,21 @@ def candle_job(
     base_timeframes: Sequence[str] = BASE_TIMEFRAMES,
     rollups: Sequence[str] = ROLLUP_TIMEFRAMES,
     days: tuple[str, str] | None = None,
+    grid: bool = False,
+    chain: DataFrame | None = None,
+    underlyings: DataFrame | None = None,
 ) -> DataFrame:
     """Base candles with features, rollups of the finest one-minute level, book rows.
 
+    ``eligible`` lists the instruments to work on, or (day, instrument) pairs as
+    :func:`coverage.eligible_days` gives them; ticks of others are left out before
+    any shuffle of theirs. With ``grid`` every interval of a covered day has a candle:
+    covered are the pairs of ``eligible``, or the days on which an instrument has a
+    tick where that has no day. Empty intervals have NULL prices and zero volume;
+    longer candles then open and close with their first and last children that have
+    trades. ``chain`` with ``underlyings`` (instrument_key, underlying_index) adds the
+    option features of the interval; longer candles keep the last value.
+
     Ticks of each kind are scanned once for all base timeframes. Base candles are
     written first and read back for the rollups: the stored table cuts the
     lineage, so a lost executor costs a re-read and not the ticks. Book rows of
@@ -108,15 +120,41 @@ def candle_job(
     def only(df: DataFrame | None) -> DataFrame | None:
         if df is None or eligible is None:
             return df
-        return df.join(eligible.select("instrument_key").distinct(), "instrument_key", "left_semi")
-
+        if "day" not in eligible.columns:
+            return df.join(eligible.select("instrument_key").distinct(), "instrument_key", "left_semi")
+        dated = df.withColumn("_day", F.to_date("timestamp"))
+        pairs = eligible.select(F.col("day").alias("_day"), "instrument_key").distinct()
+        return dated.join(pairs, ["_day", "instrument_key"], "left_semi").drop("_day")
+
+    def covered() -> DataFrame:
+        if eligible is not None and "day" in eligible.columns:
+            return in_range(eligible.select("instrument_key", "day"))
+        kinds = [only(df).select("instrument_key", F.to_date("timestamp").alias("day")) for df in (trades, liquidations, ticker) if df is not None]
+        pairs = kinds[0]
+        for kind in kinds[1:]:
+            pairs = pairs.unionByName(kind)
+        return pairs.distinct()
+
+    if (chain is None) != (underlyings is None):
+        raise ValueError("an options chain needs the underlyings of the instruments, and these a chain")
     path = f"{root}/candles"
     base_frame = features.candles_with_features(only(trades), tuple(base_timeframes), only(liquidations), only(ticker))
+    if grid:
+        base_frame = candles.fill_grids(
+            base_frame, base_timeframes, covered(), zero=("volume", "trade_count", "buy_volume_sum", "sell_volume_sum", *LIQUIDATION_FEATURES))
+    if chain is not None:
+        base_frame = features.with_options(base_frame, chain, underlyings, tuple(base_timeframes))
     tables.write_candles(base_frame, path, days=days, timeframes=base_timeframes)
     if rollups:
-        base = in_range(spark.read.parquet(path)).where(F.col("timeframe") == base_timeframes[-1]).drop("day")
+        # The columns of this run, whatever older files hold.
+        schema = T.StructType([*base_frame.schema.fields, T.StructField("day", T.DateType())])
+        base = in_range(spark.read.schema(schema).parquet(path)).where(F.col("timeframe") == base_timeframes[-1]).drop("day")
         full = liquidations is not None and ticker is not None
-        rolled = features.rollup_features(base, rollups) if full else candles.rollup_all(base, rollups)
+        if full:
+            rolled = features.rollup_features(base, rollups, skip_empty=grid)
+        else:
+            options = features.last_values(OPTION_FEATURES if chain is not None else ())
+            rolled = candles.rollup(base, tuple(rollups), skip_empty=grid, extra=options)
         tables.write_candles(rolled, path, days=days, timeframes=rollups)
     if books is not None:
         finest, *longer = (*base_timeframes, *rollups)

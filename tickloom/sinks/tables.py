@@ -53,7 +53,7 @@ def write_sorted(df: DataFrame, path: str, partitions: Sequence[str], order: Seq
     _write(arranged, path, partitions, mode)
 
 
-def _files(spark: SparkSession, path: str, partitions: Sequence[str], where: Column) -> dict[str, tuple]:
+def files_of(spark: SparkSession, path: str, partitions: Sequence[str], where: Column) -> dict[str, tuple]:
     """The files of the partitions chosen by ``where`` with their values; none where the table is not there yet.
 
     A listing of folders: no file is opened.
@@ -70,6 +70,17 @@ def _files(spark: SparkSession, path: str, partitions: Sequence[str], where: Col
     return {r["path"]: tuple(str(r[c]) for c in partitions) for r in rows}
 
 
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether a table is there and has a file; no file is opened."""
+    try:
+        return bool(spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+                    .load(path).select("path").take(1))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+
+
 def replace_partitions(df: DataFrame, path: str, partitions: Sequence[str], order: Sequence[str], where: Column) -> None:
     """Write ``df`` in place of all stored partitions chosen by ``where``, those it has no row of too.
 
@@ -79,9 +90,9 @@ def replace_partitions(df: DataFrame, path: str, partitions: Sequence[str], orde
     outside it are not touched.
     """
     spark = df.sparkSession
-    before = _files(spark, path, partitions, where)
+    before = files_of(spark, path, partitions, where)
     write_sorted(df.where(where), path, partitions, order)
-    after = _files(spark, path, partitions, where)
+    after = files_of(spark, path, partitions, where)
     none = spark.createDataFrame([], df.schema).drop(*partitions)
     for values in sorted({after[f] for f in after if f in before}):
         _write(none, "/".join([path, *(f"{c}={v}" for c, v in zip(partitions, values))]), (), "overwrite")
