@@ -217,8 +217,9 @@ def job_totals(results: DataFrame) -> DataFrame:
 
 
 def recent(frame: DataFrame, where: Column, n: int, time: str = "timestamp") -> DataFrame:
-    """The latest ``n`` rows that satisfy ``where``."""
-    return frame.where(where).orderBy(F.col(time).desc()).limit(n)
+    """The latest ``n`` rows that satisfy ``where``; of equal times those that come first by key, then by the other columns."""
+    ties = [c for c in dict.fromkeys(["instrument_key", *frame.columns]) if c in frame.columns and c != time]
+    return frame.where(where).orderBy(F.col(time).desc(), *ties).limit(n)
 
 
 def signature(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
