@@ -179,6 +179,16 @@ def test_bursts_are_cut_by_rank(spark, split):
     assert [r.n for r in sorted(numbers, key=lambda r: r._rn)] == order and sorted(r._rn for r in numbers) == list(range(1, 20_003))
 
 
+def test_small_pieces_take_no_task_each(spark):
+    """2,000 ticks of one instant in pieces of 10: their ranges follow the session's tasks, not the pieces."""
+    t = ticks(spark, [(60, float(i), 1.0) for i in range(2000)]).withColumn("n", F.col("id").cast("int"))
+    marked = time_blocks(t, ["instrument_key"], "timestamp", 60, 10, ["n"])
+    pieces = {r["_piece"]: r["count"] for r in marked.groupBy("_piece").count().collect()}
+    assert len(pieces) >= 200 and max(pieces.values()) <= 10
+    # A range numbers its rows from 2**33 times its own number.
+    assert len({(piece - 1) * 10 >> 33 for piece in pieces}) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_rows_without_time_are_counted(spark):
     t = ticks(spark, [(1, 1.0, 1.0), (2, 1.0, 1.0)])
     none = t.withColumn("timestamp", F.lit(None).cast("timestamp")).unionByName(t.withColumn("instrument_key", F.lit(None).cast("string")))

@@ -23,6 +23,9 @@ from pyspark.sql import functions as F
 from tickloom.functions.timegrid import bucket_micros
 from tickloom.session import work_folder
 
+#: Rows of a range of busy blocks, once there are more than the session's shuffle partitions take.
+RANGE_ROWS = 2_000_000
+
 
 def time_blocks(
     df: DataFrame, keys: Sequence[str], time: str, block_seconds: int, split_rows: int | None = None, ties: Sequence[str] = (),
@@ -34,7 +37,8 @@ def time_blocks(
     that many rows at most, so that no burst becomes one task, be it in one instant:
     the rows of all busy blocks are range-partitioned in their order (time, then
     ``ties``), counted inside each partition and written to the shared work folder,
-    which fixes their pieces. Pieces follow the order. Without busy blocks, which one
+    which fixes their pieces. A range holds many pieces: the number of tasks does not
+    follow ``split_rows``. Pieces follow the order. Without busy blocks, which one
     aggregation finds out at once, nothing is written. It counts the rows of
     ``counted``, if given: a frame that ``df`` was made of and that costs less to read.
 
@@ -60,7 +64,8 @@ def time_blocks(
     blocks = spark.read.parquet(listed)
     hot = marked.join(blocks, [*keys, "_block"], "left_semi")
     # A row that no tie tells apart still falls into some range: equal rows may be cut anywhere.
-    dealt = hot.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(-(-rows // split_rows), *order, "_row")
+    ranges = min(-(-rows // split_rows), max(int(spark.conf.get("spark.sql.shuffle.partitions")), rows // RANGE_ROWS))
+    dealt = hot.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(ranges, *order, "_row")
     # In a sorted partition these numbers count its rows, from a start of the partition's own.
     cut = dealt.sortWithinPartitions(*order, "_row").withColumn("_piece", 1 + F.floor(F.monotonically_increasing_id() / split_rows)).drop("_row")
     cut.write.parquet(f"{folder}/rows")
