@@ -22,8 +22,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similarity 0.8 or more): that with the smallest doc_id.
 
-    64-bit SimHash misses pairs near 0.8, so minima of the shingles' hashes name the
-    candidates. Equal rows leave one, rows without doc_id stay, no row gives no row.
+    SimHash links name candidates, and as 64 bits miss pairs near 0.8, minima of the
+    shingles' hashes name more; an exact comparison decides. Equal rows leave one, rows
+    without doc_id stay, no row gives no row.
     """
     return similar.first_of_each(docs)
 

@@ -178,6 +178,17 @@ def test_similar_against_brute_force(spark, sf, texts):
         assert sorted(r["doc_id"] for r in similar.first_of_each(docs, run_shingles=run_shingles).collect()) == sorted(set(groups.values()))
 
 
+def test_similar_takes_simhash_candidates(spark, monkeypatch):
+    """Without any key of minima the links of SimHash alone bring near copies together, and the exact comparison still decides."""
+    monkeypatch.setattr(similar, "band_keys", lambda found: np.empty(0, np.uint64))
+    words = [f"w{i}" for i in range(400)]
+    texts = {1: words, 2: [*words[:-1], "end"], 3: words[:200] * 2, 4: [f"v{i}" for i in range(400)]}
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string")
+    near = np.bitwise_count(np.uint64(simhash.fingerprint(" ".join(words).encode()) ^ simhash.fingerprint(" ".join(texts[2]).encode())))
+    assert near <= simhash.DISTANCE
+    assert sorted(r.doc_id for r in similar.first_of_each(docs).collect()) == [1, 3, 4]
+
+
 def test_similar_edges(spark):
     docs = spark.createDataFrame(EDGES + [(9, "THE  end", "x", 1, "k"), (7, "a b c", "x", 1, "k"), (7, "not of it at all", "x", 1, "k")], SCHEMA)
     kept = similar.first_of_each(docs)

@@ -1,8 +1,10 @@
 """Near copies by the Jaccard similarity of their word shingles: every pair at a least similarity links.
 
-Method: documents that agree in one of ``BANDS`` keys, each made of ``ROWS`` minima of
-the shingles' hashes, are candidates; a pair at similarity s is missed with
-probability (1 - s**ROWS)**BANDS, 5e-7 at 0.8. Groups of candidates are brought
+Method: documents whose SimHash fingerprints link (see ``simhash``) are candidates, and
+as these miss pairs near the least similarity, so are those that agree in one of
+``BANDS`` keys, each made of ``ROWS`` minima of the shingles' hashes; a pair at
+similarity s is missed by the minima with probability (1 - s**ROWS)**BANDS, 5e-7 at
+0.8. Groups of candidates are brought
 together and compared shingle by shingle, so that a link is exact. In a group one
 text is compared with all that are not yet linked, so a dense group gives a tree of
 links and not all its pairs.
@@ -17,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm import simhash
 from tickloom.llm.common import components, each, mixed, stored, tasks, text_bytes, window_hashes, word_hashes
 
 SHINGLE, LEAST = 5, 0.8
@@ -77,9 +80,15 @@ def link_run(sets: list[np.ndarray], least: float = LEAST) -> list[tuple[int, in
     return links
 
 
+def simhash_keys(nodes: DataFrame) -> DataFrame:
+    """One key per node: its group of fingerprints ``fp`` that hang together by SimHash links."""
+    groups = components(simhash.links(nodes.select("fp").distinct())).withColumnRenamed("node", "fp")
+    return nodes.join(groups, "fp", "left").select("node", F.xxhash64(F.lit("simhash"), F.coalesce("root", "fp")).alias("key"))
+
+
 def _candidates(nodes: DataFrame) -> DataFrame:
-    """``node`` and ``root`` of the groups that hang together by common keys."""
-    keyed = nodes.select("node", F.explode("keys").alias("key"))
+    """``node`` and ``root`` of the groups that hang together by common keys, of SimHash and of minima."""
+    keyed = simhash_keys(nodes).unionByName(nodes.select("node", F.explode("keys").alias("key")))
     shared = keyed.groupBy("key").agg(F.min("node").alias("b"), F.max("node").alias("last")).filter("b <> last").select("key", "b")
     return components(keyed.join(shared, "key").filter("node <> b").select(F.col("node").alias("a"), "b").distinct())
 
@@ -130,22 +139,25 @@ def first_of_each(docs: DataFrame, width: int = SHINGLE, least: float = LEAST, r
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, sizes, keys = [], [], []
+            names, sizes, keys, prints = [], [], [], []
             for text in each(batch.column("text")):
                 found = shingles(text, width)
+                prints.append(simhash.fingerprint(text))
                 names.append(_node(found))
                 sizes.append(len(found))
                 keys.append(band_keys(found).view(np.int64))
             ends = np.cumsum([0, *map(len, keys)])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("__row"), pa.array(np.array(names, np.uint64).view(np.int64)), pa.array(sizes, pa.int64()),
+                 pa.array(np.array(prints, np.uint64).view(np.int64)),
                  pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.empty(0, np.int64), *keys])))],
-                ["doc_id", "row", "node", "size", "keys"])
+                ["doc_id", "row", "node", "size", "fp", "keys"])
 
     rows = named.select(F.col("doc_id").cast("long"), "__row", text_bytes().alias("text")).mapInArrow(
-        run, "doc_id long, row long, node long, size long, keys array<long>")
+        run, "doc_id long, row long, node long, size long, fp long, keys array<long>")
     nodes = stored(rows.groupBy("node").agg(
-        F.min(F.struct("doc_id", "row")).alias("least"), F.first("size").alias("size"), F.first("keys").alias("keys")), "shingle-sets")
+        F.min(F.struct("doc_id", "row")).alias("least"), F.first("size").alias("size"), F.min("fp").alias("fp"),
+        F.first("keys").alias("keys")), "shingle-sets")
     near = _candidates(nodes).join(nodes.select("node", "size", F.col("least.row").alias("__row")), "node")
     roots = components(_links(named.select("__row", text_bytes().alias("text")).join(near, "__row"), width, least, run_shingles))
     labelled = nodes.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
