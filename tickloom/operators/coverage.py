@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions import keys as k
 from tickloom.operators import selection
-from tickloom.operators.instruments import daily
+from tickloom.operators.instruments import daily, dealt, windowed
 
 TRIPLE = ("day", "instrument_key", "data_type")
 
@@ -19,42 +19,59 @@ def expected_days(instruments: DataFrame, start: str, end: str) -> DataFrame:
     return daily(instruments, start, end).select("day", "instrument_key").distinct()
 
 
-def expected_types(
+def type_ranges(
     instruments: DataFrame, start: str, end: str, data_types: Sequence[str] | None = None
 ) -> DataFrame:
-    """(day, instrument, data type) triples that should have data.
+    """Ranges of days (``first_day``, ``last_day``) on which an instrument should have a data type.
 
-    Types are read from the definition's list; ``data_types`` narrows them
-    before days are generated.
+    Types are read from the definition's list; ``data_types`` narrows them. Equal and
+    overlapping windows become one range, so each day of a key and type lies in one.
     """
     typed = instruments.withColumn("data_type", F.explode(F.split("data_types", ","))).withColumn(
         "data_type", F.trim("data_type"))
     if data_types:
         typed = typed.where(F.col("data_type").isin(*data_types))
-    return daily(typed, start, end).select(*TRIPLE).distinct()
+    windows = windowed(typed, start, end).select("instrument_key", "data_type", "first_day", "last_day").distinct()
+    order = Window.partitionBy("instrument_key", "data_type").orderBy("first_day", "last_day")
+    before = F.max("last_day").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    number = F.sum(F.when(F.col("first_day") <= F.date_add("_before", 1), 0).otherwise(1)).over(order)
+    runs = windows.withColumn("_before", before).withColumn("_run", number)
+    return runs.groupBy("instrument_key", "data_type", "_run").agg(
+        F.min("first_day").alias("first_day"), F.max("last_day").alias("last_day")).drop("_run")
+
+
+def expected_types(
+    instruments: DataFrame, start: str, end: str, data_types: Sequence[str] | None = None
+) -> DataFrame:
+    """(day, instrument, data type) triples that should have data: the days of :func:`type_ranges`, each once."""
+    ranges = dealt(type_ranges(instruments, start, end, data_types))
+    return ranges.select(F.explode(F.sequence("first_day", "last_day")).alias("day"), "instrument_key", "data_type")
 
 
 def missing_days(expected: DataFrame, available: DataFrame) -> DataFrame:
     found = available.select("day", "instrument_key").distinct()
-    return expected.join(found, ["day", "instrument_key"], "left_anti").withColumns({
+    return expected.join(found.hint("merge"), ["day", "instrument_key"], "left_anti").withColumns({
         "status": F.lit("missing"), "expected": F.lit(True), "available": F.lit(False)})
 
 
 def missing_types(expected: DataFrame, available: DataFrame) -> DataFrame:
-    return expected.join(available.select(*TRIPLE).distinct(), list(TRIPLE), "left_anti").withColumns({
+    return expected.join(available.select(*TRIPLE).distinct().hint("merge"), list(TRIPLE), "left_anti").withColumns({
         "status": F.lit("missing"), "expected": F.lit(True), "available": F.lit(False)})
 
 
 def available_types(instruments: DataFrame, missing: DataFrame, start: str, end: str, data_types: Sequence[str]) -> DataFrame:
     """Each instrument and day with each of ``data_types``, less what is missing.
 
-    The types are generated per row; nothing is crossed.
+    The types are generated per row; nothing is crossed. Spark sizes rows made of
+    ranges by the definitions they come from and would send all that is missing to
+    the driver, so both sides are named for a merge.
     """
     rows = daily(instruments, start, end).select(
         "day", "instrument_key", "venue", "instrument_type", "base_asset", "quote_asset",
         F.explode(F.array(*[F.lit(t) for t in data_types])).alias("data_type"),
     )
-    return rows.join(missing.select(*TRIPLE).distinct(), list(TRIPLE), "left_anti")
+    gone = missing.where(F.col("data_type").isin(*data_types)).select(*TRIPLE).distinct()
+    return rows.join(gone.hint("merge"), list(TRIPLE), "left_anti")
 
 
 def missing_report(expected: DataFrame, missing: DataFrame) -> DataFrame:

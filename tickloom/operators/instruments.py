@@ -99,14 +99,29 @@ def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
     )
 
 
+def windowed(instruments: DataFrame, start: str, end: str) -> DataFrame:
+    """Definitions that live inside the range, with ``first_day`` and ``last_day`` of that."""
+    first = F.greatest(F.to_date(F.try_to_timestamp("available_from_datetime")), F.lit(start).cast("date"))
+    last = F.least(F.to_date(F.try_to_timestamp("available_to_datetime")), F.lit(end).cast("date"))
+    return instruments.withColumns({"first_day": first, "last_day": last}).where(F.col("first_day") <= F.col("last_day"))
+
+
+def dealt(ranges: DataFrame) -> DataFrame:
+    """Rows that are to become many, such as ranges of days, over all shuffle partitions.
+
+    A small file of definitions is one task, and Spark joins small partitions: without
+    this one task would write out all days.
+    """
+    return ranges.repartition(int(ranges.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def daily(instruments: DataFrame, start: str, end: str) -> DataFrame:
     """One row per instrument and day of its life inside the range.
 
     The days are generated from each row's own window; there is no cross join.
     """
-    first = F.greatest(F.to_date(F.try_to_timestamp("available_from_datetime")), F.lit(start).cast("date"))
-    last = F.least(F.to_date(F.try_to_timestamp("available_to_datetime")), F.lit(end).cast("date"))
-    return instruments.where(first <= last).withColumn("day", F.explode(F.sequence(first, last)))
+    ranges = dealt(windowed(instruments, start, end))
+    return ranges.withColumn("day", F.explode(F.sequence("first_day", "last_day"))).drop("first_day", "last_day")
 
 
 def merge_days(daily: DataFrame) -> DataFrame:
