@@ -393,7 +393,8 @@ def _sanity(spark, sf):
 m AS (SELECT instrument_key, CAST(rt AS DATE) AS day, time_bucket(INTERVAL 1 MINUTE, rt + INTERVAL 60 SECONDS, TIMESTAMP '1970-01-01') AS t
       FROM (SELECT *, local_timestamp + INTERVAL 200 MILLISECONDS AS rt FROM trades) GROUP BY ALL)""") + """
 SELECT instrument_key, day, count(*) AS candles, min(t) AS first_label, max(t) AS last_label,
-  CAST(count(*) FILTER (WHERE hour(t) = 0 AND minute(t) = 0) AS BIGINT) AS midnight_labels, FALSE AS valid FROM m GROUP BY ALL""")
+  CAST(count(*) FILTER (WHERE hour(t) = 0 AND minute(t) = 0) AS BIGINT) AS midnight_labels,
+  count(*) = 1440 AND minute(min(t)) = 1 AND minute(max(t)) = 0 AND count(*) FILTER (WHERE hour(t) = 0 AND minute(t) = 0) = 1 AS valid FROM m GROUP BY ALL""")
 def _day_shape(spark, sf):
     return quality.day_shape(candles.shifted(ad.trades(spark, sf)))
 
