@@ -500,10 +500,10 @@ def _instrument_table_job(spark, sf):
 
 
 @check("p2_ingest_job", fx.with_(fx.TRADES, """
-hourly AS (SELECT * REPLACE (date_trunc('hour', "timestamp") AS "timestamp") FROM trades)""", fx.candles(14400, source="hourly")) +
+hourly AS (SELECT * REPLACE (date_trunc('hour', "timestamp") AS "timestamp") FROM trades WHERE price > 0 AND amount > 0)""", fx.candles(14400, source="hourly")) +
        f"SELECT {CANDLE_SQL} FROM candles")
 def _ingest(spark, sf):
-    """Vendor CSV to the tick table to candles; many ticks share an instant, and the stored order number decides."""
+    """Vendor CSV to the valid rows of the tick table to candles; many ticks share an instant, and the stored order number decides."""
     ticks = ad.trades(spark, sf).withColumn("timestamp", F.date_trunc("hour", "timestamp"))
     raw = ticks.select("instrument_key", _micros("timestamp"), _micros("local_timestamp"), "id", "side", "price", "amount")
     path = _vendor_csv(spark, raw, "p2-csv")
