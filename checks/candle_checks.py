@@ -471,7 +471,7 @@ ind AS (
     CASE WHEN "close" > 0 THEN (high - low) / "close" END AS high_low_ratio,
     {_since(2, 'CASE WHEN "close" > 0 AND p1 > 0 THEN ln("close" / p1) END')} AS close_to_close_return,
     trade_count / {n}.0 AS trade_intensity, volume / trade_count AS avg_trade_size,
-    {_since(2, 'CASE WHEN volume - v1 > 0 THEN abs("close" - p1) / (volume - v1) END')} AS price_impact,
+    {_since(2, 'CASE WHEN volume - v1 > 1e-9 * volume THEN abs("close" - p1) / (volume - v1) END')} AS price_impact,
     high - low AS bid_ask_spread_proxy,
     CASE WHEN d = 0 THEN 100.0 ELSE 100 - 100 / (1 + g / d) END AS rsi_5,
     CASE WHEN sma_20 <> 0 AND price_volatility_10 <> 0

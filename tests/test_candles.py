@@ -155,6 +155,13 @@ def test_rsi_without_losses(spark):
     assert [r.rsi_5 for r in indicators.indicators(frame, "1m").orderBy("timestamp").collect()] == [None] * 5 + [100.0] * 3
 
 
+def test_volumes_equal_but_for_rounding_have_no_impact(spark):
+    frame = minute_candles(spark, [(c, c, c, c, v) for c, v in ((1.0, 0.1 + 0.2 + 0.3), (2.0, 0.3 + 0.2 + 0.1), (3.0, 0.1 + 0.2 + 0.3), (4.0, 1.0))]).withColumns(
+        {"vwap": F.col("close"), "trade_count": F.lit(1).cast("long")})
+    found = [r.price_impact for r in indicators.indicators(frame, "1m").orderBy("timestamp").collect()]
+    assert found[:3] == [None] * 3 and found[3] == pytest.approx(2.5)
+
+
 @pytest.mark.parametrize("split", [None, 3])
 def test_previous_row_over_blocks(spark, split):
     t = ticks(spark, [(s, float(i), 1.0) for i, s in enumerate([0, 1, 1, 2, 30, 31, 400, 4000, 4001, 4002])])

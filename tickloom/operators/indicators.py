@@ -31,6 +31,9 @@ AVERAGES = {"ema_5": ("close", 5), "ema_10": ("close", 10), "ema_20": ("close",
 REACH = 20
 CARRIED = ("timestamp", "high", "low", "close", "volume", "vwap", "trade_count", "row", *AVERAGES)
 
+#: Volumes that differ by less than this share are the same sum, added up in another order.
+SAME_VOLUME = 1e-9
+
 
 def indicators(
     candles: DataFrame,
@@ -132,7 +135,7 @@ def scored(
         "trade_intensity": F.col("trade_count") / length,
         "avg_trade_size": F.when(F.col("trade_count") > 0, volume / F.col("trade_count")),
         "price_impact": since(2, F.when(
-            (volume_change > 0) & (F.col("trade_count") > 0), F.abs(p[0] - p[1]) / volume_change)),
+            (volume_change > SAME_VOLUME * volume) & (F.col("trade_count") > 0), F.abs(p[0] - p[1]) / volume_change)),
         "bid_ask_spread_proxy": F.col("high") - F.col("low"),
         "rsi_5": F.when(F.col("_avg_loss") == 0, 100.0)
         .otherwise(100 - 100 / (1 + F.col("_avg_gain") / F.col("_avg_loss"))),
