@@ -156,3 +156,19 @@ def test_stages_take_empty_tables_and_nulls(spark, sf):
         for _, stage in corpus_pipeline.STAGES:
             docs = corpus_pipeline.stored(stage(spark, docs, sf), "test")
         assert {r["doc_id"] for r in docs.collect()} == ({None, 2} if start is frame else set())
+
+
+def test_word_table_grows_in_place():
+    """A batch of new words writes its own rows: the table is not copied for every batch, and earlier scores stay."""
+    model = language.Model(["a", "b"], np.random.default_rng(1).random((1 << language.BUCKET_BITS, 2)), np.ones((len(language.SCRIPT_NAMES), 2), bool))
+    model.prepare()
+    batches = [[f"{''.join(chr(97 + int(d)) for d in str(n))}x{chr(97 + k % 26)}".encode() for n in range(50 * k, 50 * k + 50)] for k in range(200)]
+    model.learn(set(batches[0]))
+    before, tables = model.read(batches[0])[0].copy(), set()
+    kept = []
+    for batch in batches:
+        model.learn(set(batch))
+        if id(model.table) not in tables:
+            tables.add(id(model.table))
+            kept.append(model.table)
+    assert len(kept) <= 3 and (model.read(batches[0])[0] == before).all() and len(model.read(batches[-1])[1]) == 50

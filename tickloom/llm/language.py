@@ -54,6 +54,11 @@ def script_of(letter: str) -> int:
     return int(_NUMBER[np.searchsorted(_FIRST, ord(letter), side="right") - 1])
 
 
+def scripts_of(letters: list[str]) -> np.ndarray:
+    """Script numbers of many letters."""
+    return _NUMBER[np.searchsorted(_FIRST, np.fromiter(map(ord, letters), np.int64, len(letters)), side="right") - 1]
+
+
 def letter_runs(word: bytes) -> list[str]:
     """The runs of letters of a word or text, in lower case."""
     return _RUNS.findall(word.decode("utf-8", "replace").lower())
@@ -69,8 +74,9 @@ class Model:
 
     def prepare(self) -> None:
         self.rows: dict[bytes, int] = {}
-        self.table = np.zeros((0, len(self.languages)))
-        self.letters = np.zeros(0, np.int64)
+        # Room for words to come: a batch writes its own rows and copies no others.
+        self.table = np.zeros((1 << 12, len(self.languages)))
+        self.letters = np.zeros(1 << 12, np.int64)
 
     def learn(self, words: set[bytes]) -> None:
         """Score all words that are not known yet, in one go."""
@@ -87,11 +93,15 @@ class Model:
             np.add.at(letters, owner, [len(r) for r in flat])
             for k in range(len(self.languages)):
                 scores[:, k] = np.bincount(owner[run], self.weights[buckets, k], len(new))
-            uses = self.uses[[script_of(r[0]) for r in flat]]
+            uses = self.uses[scripts_of([r[0] for r in flat])]
             np.add.at(scores, owner, -WRONG_SCRIPT * (uses.any(axis=1, keepdims=True) & ~uses))
-        first = len(self.letters)
-        self.table, self.letters = np.concatenate((self.table, scores)), np.concatenate((self.letters, letters))
-        self.rows.update(zip(new, range(first, first + len(new))))
+        first, last = len(self.rows), len(self.rows) + len(new)
+        if last > len(self.letters):
+            more = max(last, 2 * len(self.letters)) - first
+            self.table = np.concatenate((self.table[:first], np.zeros((more, len(self.languages)))))
+            self.letters = np.concatenate((self.letters[:first], np.zeros(more, np.int64)))
+        self.table[first:last], self.letters[first:last] = scores, letters
+        self.rows.update(zip(new, range(first, last)))
 
     def read(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Scores and letters of the words that have letters."""
