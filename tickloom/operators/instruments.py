@@ -12,6 +12,8 @@ from tickloom.functions import symbols as sy
 from tickloom.schemas import DATA_TYPES, INSTRUMENT_REQUIRED, INSTRUMENT_TYPES, VENUES
 
 FAR_FUTURE = "2099-12-31 00:00:00"
+# Days of one definition that go through a shuffle as one row.
+PIECE_DAYS = 8
 
 
 def eligibility(listing: DataFrame, start: str, end: str) -> DataFrame:
@@ -124,18 +126,42 @@ def daily(instruments: DataFrame, start: str, end: str) -> DataFrame:
     return ranges.withColumn("day", F.explode(F.sequence("first_day", "last_day"))).drop("first_day", "last_day")
 
 
+def pieces(ranges: DataFrame) -> DataFrame:
+    """Rows with ``first_day`` and ``last_day`` cut at multiples of ``PIECE_DAYS``; ``piece`` is the number of the piece."""
+    number = lambda day: F.floor(F.unix_date(day) / PIECE_DAYS).cast("int")
+    cut = ranges.withColumn("piece", F.explode(F.sequence(number("first_day"), number("last_day"))))
+    return cut.withColumns({
+        "first_day": F.greatest("first_day", F.date_from_unix_date(F.col("piece") * PIECE_DAYS)),
+        "last_day": F.least("last_day", F.date_from_unix_date(F.col("piece") * PIECE_DAYS + PIECE_DAYS - 1))})
+
+
 def merge_days(daily: DataFrame) -> DataFrame:
     """Daily definitions as ranges: one row per run of days on which a definition was the same in all columns.
 
     ``first_day`` and ``last_day`` take the place of ``day``. A gap, or a change in any
-    column, starts a new range; repeated rows count once. Windows hold the days of
-    one definition.
+    column, starts a new range; repeated rows count once. Days are combined before the
+    shuffle, 64 of them in the bits of one LONG; windows hold the runs of one definition.
     """
     columns = [c for c in daily.columns if c != "day"]
-    order = Window.partitionBy(*columns).orderBy("day")
-    island = F.date_sub("day", F.row_number().over(order))  # the same for days that follow each other
-    runs = daily.distinct().withColumn("_island", island)
-    return runs.groupBy(*columns, "_island").agg(F.min("day").alias("first_day"), F.max("day").alias("last_day")).drop("_island")
+    number = F.unix_date("day")
+    block = F.floor(number / 64).cast("int")
+    bits = daily.groupBy(*columns, block.alias("_block")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(number, F.lit(64)))).alias("_bits"))
+
+    def places(mask: Column) -> Column:
+        """Numbers of the bits that are set, in order."""
+        return F.filter(F.sequence(F.lit(0), F.lit(63)), lambda i: F.call_function("shiftright", mask, i).bitwiseAND(1) == 1)
+
+    mask = F.col("_bits")
+    ends = F.arrays_zip(  # a run starts where the bit below is not set and ends where the bit above is not
+        places(mask.bitwiseAND(F.bitwise_not(F.shiftleft(mask, 1)))).alias("first"),
+        places(mask.bitwiseAND(F.bitwise_not(F.shiftrightunsigned(mask, 1)))).alias("last"))
+    runs = bits.withColumn("_run", F.explode_outer(ends)).select(
+        *columns, (F.col("_block") * 64 + F.col("_run.first")).alias("_first"), (F.col("_block") * 64 + F.col("_run.last")).alias("_last"))
+    order = Window.partitionBy(*columns).orderBy("_first")
+    new = F.coalesce(F.col("_first") != F.lag("_last").over(order) + 1, F.lit(True)).cast("int")
+    numbered = runs.withColumn("_new", new).withColumn("_island", F.sum("_new").over(order))
+    return numbered.groupBy(*columns, "_island").agg(
+        F.date_from_unix_date(F.min("_first")).alias("first_day"), F.date_from_unix_date(F.max("_last")).alias("last_day")).drop("_island")
 
 
 def range_days(ranges: DataFrame, start: str, end: str) -> DataFrame:
