@@ -135,7 +135,7 @@ def _mft(spark, sf):
 def _instrument_table(spark, sf):
     path = work_folder(spark, "instruments")
     rows = ad.instruments(spark, sf).drop("p_partkey")
-    tables.write_instruments(instruments.daily(rows, START, END), path)
+    tables.write_instrument_windows(instruments.windowed(rows, START, END), path)
     return path
 
 

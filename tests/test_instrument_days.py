@@ -5,6 +5,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tickloom.operators import instruments as ins
+from tickloom.session import work_folder
+from tickloom.sinks import tables
 
 
 def shuffled_rows(frame):
@@ -48,3 +50,16 @@ def test_merged_days_at_the_ends_of_blocks(spark):
     runs = [("a", -70, 4), ("a", 7, 7), ("a", 60, 199), ("b", -1, 0), ("b", 63, 65), ("b", 127, 127), ("b", 129, 129), ("c", 63, 63),
             ("d", None, None), ("d", 0, 63)]
     assert got == {(k, at(a), at(b)) for k, a, b in runs}
+
+
+def test_days_are_generated_behind_the_shuffle(spark):
+    windows = ins.windowed(defined(spark), "2024-01-05", "2024-12-31")
+    days = tables.days_in_order(windows)
+    daily = ins.daily(defined(spark), "2024-01-05", "2024-12-31")
+    assert shuffled_rows(days) < daily.count() / 6
+    assert sorted(map(tuple, days.select(*daily.columns).collect())) == sorted(map(tuple, daily.collect()))
+    path, old = work_folder(spark, "test-windows"), work_folder(spark, "test-daily")
+    tables.write_instrument_windows(windows, path)
+    tables.write_instruments(daily, old)
+    new, before = (spark.read.parquet(p).select(*daily.columns) for p in (path, old))
+    assert new.exceptAll(before).isEmpty() and before.exceptAll(new).isEmpty()

@@ -142,12 +142,33 @@ def write_candles(
 
 def write_instruments(daily: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Definitions by day. Rows with errors abort; warnings do not."""
-    if "errors" in daily.columns:
-        broken = daily.where(F.size("errors") > 0).select("instrument_key", "errors").limit(5).collect()
-        if broken:
-            raise ValueError(f"invalid instrument definitions, first: {broken}")
-        daily = daily.drop("errors", "warnings", "missing_fields")
-    write_sorted(daily, path, ["day"], ["instrument_key"], mode)
+    write_sorted(_without_errors(daily), path, ["day"], ["instrument_key"], mode)
+
+
+def days_in_order(windows: DataFrame) -> DataFrame:
+    """Rows with ``first_day`` and ``last_day`` by day, sorted by day and instrument inside each task.
+
+    Pieces of a few days are range-partitioned by time and instrument, and their days
+    generated where they are sorted: no shuffle carries a row once for each of its days.
+    """
+    n = int(windows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes that become many rows: not to be joined
+    arranged = instrument_rows.pieces(windows).repartitionByRange(n, "piece", "instrument_key")
+    days = arranged.withColumn("day", F.explode(F.sequence("first_day", "last_day"))).drop("first_day", "last_day", "piece")
+    return days.sortWithinPartitions("day", "instrument_key")
+
+
+def write_instrument_windows(windows: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """The table of :func:`write_instruments` from definitions with ``first_day`` and ``last_day`` (see ``instruments.windowed``)."""
+    _write(days_in_order(_without_errors(windows)), path, ["day"], mode)
+
+
+def _without_errors(definitions: DataFrame) -> DataFrame:
+    if "errors" not in definitions.columns:
+        return definitions
+    broken = definitions.where(F.size("errors") > 0).select("instrument_key", "errors").limit(5).collect()
+    if broken:
+        raise ValueError(f"invalid instrument definitions, first: {broken}")
+    return definitions.drop("errors", "warnings", "missing_fields")
 
 
 def write_instrument_ranges(daily: DataFrame, path: str) -> None:
