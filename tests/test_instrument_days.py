@@ -5,8 +5,10 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tickloom.operators import instruments as ins
+from tickloom.plans import jobs
 from tickloom.session import work_folder
 from tickloom.sinks import tables
+from tickloom.sources import adapters
 
 
 def shuffled_rows(frame):
@@ -63,3 +65,17 @@ def test_days_are_generated_behind_the_shuffle(spark):
     tables.write_instruments(daily, old)
     new, before = (spark.read.parquet(p).select(*daily.columns) for p in (path, old))
     assert new.exceptAll(before).isEmpty() and before.exceptAll(new).isEmpty()
+
+
+def test_listing_is_parsed_for_the_table_and_for_the_counts_only(spark, sf):
+    listing = adapters.vendor_symbols(spark, sf)
+    rows, schema = listing.collect(), listing.schema
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(row):
+        read.add(1)
+        return row
+
+    counted = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2).map(seen), schema, verifySchema=False)
+    jobs.instrument_job(counted, work_folder(spark, "test-job"), "2024-03-01", "2024-06-30").collect()
+    assert read.value <= 2 * len(rows)

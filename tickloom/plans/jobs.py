@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tickloom.operators import book, candles, coverage, features, instruments, quality, reconcile
 from tickloom.schemas import BASE_TIMEFRAMES, LIQUIDATION_FEATURES, OPTION_FEATURES, ROLLUP_TIMEFRAMES
+from tickloom.session import work_folder
 from tickloom.sinks import tables, warehouse
 from tickloom.sources import readers
 
@@ -20,8 +21,11 @@ def instrument_job(listing: DataFrame, path: str, start: str, end: str, ranges_p
     ``ranges_path`` gets the aggregate of the range, made of the stored days.
     """
     defined = instruments.definitions(listing, start, end)
-    checked = instruments.validate(instruments.daily(defined, start, end))
-    tables.write_instruments(checked, path)
+    windows = instruments.windowed(instruments.validate(defined), start, end)
+    # Written once: the check, the sample of the range shuffle and the write would each parse the listing again.
+    folder = work_folder(listing.sparkSession, "definitions")
+    windows.write.parquet(folder)
+    tables.write_instrument_windows(listing.sparkSession.read.schema(windows.schema).parquet(folder), path)
     if ranges_path:
         spark = listing.sparkSession
         stored = spark.read.parquet(path).where(tables.days_between(start, end))
