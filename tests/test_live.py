@@ -292,3 +292,15 @@ def test_second_source_of_batches(spark):
         ("other", "freshness"): (2, 0, "SKIP"), ("other", "utc"): (2, 0, "SKIP")}
     alone = cross.against_second_source(a, a.limit(0), "1m").where("test_name = 'cross_source'").collect()
     assert [(r.status, r.detail) for r in alone] == [("FAIL", "other: missing")] * 2
+
+
+def test_each_message_is_parsed_once(spark):
+    """Filters on parsed columns stay above the parsing, whatever the route."""
+    raw = spark.range(10).select(F.to_json(F.struct(F.col("id").cast("string").alias("symbol"))).alias("value"))
+    for name, frame in live.route(live.parse_messages(raw)).items():
+        assert frame._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1, name
+
+
+def test_text_that_is_no_message_is_dropped(spark):
+    rows = [('{"symbol": "A", "exchange": "x", "timestamp": "2024-01-01T00:00:00Z"}',), ("no json",), (None,), ('{"symbol": "", "exchange": "x"}',), ("[]",)]
+    assert [r.symbol for r in live.parse_messages(spark.createDataFrame(rows, "value string")).collect()] == ["A"]

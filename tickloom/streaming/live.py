@@ -43,8 +43,12 @@ def event_time(text: Column) -> Column:
 
 
 def parse_messages(raw: DataFrame, column: str = "value") -> DataFrame:
-    """JSON text to typed rows; rows without symbol, exchange or time are dropped."""
-    parsed = raw.select(F.from_json(F.col(column).cast("string"), MESSAGE_SCHEMA).alias("m")).select("m.*")
+    """JSON text to typed rows; rows without symbol, exchange or time are dropped.
+
+    The text is parsed by a generator: Spark would copy a projection into every filter
+    above it, and parse each message once for each column that a filter names.
+    """
+    parsed = raw.select(F.inline(F.array(F.from_json(F.col(column).cast("string"), MESSAGE_SCHEMA))))
     known = parsed.withColumns({
         "data_type": F.coalesce("type", F.lit("trade")),
         "timestamp": event_time(F.col("timestamp")),
