@@ -243,17 +243,16 @@ ontime AS (SELECT t.* FROM trades t JOIN (SELECT event_id, ts, CAST(regexp_extra
            ON CAST(e.event_id AS VARCHAR) = t.id WHERE NOT ({_LATE}))""", fx.candles(3600, source="ontime")) +
        f'SELECT {CANDLE_SQL} FROM candles WHERE "timestamp" + INTERVAL 1 HOUR <= (SELECT max("timestamp") - INTERVAL 1 MINUTE FROM trades)')
 def _late(spark, sf):
-    """Events arrive in four files; part of the first ten days comes with the last one, behind the watermark."""
-    source, out = work_folder(spark, "k5-in"), work_folder(spark, "k5")
+    """Events arrive in four steps, a batch each; part of the first ten days comes with the last one, behind the watermark."""
+    source, out, checkpoint = work_folder(spark, "k5-in"), work_folder(spark, "k5"), work_folder(spark, "k5-checkpoint")
     events = ad.table(spark, sf, "events")
     day = F.dayofmonth("ts")
     late = (F.regexp_extract("props", r"(\d+)", 1).cast("long") % 20 == 0) & (day <= 10)
     arrival = F.when(late, 3).when(day <= 15, 0).when(day <= 20, 1).when(day <= 25, 2).otherwise(3)
-    for step in range(4):  # one write after the other: files are taken by age
-        events.where(arrival == step).coalesce(1).write.parquet(f"{source}/step={step}")
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{source}/*")
-    ticks = ad.trade_columns(ad.event_columns(stream))
-    _run(spark, live.candle_stream(ticks, "1h"), live.keep_updates(out), "append", "k5")
+    for step in range(4):  # however many files a step has, the stream takes them together and goes on with the next
+        events.where(arrival == step).write.parquet(f"{source}/step={step}")
+        ticks = ad.trade_columns(ad.event_columns(spark.readStream.schema(events.schema).parquet(f"{source}/*")))
+        live.start(live.candle_stream(ticks, "1h"), live.keep_updates(out), checkpoint, "append").awaitTermination()
     return rounded(spark.read.parquet(out).drop("batch_id", "timeframe"))
 
 

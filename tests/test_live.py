@@ -304,3 +304,22 @@ def test_each_message_is_parsed_once(spark):
 def test_text_that_is_no_message_is_dropped(spark):
     rows = [('{"symbol": "A", "exchange": "x", "timestamp": "2024-01-01T00:00:00Z"}',), ("no json",), (None,), ('{"symbol": "", "exchange": "x"}',), ("[]",)]
     assert [r.symbol for r in live.parse_messages(spark.createDataFrame(rows, "value string")).collect()] == ["A"]
+
+
+def test_late_ticks_of_a_step_with_several_files(spark, tmp_path, monkeypatch):
+    """The events of a step are written by several tasks, and none of its files is late by the others."""
+    from checks import live_checks
+
+    start, n = dt.datetime(2024, 1, 1), 30 * 24 * 4
+    events = spark.range(n, numPartitions=6).select(
+        F.col("id").alias("event_id"), F.expr(f"timestamp'{start}' + make_interval(0, 0, 0, 0, 0, 15 * int(id * 7 % {n}), 30)").alias("ts"),
+        F.lit(8).cast("long").alias("user_id"), F.lit("view").alias("event_type"), F.lit(1.0).alias("value"),
+        F.format_string('{"k": %d}', F.col("id") % 100).alias("props"))
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    folders = {}
+    monkeypatch.setattr(live_checks, "work_folder", lambda s, name: folders.setdefault(name, work_folder(s, name)))
+    got = live_checks._late(spark, str(tmp_path)).agg(F.sum("trade_count").alias("n"), F.max("timestamp").alias("last")).first()
+    late = (F.col("id") % 100 % 20 == 0) & (F.dayofmonth(F.expr(f"timestamp'{start}' + make_interval(0, 0, 0, 0, 0, 15 * int(id * 7 % {n}), 30)")) <= 10)
+    assert got.last == dt.datetime(2024, 1, 30, 22)
+    assert got.n == spark.range(n).where(~late).count() - 4
+    assert len([f for f in os.listdir(f"{folders['k5-in']}/step=0") if f.endswith(".parquet")]) > 1
