@@ -76,7 +76,7 @@ def _land(trades, landing, wrong_price):
         F.unix_micros("timestamp").alias("timestamp"), F.unix_micros("local_timestamp").alias("local_timestamp"), "id", "side",
         F.when(wrong_price, "n/a").otherwise(F.col("price").cast("string")).alias("price"), "amount",
         F.lit("trades").alias("data_type"), "day", F.lit("binance").alias("source"), name.alias("name"),
-    ).write.partitionBy("data_type", "day", "source", "name").option("header", "true").option("compression", "gzip").csv(landing)
+    ).hint("rebalance", "day", "name").write.partitionBy("data_type", "day", "source", "name").option("header", "true").option("compression", "gzip").csv(landing)
 
 
 def _reingest(spark, sf):

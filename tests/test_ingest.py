@@ -98,6 +98,59 @@ def test_reingest_tells_why_targets_are_left_out(spark, tmp_path):
     assert {r.instrument_key: r.status for r in out} == {"X:SPOT:A": "added", "X:FUTURE:Z-240105": "expired", "X:SPOT:Z": "no_definition"}
 
 
+def test_missing_report_is_made_once(spark, tmp_path):
+    """What makes the report may read whole tables, the one that is loaded too: it runs once, before the table changes."""
+    land(f"{tmp_path}/landing", [line(0)])
+    runs = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(key):
+        runs.add(1)
+        return key
+
+    missing = spark.createDataFrame([A[:3]], "day date, instrument_key string, data_type string").withColumn("instrument_key", counted("instrument_key"))
+    known = spark.createDataFrame([("X:SPOT:A", "binance", "00123", "trades")], "instrument_key string, tardis_exchange string, tardis_symbol string, data_types string")
+    out = ingest.reingest_job(spark, missing, known, f"{tmp_path}/landing", f"{tmp_path}/ticks", f"{tmp_path}/bad")
+    assert [(r.instrument_key, r.status) for r in out.collect()] == [("X:SPOT:A", "added")] and runs.value == 1
+
+
+def test_other_days_are_not_read(spark, tmp_path):
+    """A file that cannot be read, landed or stored, on a day between the wanted ones."""
+    later = (DAY + dt.timedelta(2), *A[1:])
+    between = DAY + dt.timedelta(1)
+    land(f"{tmp_path}/landing", [line(0)])
+    land(f"{tmp_path}/landing", [line(1, day=2)], day=later[0])
+    for folder, name in ((f"landing/data_type=trades/day={between}/source=binance/name=00123", "a.csv.gz"), (f"ticks/day={between}/data_type=trades", "a.parquet")):
+        os.makedirs(f"{tmp_path}/{folder}")
+        with open(f"{tmp_path}/{folder}/{name}", "w") as out:
+            out.write("broken")
+    for status in ("added", "unchanged"):
+        got = ingest.ingest_landed(spark, f"{tmp_path}/landing", f"{tmp_path}/ticks", wanted(spark, A, later), f"{tmp_path}/bad").collect()
+        assert sorted((r.day, r.landed, r.status) for r in got) == [(DAY, 1, status), (later[0], 1, status)]
+
+
+def test_header_of_the_first_line_there_is(spark, tmp_path):
+    """Files without a line do not hide the columns of others; without any line nothing has landed."""
+    empty = f"{tmp_path}/landing/data_type=trades/day={DAY}/source=binance/name=a"
+    os.makedirs(empty)
+    with gzip.open(f"{empty}/a.csv.gz", "wt") as out:
+        out.write("\n")
+    assert ingest.read_landed(spark, f"{tmp_path}/landing", "trades") is None
+    land(f"{tmp_path}/landing", [line(0)])
+    assert {"exchange", "price", "amount", "file"} <= set(ingest.read_landed(spark, f"{tmp_path}/landing", "trades").columns)
+    assert run(spark, tmp_path, A) == {"X:SPOT:A": (1, 0, 0, "added")}
+
+
+def test_one_landed_file_a_day_and_instrument(spark, tmp_path):
+    """p2_quarantined_rows: tasks that each hold all days do not each land their own file of every folder."""
+    from checks import load_checks
+
+    load_checks._land(two_instruments(spark, 400).repartition(6).withColumn("day", F.to_date("timestamp")), f"{tmp_path}/files", F.lit(False))
+    files = [f for folder, _, names in os.walk(f"{tmp_path}/files") for f in names if f.endswith(".csv.gz")]
+    folders = [folder for folder, _, names in os.walk(f"{tmp_path}/files") if any(f.endswith(".csv.gz") for f in names)]
+    assert len(files) == len(folders) == 2
+
+
 # -- catalog ---------------------------------------------------------------------------
 
 def two_instruments(spark, rows):

@@ -9,6 +9,7 @@ landed rows are the stored ones already is left alone, so a job may be run again
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -36,11 +37,15 @@ def read_landed(spark: SparkSession, landing: str, data_type: str) -> DataFrame
     """
     root = f"{landing}/data_type={data_type}"
     try:
-        header = spark.read.option("header", "true").csv(root).columns
+        # One line of one file: finding the columns of the whole folder would list each of its files anew.
+        first = spark.read.text(root).where(F.trim("value") != "").select("value").head()
     except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
+    if first is None:
+        return None
+    header = spark.read.option("header", "true").csv(spark.sparkContext.parallelize([first.value], 1)).columns
     text = [T.StructField(c, T.StringType()) for c in header if c not in _PLACE]
     place = [T.StructField("day", T.DateType()), T.StructField("source", T.StringType()), T.StructField("name", T.StringType())]
     schema = T.StructType([*text, T.StructField(_UNREADABLE, T.StringType()), *place])
@@ -71,29 +76,32 @@ def wrong_labels(rows: DataFrame) -> DataFrame:
     return out.where(F.size("label_errors") > 0)
 
 
-def _checked(landed: DataFrame, data_type: str, wanted: DataFrame) -> DataFrame:
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """The rows once written: what made them is not run again, and Spark knows their size."""
+    folder = work_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def _checked(landed: DataFrame, data_type: str, wanted: DataFrame, days: Sequence[date]) -> DataFrame:
     """Typed rows of the wanted files with ``errors``, written once: the text is parsed one time only."""
-    spark = landed.sparkSession
     for label in ("exchange", "symbol"):
         if label not in landed.columns:
             landed = landed.withColumn(label, F.lit(None).cast("string"))
-    # One row: the range of wanted days prunes folders whatever join Spark picks.
-    low, high = wanted.agg(F.min("day"), F.max("day")).first()
-    ours = landed.where(F.col("day").between(F.lit(low), F.lit(high))).join(wanted, list(_PLACE))
+    # The wanted days prune folders whatever join Spark picks.
+    ours = landed.where(F.col("day").isin(*days)).join(wanted, list(_PLACE))
     keep = ("instrument_key", "exchange", "symbol", "file", _UNREADABLE, *_PLACE)
     typed = readers.as_times(readers.typed(ours, data_type, keep=keep)).withColumn("errors", _row_errors(data_type))
-    folder = work_folder(spark, "landed")
-    typed.write.parquet(folder)
-    rows = spark.read.schema(typed.schema).parquet(folder)
-    out = rows.join(wrong_labels(rows), "file", "left")
+    rows = _written(typed, "landed")
+    out = rows.join(_written(wrong_labels(rows), "landed-labels"), "file", "left")
     return out.withColumn("errors", F.concat("errors", F.coalesce("label_errors", F.array().cast("array<string>")))).drop("label_errors").withColumn(
         "data_type", F.lit(data_type))
 
 
-def _contents(rows: DataFrame, columns: Sequence[str], n: str, digest: str) -> DataFrame:
-    """Count and digest of each target's rows, whatever their order."""
+def _contents(columns: Sequence[str], n: str, digest: str, of: Column) -> list[Column]:
+    """Count and digest of those of a target's rows that ``of`` holds for, whatever their order; NULL where there is none."""
     number = F.xxhash64(*[F.col(c) for c in columns]).cast("decimal(38,0)")
-    return rows.groupBy(*TARGET).agg(F.count(F.lit(1)).alias(n), F.sum(number).alias(digest))
+    return [F.nullif(F.count_if(of), F.lit(0).cast("long")).alias(n), F.sum(F.when(of, number)).alias(digest)]
 
 
 def replace_targets(rows: DataFrame, targets: DataFrame, path: str, order: Sequence[str]) -> None:
@@ -134,27 +142,30 @@ def ingest_landed(
     Rejected rows go to ``quarantine`` with all their reasons, in place of earlier
     ones of the same target.
     """
-    wanted = wanted.select(*TARGET, "source", "name").distinct()
+    # Asked for many times below; a missing report is read from whole tables.
+    wanted = _written(wanted.select(*TARGET, "source", "name").distinct(), "wanted")
     base = wanted.select(*TARGET).distinct()
     reports = []
     for (data_type,) in wanted.select("data_type").distinct().where("data_type IS NOT NULL").collect():  # of the known types
         if data_type not in TICK_SCHEMAS:
             raise ValueError(f"unknown data type {data_type!r}; known: {sorted(TICK_SCHEMAS)}")
         places = wanted.where(F.col("data_type") == data_type).dropna().drop("data_type")
-        landed = read_landed(spark, landing, data_type) if places.take(1) else None
+        days = [r.day for r in places.select("day").distinct().collect()]  # bounded by the calendar
+        landed = read_landed(spark, landing, data_type) if days else None
         if landed is None:
             continue
-        rows = _checked(landed, data_type, places)
+        rows = _checked(landed, data_type, places, days)
         columns = [f.name for f in TICK_SCHEMAS[data_type].fields]
-        good = rows.where(F.size("errors") == 0).select("instrument_key", *columns, "day", "data_type")
+        valid = F.size("errors") == 0
+        good = rows.where(valid).select("instrument_key", *columns, "day", "data_type")
         if {"id", "price", "local_timestamp"} <= set(columns):
             good = candles.with_sequence(good)
-        counts = rows.groupBy(*TARGET).agg(F.count(F.lit(1)).alias("landed"), F.count_if(F.size("errors") > 0).alias("rejected"))
-        report = counts.join(_contents(good, columns, "_new", "_new_digest"), list(TARGET), "left")
+        report = rows.groupBy(*TARGET).agg(
+            F.count(F.lit(1)).alias("landed"), F.count_if(~valid).alias("rejected"), *_contents(columns, "_new", "_new_digest", valid))
         if tables.has_files(spark, path):
-            stored = spark.read.schema(good.schema).parquet(path).where(F.col("data_type") == data_type)
-            mine = stored.join(base, list(TARGET), "left_semi")
-            report = report.join(_contents(mine, columns, "_old", "_old_digest"), list(TARGET), "left")
+            stored = spark.read.schema(good.schema).parquet(path).where((F.col("data_type") == data_type) & F.col("day").isin(*days))
+            mine = stored.join(base, list(TARGET), "left_semi").groupBy(*TARGET).agg(*_contents(columns, "_old", "_old_digest", F.lit(True)))
+            report = report.join(mine, list(TARGET), "left")
         else:
             report = report.withColumns({"_old": F.lit(None).cast("long"), "_old_digest": F.lit(None).cast("decimal(38,0)")})
         same = (F.col("_new") == F.col("_old")) & (F.col("_new_digest") == F.col("_old_digest"))
@@ -168,7 +179,7 @@ def ingest_landed(
         changed = report.where(F.col("status").isin("added", "replaced"))
         replace_targets(good.join(changed.select(*TARGET), list(TARGET), "left_semi").select(*good.columns), changed, path, ["instrument_key", "timestamp"])
         if quarantine:
-            bad = rows.where(F.size("errors") > 0)
+            bad = rows.where(~valid)
             replace_targets(bad.select(*[c for c in bad.columns if c not in ("day", "data_type")], "day", "data_type"),
                             report, f"{quarantine}/{data_type}", ["instrument_key", "file"])
     known = reduce(DataFrame.unionByName, reports) if reports else spark.createDataFrame([], _STATUS)
@@ -190,7 +201,7 @@ def reingest_job(
     Targets that the filters or the definitions leave out carry the reason of
     :func:`coverage.missing_to_targets` as their status.
     """
-    targets = coverage.missing_to_targets(missing, definitions, **filters)
+    targets = _written(coverage.missing_to_targets(missing, definitions, **filters), "targets")
     found = targets.where(F.col("target_status") == "found")
     done = ingest_landed(spark, landing, path, vendor_places(found), quarantine)
     none = F.lit(0).cast("long")
