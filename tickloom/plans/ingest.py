@@ -181,7 +181,7 @@ def ingest_landed(
         if quarantine:
             bad = rows.where(~valid)
             replace_targets(bad.select(*[c for c in bad.columns if c not in ("day", "data_type")], "day", "data_type"),
-                            report, f"{quarantine}/{data_type}", ["instrument_key", "file"])
+                            report, f"{quarantine}/{data_type}", ["instrument_key", "file", "timestamp"])
     known = reduce(DataFrame.unionByName, reports) if reports else spark.createDataFrame([], _STATUS)
     return base.join(known, list(TARGET), "left").select(
         *TARGET, *[F.coalesce(c, F.lit(0)).alias(c) for c in ("landed", "rejected", "stored_before")],
